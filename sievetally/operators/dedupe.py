@@ -30,17 +30,3 @@ def keep_first(
     best = df.groupBy(*keys).agg(*aggregates)
     columns = [F.col(c) if c in keys else F.col(f"_first.{c}") for c in df.columns]
     return best.select(*columns, *([copies] if copies else []))
-
-
-def surplus(rows: DataFrame, survivors: DataFrame, copies: str = "copies") -> DataFrame:
-    """Rows that did not survive, each distinct row once with the number of its lost copies.
-
-    A multiset difference. It groups by the whole row, so a hot key is spread by its other
-    columns and identical copies are added up before the shuffle.
-    """
-    signed = rows.withColumn(copies, F.lit(1)).unionByName(survivors.withColumn(copies, F.lit(-1)))
-    return (
-        signed.groupBy(*rows.columns)
-        .agg(F.sum(copies).alias(copies))
-        .filter(F.col(copies) > 0)
-    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -312,8 +313,8 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     The embedded database lives in the driver process, so this query needs a local session. On a
     cluster the same functions take the URL of a database that all executors reach.
     """
-    log = scratch_dir(spark, "derby").removeprefix("file:")
-    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", f"{log}.log")
+    log = f"{tempfile.mkdtemp(prefix='run-')}/derby.log"
+    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", log)
     url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
     run_in_transaction(spark, url, [CLEAN_TABLE], DERBY_DRIVER)
     clean = cut_lineage(employee_etl(spark, sf_dir), "employees-clean")

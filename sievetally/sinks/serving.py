@@ -6,16 +6,20 @@ function without arguments that opens one; it is sent to the executors and calle
 
 from __future__ import annotations
 
+import sys
 import time
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievetally.schemas import DAILY_KEY, SERVING_ROW
 
+# The code below runs on the executors; sent by value, it needs no installation there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def serving_rows(df: DataFrame) -> DataFrame:
     """Daily totals in the types of the store; a count beyond 32 bits raises."""
@@ -110,8 +114,9 @@ class FolderStore:
     def __init__(self, folder: str, load: int):
         from pyarrow import fs
 
-        local = folder.removeprefix("file:") if folder.startswith("file:") else folder
-        self.files, path = fs.FileSystem.from_uri(local)
+        # Spark writes file:/a where Arrow expects a plain path.
+        place = "/" + folder.removeprefix("file:").lstrip("/") if folder.startswith("file:") else folder
+        self.files, path = fs.FileSystem.from_uri(place)
         self.path = f"{path.rstrip('/')}/load={load}"
         self.files.create_dir(self.path, recursive=True)
         self.task = TaskContext.get().partitionId()

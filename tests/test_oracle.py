@@ -47,6 +47,27 @@ def test_matches_sql(spark, duck, name):
     assert found == expected
 
 
+DUCK_TYPES = {
+    "VARCHAR": "string",
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "BOOLEAN": "boolean",
+    "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_types_match_sql(spark, duck, name):
+    expected = {
+        column: DUCK_TYPES.get(dtype, dtype.lower())
+        for column, dtype, *_ in duck.execute("DESCRIBE " + oracle_sql()[name]).fetchall()
+    }
+    found = dict(queries()[name](spark, "/root/testdata/sf0.001").dtypes)
+    assert found == expected
+
+
 KNOWN_ROWS = {"daily_totals": (2774, 3030), "employee_etl": (974, 3786)}
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievetally.schemas import EMPLOYEE_TEXT
-from sievetally.session import pin_settings, size_shuffles
+from sievetally.session import pin_settings, size_partitions
 from sievetally.sources.synthetic import CITIES, DEPARTMENTS, JOB_TITLES, STATES
 
 AS_OF = "2024-01-01"
@@ -15,72 +15,51 @@ AS_OF = "2024-01-01"
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     pin_settings(spark)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    size_shuffles(spark, df)
+    size_partitions(spark, df)
     return df
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as transactions: every 20th event repeats the id before it, about a tenth is not positive."""
-    event = F.col("event_id")
-    repeated = (event % 20 == 0) & (event > 0)
-    return table(spark, sf_dir, "events").select(
-        F.concat(F.lit("T"), F.when(repeated, event - 1).otherwise(event).cast("string")).alias("transaction_id"),
-        F.concat(F.lit("C"), (F.col("user_id") % 101 + 1000).cast("string")).alias("customer_id"),
-        (F.col("value").cast("decimal(12,2)") - 5).cast("decimal(12,2)").alias("amount"),
-        F.col("ts").alias("timestamp"),
-        F.col("event_type").alias("merchant"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "'T' || IF(event_id % 20 = 0 AND event_id > 0, event_id - 1, event_id) AS transaction_id",
+        "'C' || (1000 + user_id % 101) AS customer_id",
+        "CAST(CAST(value AS DECIMAL(12,2)) - 5 AS DECIMAL(12,2)) AS amount",
+        "ts AS timestamp",
+        "event_type AS merchant",
     )
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as raw employees: colliding ids, bad and shared emails, odd salaries, missing names."""
-    k = F.col("c_custkey")
-    balance = F.abs(F.col("c_acctbal"))
-    segment = F.col("c_mktsegment")
 
     def entry(values):
-        return F.get(F.array(*[F.lit(v) for v in values]), (k % len(values)).cast("int"))
+        words = ", ".join(f"'{v}'" for v in values)
+        return f"GET(ARRAY({words}), CAST(c_custkey % {len(values)} AS INT))"
 
-    grouped = F.concat(
-        F.lit("₹"),
-        F.floor(balance / 100).cast("string"),
-        F.lit(","),
-        F.lpad((F.floor(balance) % 1000).cast("string"), 3, "0"),
-    )
-    return table(spark, sf_dir, "customer").select(
-        F.when(k % 10 == 0, k % 101 + 1000).otherwise(k + 5000).cast("int").alias("employee_id"),
-        F.when(k % 37 == 0, None)
-        .when(k % 2 == 0, F.lower(segment))
-        .otherwise(F.upper(segment))
-        .alias("first_name"),
-        F.concat(F.lit("van "), F.lower(F.regexp_replace("c_name", "#", "-"))).alias("last_name"),
-        F.when(k % 7 == 0, F.concat(segment, F.lit("@company")))
-        .otherwise(
-            F.concat(
-                segment,
-                F.lit("."),
-                (k % 900).cast("string"),
-                F.when(k % 2 == 0, "@company.com").otherwise("@COMPANY.COM"),
-            )
-        )
-        .alias("email"),
-        F.date_add(F.lit("2014-01-01").cast("date"), (k * 13 % 4380).cast("int")).alias("hire_date"),
-        entry(JOB_TITLES).alias("job_title"),
-        entry(DEPARTMENTS).alias("department"),
-        F.when(k % 41 == 0, None)
-        .when(k % 53 == 0, "n/a")
-        .when(k % 5 < 2, grouped)
-        .otherwise(F.floor(balance * 10).cast("string"))
-        .alias("salary"),
-        F.when(k % 2 == 0, k % 201 + 5000).cast("int").alias("manager_id"),
-        F.concat((k % 999).cast("string"), F.lit(', "Lake View" Road, Block '), F.col("c_nationkey").cast("string")).alias(
-            "address"
-        ),
-        entry(CITIES).alias("city"),
-        entry(STATES).alias("state"),
-        F.lpad((k % 1000000).cast("string"), 6, "0").alias("zip_code"),
-        F.date_add(F.lit("1964-01-01").cast("date"), (k * 29 % 14000).cast("int")).alias("birth_date"),
-        F.when(k % 4 == 0, "Active").when(k % 4 == 1, "active").when(k % 4 == 2, "INACTIVE").alias("status"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "CAST(IF(c_custkey % 10 = 0, 1000 + c_custkey % 101, 5000 + c_custkey) AS INT) AS employee_id",
+        """CASE WHEN c_custkey % 37 = 0 THEN NULL
+                WHEN c_custkey % 2 = 0 THEN LOWER(c_mktsegment) ELSE UPPER(c_mktsegment) END AS first_name""",
+        "'van ' || LOWER(REPLACE(c_name, '#', '-')) AS last_name",
+        """CASE WHEN c_custkey % 7 = 0 THEN c_mktsegment || '@company'
+                ELSE c_mktsegment || '.' || c_custkey % 900
+                  || IF(c_custkey % 2 = 0, '@company.com', '@COMPANY.COM') END AS email""",
+        "DATE_ADD(DATE'2014-01-01', CAST(c_custkey * 13 % 4380 AS INT)) AS hire_date",
+        f"{entry(JOB_TITLES)} AS job_title",
+        f"{entry(DEPARTMENTS)} AS department",
+        """CASE WHEN c_custkey % 41 = 0 THEN NULL
+                WHEN c_custkey % 53 = 0 THEN 'n/a'
+                WHEN c_custkey % 5 < 2 THEN '₹' || FLOOR(ABS(c_acctbal) / 100) || ','
+                  || LPAD(CAST(FLOOR(ABS(c_acctbal)) % 1000 AS STRING), 3, '0')
+                ELSE CAST(FLOOR(ABS(c_acctbal) * 10) AS STRING) END AS salary""",
+        "CAST(IF(c_custkey % 2 = 0, 5000 + c_custkey % 201, NULL) AS INT) AS manager_id",
+        """c_custkey % 999 || ', "Lake View" Road, Block ' || c_nationkey AS address""",
+        f"{entry(CITIES)} AS city",
+        f"{entry(STATES)} AS state",
+        "LPAD(CAST(c_custkey % 1000000 AS STRING), 6, '0') AS zip_code",
+        "DATE_ADD(DATE'1964-01-01', CAST(c_custkey * 29 % 14000 AS INT)) AS birth_date",
+        "CASE c_custkey % 4 WHEN 0 THEN 'Active' WHEN 1 THEN 'active' WHEN 2 THEN 'INACTIVE' END AS status",
     )
 
 

@@ -18,7 +18,7 @@ from sievetally.schemas import (
     EMAIL_ORDER,
     EMPLOYEE_ORDER,
 )
-from sievetally.session import cut_lineage, pin_settings, size_shuffles
+from sievetally.session import cut_lineage, pin_settings, size_partitions
 from sievetally.sinks.relational import append_rows
 from sievetally.sources.files import read_employees
 
@@ -82,7 +82,7 @@ def load_employees(
     """CSV to relational table; nothing is written unless the clean rows keep the table's contract."""
     pin_settings(spark)
     raw = read_employees(spark, csv_path)
-    size_shuffles(spark, raw)
+    size_partitions(spark, raw)
     clean = cut_lineage(clean_employees(raw, as_of), "employees-clean")
     contracts.require(check_clean_employees(contracts.enforce_schema(clean, CLEAN_EMPLOYEE)))
     added = append_rows(clean, url, table, ["employee_id"], driver, user, password, column_types)

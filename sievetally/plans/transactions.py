@@ -13,7 +13,7 @@ from sievetally.operators.dedupe import keep_first
 from sievetally.operators.filters import keep_positive_amounts
 from sievetally.operators.totals import total_by_customer_day
 from sievetally.schemas import DAILY_KEY, DAILY_TOTAL, TRANSACTION_ORDER
-from sievetally.session import pin_settings, size_shuffles
+from sievetally.session import pin_settings, size_partitions
 from sievetally.sinks.managed import publish, register_table
 from sievetally.sinks.serving import load_serving
 from sievetally.sources.managed import current_location, history, read_managed, source_available
@@ -67,7 +67,7 @@ def publish_transactions(
     """Raw Parquet to the managed transaction table; returns the table's history."""
     pin_settings(spark)
     raw = spark.read.parquet(raw_path)
-    size_shuffles(spark, raw)
+    size_partitions(spark, raw)
     location = publish(raw, TRANSACTIONS, root, **options)
     if name:
         register_table(spark, name, location, options.get("fmt", "parquet"))
@@ -79,7 +79,7 @@ def publish_daily_totals(spark: SparkSession, root: str, name: str | None = None
     pin_settings(spark)
     fmt = options.get("fmt", "parquet")
     transactions = read_managed(spark, TRANSACTIONS, root, fmt)
-    size_shuffles(spark, transactions)
+    size_partitions(spark, transactions)
     location = publish(daily_totals(transactions), DAILY_TOTALS, root, schema=DAILY_TOTAL, **options)
     if name:
         register_table(spark, name, location, fmt)

@@ -8,9 +8,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Input bytes one shuffle partition should carry. Parquet input grows two to four times when it is
-# decoded into rows, so this keeps a partition at a few hundred MB in memory.
-SHUFFLE_BYTES = 128 * 1024 * 1024
+MB = 1024 * 1024
+
+# File bytes per shuffle partition. Decoded rows take a few times the size of their Parquet file.
+SHUFFLE_BYTES = 256 * MB
+# Every map task keeps a size per shuffle partition, so both counts need an end: with these, 100 TB
+# are 100,000 scan tasks of 1 GB and 32,768 shuffle partitions of at most 3 GB, sorted with spill.
+MAX_SHUFFLE_PARTITIONS = 32768
+MAX_SCAN_TASKS = 100_000
+MAX_SCAN_BYTES = 1024 * MB
+# Spark reports about this size for a source it knows nothing about.
+UNKNOWN_SIZE = 2**62
 
 PINNED = {
     "spark.sql.session.timeZone": "UTC",
@@ -35,19 +43,26 @@ def pin_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, *inputs: DataFrame, target_bytes: int = SHUFFLE_BYTES) -> int:
-    """Raise the shuffle partition count to fit the inputs; never lower what the session asks for.
+def plan_bytes(df: DataFrame) -> int:
+    """Spark's estimate of the size of df; for a file scan, the size of the files."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < UNKNOWN_SIZE else 0
 
-    200 partitions over 100 TB would be 500 GB each, and adaptive execution only merges
-    partitions of an aggregation, it does not split them. A count that is too high costs little,
-    because the small partitions are merged again at run time.
+
+def size_partitions(spark: SparkSession, *inputs: DataFrame) -> None:
+    """Raise shuffle partition count and scan task size to fit the inputs; never lower them.
+
+    The default of 200 partitions over 100 TB would be 500 GB each, and adaptive execution merges
+    the partitions of an aggregation but does not split them. Too high a count costs little,
+    because small partitions are merged at run time.
     """
-    total = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(current, math.ceil(total / target_bytes))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    total = sum(plan_bytes(df) for df in inputs)
+    partitions = min(math.ceil(total / SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
+    if partitions > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    scan = min(total // MAX_SCAN_TASKS, MAX_SCAN_BYTES)
+    if scan > 128 * MB:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan))
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

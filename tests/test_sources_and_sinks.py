@@ -74,8 +74,9 @@ def test_parquet_file_bound(spark, scratch):
     df = spark.range(1000).repartition(9)
     write_parquet(df, f"{scratch}/bounded", files=4)
     write_parquet(df, f"{scratch}/sized")
+    assert "Exchange" not in sized(spark.range(10))._jdf.queryExecution().toString()
     assert len(spark.read.parquet(f"{scratch}/bounded").inputFiles()) == 4
-    assert len(spark.read.parquet(f"{scratch}/sized").inputFiles()) == 1
+    assert len(spark.read.parquet(f"{scratch}/sized").inputFiles()) == 9
     assert read_parquet(spark, f"{scratch}/bounded").count() == read_parquet(spark, f"{scratch}/sized").count() == 1000
 
 
@@ -408,15 +409,25 @@ def test_generators_ignore_partitioning(spark, parts):
 # --- session ------------------------------------------------------------------------------------
 
 
-def test_shuffle_partitions_only_grow(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+def test_partitions_follow_the_input_and_only_grow(spark, monkeypatch):
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"]
+    before = {k: spark.conf.get(k) for k in keys}
     df = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    assert 100_000 < session.plan_bytes(df) < 1_000_000
     try:
-        assert session.size_shuffles(spark, df) == int(before)
-        assert session.size_shuffles(spark, df, target_bytes=10_000) > int(before)
-        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > int(before)
+        session.size_partitions(spark, df)
+        assert {k: spark.conf.get(k) for k in keys} == before
+        for size, partitions, split in [(10**12, 3726, None), (10**14, 32768, 10**9), (10**16, 32768, 2**30)]:
+            monkeypatch.setattr(session, "plan_bytes", lambda _, size=size: size)
+            session.size_partitions(spark, df)
+            assert int(spark.conf.get(keys[0])) == partitions
+            assert spark.conf.get(keys[1]) == (str(split) if split else before[keys[1]])
+        monkeypatch.setattr(session, "plan_bytes", lambda _: 1)
+        session.size_partitions(spark, df)
+        assert int(spark.conf.get(keys[0])) == 32768
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def fake_session(master, settings):

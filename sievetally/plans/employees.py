@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from sievetally.functions import employees as fn
 from sievetally.operators import contracts
 from sievetally.operators.dedupe import keep_first
 from sievetally.operators.filters import drop_future_hires, drop_null_required, keep_valid_email
+from sievetally.operators.rejects import quarantine, reject_funnel
 from sievetally.schemas import (
     CLEAN_EMPLOYEE,
     CLEAN_MAX_LENGTH,
@@ -19,6 +22,7 @@ from sievetally.schemas import (
     EMPLOYEE_ORDER,
 )
 from sievetally.session import cut_lineage, pin_settings, size_partitions
+from sievetally.sinks.files import write_parquet
 from sievetally.sinks.relational import append_rows
 from sievetally.sources.files import read_employees
 
@@ -74,16 +78,26 @@ def load_employees(
     url: str,
     table: str,
     driver: str,
-    as_of,
+    as_of: date | str | None = None,
     user: str = "",
     password: str = "",
     column_types: str | None = None,
+    quarantine_path: str | None = None,
 ) -> dict[str, int]:
-    """CSV to relational table; nothing is written unless the clean rows keep the table's contract."""
+    """CSV to relational table; nothing is written unless the clean rows keep the table's contract.
+
+    Returns the reject funnel, how many accepted rows have no readable salary (they are Senior), and
+    how many rows were new to the table.
+    """
     pin_settings(spark)
-    raw = read_employees(spark, csv_path)
+    as_of = as_of or datetime.now(timezone.utc).date()
+    # CSV is parsed once; the steps below then read only the columns they need.
+    raw = cut_lineage(read_employees(spark, csv_path), "employees-raw")
     size_partitions(spark, raw)
     clean = cut_lineage(clean_employees(raw, as_of), "employees-clean")
     contracts.require(check_clean_employees(contracts.enforce_schema(clean, CLEAN_EMPLOYEE)))
+    if quarantine_path:
+        write_parquet(quarantine(raw, as_of), quarantine_path)
     added = append_rows(clean, url, table, ["employee_id"], driver, user, password, column_types)
-    return {"clean": clean.count(), "added": added}
+    counts = {r["stage"]: r["rows"] for r in reject_funnel(raw, as_of).collect()}
+    return {**counts, "salary_missing": clean.filter("salary IS NULL").count(), "added": added}

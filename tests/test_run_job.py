@@ -1,0 +1,36 @@
+"""The commands, one after the other, as a user would run them."""
+
+import pytest
+
+import run_job
+from sievetally.plans.catalog import CLEAN_TABLE, DERBY_DRIVER, STAGING_TYPES
+from sievetally.sinks.relational import run_in_transaction
+from sievetally.sinks.serving import FolderStore, read_folder_store
+
+
+def test_transaction_commands(spark, scratch, monkeypatch):
+    monkeypatch.setattr(run_job, "CqlStore", lambda hosts, keyspace, table: FolderStore(f"{scratch}/store", 1))
+    raw, root = f"{scratch}/raw", f"{scratch}/lake"
+    run_job.main(["generate-transactions", "--rows", "1200", "--out", raw, "--base-time", "2024-01-07 12:00:00", "--files", "4"])
+    run_job.main(["publish-transactions", "--raw", raw, "--root", root, "--name", "cli_transactions"])
+    assert run_job.main(["check-source", "--root", root])["has_rows"] is True
+    run_job.main(["daily-totals", "--root", root, "--name", "cli_totals"])
+    groups = spark.table("cli_totals").count()
+    assert spark.table("cli_transactions").count() == 1200 and groups > 400
+    assert run_job.main(["load-serving", "--root", root, "--hosts", "h1,h2"]) == {"served": groups}
+    assert run_job.main(["run-daily", "--root", root, "--hosts", "h1"]) == {"daily_totals": groups, "served": groups}
+    assert read_folder_store(spark, f"{scratch}/store").count() == groups
+    for name in ("cli_transactions", "cli_totals"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_employee_commands(spark, scratch, tmp_path):
+    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", str(tmp_path / "derby.log"))
+    url = f"jdbc:derby:memory:cli{tmp_path.name};create=true"
+    run_in_transaction(spark, url, [CLEAN_TABLE], DERBY_DRIVER)
+    run_job.main(["generate-employees", "--rows", "300", "--out", f"{scratch}/csv", "--as-of", "2024-01-01"])
+    with pytest.raises(SystemExit):
+        run_job.main(["clean-employees", "--input", f"{scratch}/csv"])
+    command = ["clean-employees", "--input", f"{scratch}/csv", "--url", url, "--driver", DERBY_DRIVER, "--as-of", "2024-01-01"]
+    result = run_job.main([*command, "--column-types", STAGING_TYPES, "--quarantine", f"{scratch}/rejected"])
+    assert result["raw"] == 300 and result["added"] == result["accepted"] > 0

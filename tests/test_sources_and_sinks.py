@@ -199,12 +199,14 @@ def test_employee_job_from_csv_to_table(spark, derby, scratch):
     job = partial(
         load_employees, spark, f"{scratch}/in", derby, "employees_clean", DERBY_DRIVER, AS_OF, column_types=STAGING_TYPES
     )
-    first = job()
-    assert first["clean"] == first["added"] > 50
+    first = job(quarantine_path=f"{scratch}/rejected")
+    assert first["raw"] == 600 and first["accepted"] == first["added"] > 50
     assert job()["added"] == 0
     stored = read_table(spark, derby, "employees_clean", "EMPLOYEE_ID", driver=DERBY_DRIVER)
-    assert stored.count() == first["clean"]
+    assert stored.count() == first["accepted"]
     assert stored.filter("created_at IS NULL").count() == 0
+    lost = spark.read.parquet(f"{scratch}/rejected").agg(F.sum("copies")).head()[0]
+    assert lost == first["raw"] - first["accepted"]
 
 
 def test_employee_job_stops_at_a_broken_contract(spark, derby, scratch):

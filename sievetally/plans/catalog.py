@@ -328,7 +328,8 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def synthetic_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return synth_transactions(table(spark, sf_dir, "events").select(F.col("event_id").alias("id")), BASE_TIME)
+    df = synth_transactions(table(spark, sf_dir, "events").select(F.col("event_id").alias("id")), BASE_TIME)
+    return df.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 def synthetic_employees(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from sievetally.schemas import (
     EMAIL_ORDER,
     EMPLOYEE_ORDER,
 )
-from sievetally.session import cut_lineage, pin_settings, size_partitions
+from sievetally.session import pin_settings, scratch_table, size_partitions
 from sievetally.sinks.files import write_parquet
 from sievetally.sinks.relational import append_rows
 from sievetally.sources.files import read_employees
@@ -92,12 +92,12 @@ def load_employees(
     pin_settings(spark)
     as_of = as_of or datetime.now(timezone.utc).date()
     # CSV is parsed once; the steps below then read only the columns they need.
-    raw = cut_lineage(read_employees(spark, csv_path), "employees-raw")
-    size_partitions(spark, raw)
-    clean = cut_lineage(clean_employees(raw, as_of), "employees-clean")
-    contracts.require(check_clean_employees(contracts.enforce_schema(clean, CLEAN_EMPLOYEE)))
-    if quarantine_path:
-        write_parquet(quarantine(raw, as_of), quarantine_path)
-    added = append_rows(clean, url, table, ["employee_id"], driver, user, password, column_types)
-    counts = {r["stage"]: r["rows"] for r in reject_funnel(raw, as_of).collect()}
-    return {**counts, "salary_missing": clean.filter("salary IS NULL").count(), "added": added}
+    with scratch_table(read_employees(spark, csv_path), "employees-raw") as raw:
+        size_partitions(spark, raw)
+        with scratch_table(clean_employees(raw, as_of), "employees-clean") as clean:
+            contracts.require(check_clean_employees(contracts.enforce_schema(clean, CLEAN_EMPLOYEE)))
+            if quarantine_path:
+                write_parquet(quarantine(raw, as_of), quarantine_path)
+            added = append_rows(clean, url, table, ["employee_id"], driver, user, password, column_types)
+            counts = {r["stage"]: r["rows"] for r in reject_funnel(raw, as_of).collect()}
+            return {**counts, "salary_missing": clean.filter("salary IS NULL").count(), "added": added}

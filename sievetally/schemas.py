@@ -86,6 +86,18 @@ SERVING_ROW = _struct(
     transaction_count=IntegerType(),
 )
 
+# One line per publish of a managed table.
+RUN_LOG = _struct(
+    run_id=StringType(),
+    table_name=StringType(),
+    operation=StringType(),
+    mode=StringType(),
+    num_files=LongType(),
+    num_output_rows=LongType(),
+    location=StringType(),
+    committed_at=TimestampType(),
+)
+
 REQUIRED_EMPLOYEE = ["employee_id", "first_name", "last_name", "email", "hire_date"]
 
 # Which of several rows with one key survives. Remaining columns are appended by the dedupe

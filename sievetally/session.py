@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -90,3 +92,16 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_table(df: DataFrame, label: str = "cut") -> Iterator[DataFrame]:
+    """cut_lineage for the length of a with block; its folder is removed afterwards."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -11,11 +11,13 @@ import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sievetally.operators.contracts import enforce_schema
+from sievetally.schemas import RUN_LOG
 from sievetally.sinks.files import sized
-from sievetally.sources.managed import RUN_LOG, log_path
+from sievetally.sources.managed import log_path
 
 
 def default_format(spark: SparkSession) -> str:
@@ -49,21 +51,25 @@ def publish(
     run_id = run_id or uuid.uuid4().hex
     location = f"{root.rstrip('/')}/{table}/{run_id}"
     writer.mode("errorifexists").save(location)
-    written = spark.read.format(fmt).load(location)
+    written = spark.read.format(fmt).schema(df.schema).load(location)
     # Counted from the footers of the committed files: exact even where a lost executor made
     # tasks run twice, which would count twice in accumulator-based metrics.
-    line = (
-        run_id,
-        table,
-        "WRITE",
-        "Overwrite",
-        len(written.inputFiles()),
-        written.count(),
-        location,
-        run_ts or datetime.now(timezone.utc),
-    )
+    line = {
+        "run_id": run_id,
+        "table_name": table,
+        "operation": "WRITE",
+        "mode": "Overwrite",
+        "num_files": len(written.inputFiles()),
+        "num_output_rows": written.count(),
+        "location": location,
+        "committed_at": run_ts or datetime.now(timezone.utc),
+    }
     # One folder per line: publishes of several tables may run at the same time.
-    spark.createDataFrame([line], RUN_LOG).coalesce(1).write.parquet(f"{log_path(root)}/{table}-{run_id}")
+    (
+        spark.range(0, 1, 1, 1)
+        .select(*[F.lit(line[f.name]).cast(f.dataType).alias(f.name) for f in RUN_LOG])
+        .write.parquet(f"{log_path(root)}/{table}-{run_id}")
+    )
     return location
 
 

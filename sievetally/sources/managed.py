@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RUN_LOG = (
-    "run_id string, table_name string, operation string, mode string, num_files bigint, "
-    "num_output_rows bigint, location string, committed_at timestamp"
-)
+from sievetally.schemas import RUN_LOG
 
 
 def log_path(root: str) -> str:

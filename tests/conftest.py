@@ -12,7 +12,7 @@ from sievetally.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests",
-        master="local[4]",
+        master="local[4,2]",  # a failed task gets a second attempt, as on a cluster
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.showConsoleProgress": "false",

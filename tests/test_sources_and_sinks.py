@@ -1,16 +1,17 @@
 import threading
 from datetime import date, datetime
 from functools import partial
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from sievetally import session
-from sievetally.operators.contracts import ContractViolation
+from sievetally.operators.contracts import ContractViolation, enforce_schema
 from sievetally.plans import transactions as plans
 from sievetally.plans.catalog import CLEAN_TABLE, DERBY_DRIVER, STAGING_TYPES
 from sievetally.plans.employees import load_employees
-from sievetally.schemas import DAILY_TOTAL, EMPLOYEE_TEXT, SERVING_ROW
+from sievetally.schemas import DAILY_TOTAL, EMPLOYEE_TEXT, SERVING_ROW, TRANSACTION
 from sievetally.sinks.files import sized, write_csv, write_parquet
 from sievetally.sinks.managed import default_format, publish, register_table
 from sievetally.sinks.relational import append_rows, run_in_transaction
@@ -306,6 +307,21 @@ def test_store_is_closed_when_an_upsert_fails(spark, tmp_path):
     assert (tmp_path / "closed").exists()
 
 
+def test_a_task_that_runs_again_repeats_its_upserts(spark, scratch):
+    class DiesOnce(FolderStore):
+        def upsert(self, batch):
+            from pyspark import TaskContext
+
+            super().upsert(batch)
+            if TaskContext.get().attemptNumber() == 0:
+                raise ConnectionError("lost after the write")
+
+    pairs = [(f"C{i}", "2024-01-01", float(i), i) for i in range(50)]
+    assert load_serving(totals(spark, pairs), partial(DiesOnce, f"{scratch}/s", 1), writers=4) == 50
+    assert spark.read.parquet(f"{scratch}/s").count() == 50
+    assert read_folder_store(spark, f"{scratch}/s").count() == 50
+
+
 def test_cql_store_sends_prepared_rows(monkeypatch):
     """Against stand-ins for the driver package, which is not installed here."""
     import sys
@@ -376,6 +392,8 @@ def test_daily_run_stops_without_source(spark, scratch):
 
 def test_transactions_look_as_declared(spark):
     df = synth_transactions(row_ids(spark, 2000), "2024-01-07 00:00:00")
+    assert enforce_schema(df, TRANSACTION).columns == TRANSACTION.names
+    df = df.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
     found = df.agg(
         F.count("*"), F.count_distinct("transaction_id"), F.min("amount"), F.max("amount"),
         F.count_distinct("customer_id"), F.count_distinct("merchant"), F.min("timestamp"), F.max("timestamp"),
@@ -458,6 +476,15 @@ def test_cut_lineage_reads_back_what_was_written(spark):
     assert len(cut.inputFiles()) > 0
 
 
+def test_scratch_table_is_removed(spark):
+    with pytest.raises(RuntimeError, match="stop"):
+        with session.scratch_table(spark.range(5), "five") as kept:
+            folder = Path(kept.inputFiles()[0].removeprefix("file:")).parent
+            assert kept.count() == 5 and folder.exists()
+            raise RuntimeError("stop")
+    assert not folder.exists()
+
+
 def test_publishes_at_the_same_time(spark, scratch):
     errors = []
 

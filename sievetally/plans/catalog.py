@@ -19,7 +19,9 @@ from sievetally.plans import employees as employee_plans
 from sievetally.plans import transactions as transaction_plans
 from sievetally.plans.bindings import AS_OF, employees, employees_text, table, transactions
 from sievetally.schemas import (
+    CLEAN_EMPLOYEE,
     CLEAN_MAX_LENGTH,
+    CLEAN_NOT_NULL,
     CLEAN_NUMERIC,
     DAILY_KEY,
     REQUIRED_EMPLOYEE,
@@ -28,7 +30,7 @@ from sievetally.schemas import (
 from sievetally.session import cut_lineage, scratch_dir
 from sievetally.sinks.files import write_csv, write_parquet
 from sievetally.sinks.managed import publish, register_table
-from sievetally.sinks.relational import append_rows, run_in_transaction
+from sievetally.sinks.relational import append_rows, create_table, run_in_transaction, staging_types
 from sievetally.sinks.serving import (
     FolderStore,
     load_serving,
@@ -45,18 +47,18 @@ RUN_TS = datetime(2024, 1, 1, 6, 0, 0)
 BASE_TIME = "2024-01-01 00:00:00"
 WRITERS = 8
 
-# Clean table as created in a relational database; the last two columns are filled by defaults.
-CLEAN_TABLE = """CREATE TABLE employees_clean (
-    employee_id INTEGER NOT NULL PRIMARY KEY, first_name VARCHAR(50) NOT NULL, last_name VARCHAR(50) NOT NULL,
-    full_name VARCHAR(100) NOT NULL, email VARCHAR(100) NOT NULL UNIQUE, email_domain VARCHAR(50),
-    hire_date DATE NOT NULL, job_title VARCHAR(100), department VARCHAR(50), salary DECIMAL(10,2),
-    salary_band VARCHAR(20), manager_id INTEGER, address VARCHAR(2000), city VARCHAR(50), state VARCHAR(2),
-    zip_code VARCHAR(10), birth_date DATE, age INTEGER, tenure_years DECIMAL(3,1),
-    status VARCHAR(20) DEFAULT 'Active', created_at TIMESTAMP DEFAULT CURRENT_TIMESTAMP,
-    updated_at TIMESTAMP DEFAULT CURRENT_TIMESTAMP)"""
-STAGING_TYPES = ", ".join(
-    [f"{name} VARCHAR({n})" for name, n in CLEAN_MAX_LENGTH.items()] + ["address VARCHAR(2000)"]
+# The clean table in a database whose long text cannot be compared.
+CLEAN_TABLE = create_table(
+    "employees_clean",
+    CLEAN_EMPLOYEE,
+    CLEAN_MAX_LENGTH,
+    CLEAN_NOT_NULL,
+    key=["employee_id"],
+    unique=[["email"]],
+    defaults={"status": "'Active'", "created_at": "CURRENT_TIMESTAMP", "updated_at": "CURRENT_TIMESTAMP"},
+    text="VARCHAR(2000)",
 )
+STAGING_TYPES = staging_types(CLEAN_EMPLOYEE, CLEAN_MAX_LENGTH, "VARCHAR(2000)")
 DERBY_DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
 
 

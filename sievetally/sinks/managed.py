@@ -59,7 +59,7 @@ def publish(
         "table_name": table,
         "operation": "WRITE",
         "mode": "Overwrite",
-        "num_files": len(written.inputFiles()),
+        "num_files": len(written._jdf.inputFiles()),
         "num_output_rows": written.count(),
         "location": location,
         "committed_at": run_ts or datetime.now(timezone.utc),

@@ -1,6 +1,7 @@
 """Every catalog query against the same query in SQL, on whole tables."""
 
 import math
+import os
 from pathlib import Path
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-SF = "/root/testdata/sf0.01"
+SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="module")

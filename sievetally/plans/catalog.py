@@ -30,7 +30,7 @@ from sievetally.schemas import (
 from sievetally.session import cut_lineage, scratch_dir
 from sievetally.sinks.files import write_csv, write_parquet
 from sievetally.sinks.managed import publish, register_table
-from sievetally.sinks.relational import append_rows, create_table, run_in_transaction, staging_types
+from sievetally.sinks.relational import create_table, run_in_transaction, staging_types
 from sievetally.sinks.serving import (
     FolderStore,
     load_serving,
@@ -285,9 +285,10 @@ def managed_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def managed_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table replaced by a filtered version of itself."""
-    root, name = scratch_dir(spark, "lake"), transaction_plans.TRANSACTIONS
-    publish(transactions(spark, sf_dir), name, root)
+    """Raw files published as a table, then the table replaced by a filtered version of itself."""
+    root, raw, name = scratch_dir(spark, "lake"), scratch_dir(spark, "raw"), transaction_plans.TRANSACTIONS
+    write_parquet(transactions(spark, sf_dir), raw)
+    transaction_plans.publish_transactions(spark, raw, root)
     publish(filters.keep_positive_amounts(read_managed(spark, name, root)), name, root)
     return read_managed(spark, name, root)
 
@@ -310,7 +311,7 @@ def available(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load, load again (adds nothing), read back.
+    """The whole employee job: CSV to table, the same again (adds nothing), read back.
 
     The embedded database lives in the driver process, so this query needs a local session. On a
     cluster the same functions take the URL of a database that all executors reach.
@@ -319,11 +320,14 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark._jvm.java.lang.System.setProperty("derby.stream.error.file", log)
     url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
     run_in_transaction(spark, url, [CLEAN_TABLE], DERBY_DRIVER)
-    clean = cut_lineage(employee_etl(spark, sf_dir), "employees-clean")
-    contracts.require(employee_plans.check_clean_employees(clean))
+    path = scratch_dir(spark, "employees-csv")
+    write_csv(employees_text(spark, sf_dir), path)
     for _ in range(2):
-        append_rows(clean, url, "employees_clean", ["employee_id"], DERBY_DRIVER, column_types=STAGING_TYPES)
-    return read_table(spark, url, "employees_clean", "EMPLOYEE_ID", driver=DERBY_DRIVER).select(*clean.columns)
+        employee_plans.load_employees(
+            spark, path, url, "employees_clean", DERBY_DRIVER, AS_OF, column_types=STAGING_TYPES
+        )
+    stored = read_table(spark, url, "employees_clean", "EMPLOYEE_ID", driver=DERBY_DRIVER)
+    return stored.select(*CLEAN_EMPLOYEE.names)
 
 
 # --- generators, one row per row of a given table -------------------------------------------------

@@ -83,6 +83,7 @@ def load_employees(
     password: str = "",
     column_types: str | None = None,
     quarantine_path: str | None = None,
+    writers: int = 8,
 ) -> dict[str, int]:
     """CSV to relational table; nothing is written unless the clean rows keep the table's contract.
 
@@ -98,6 +99,6 @@ def load_employees(
             contracts.require(check_clean_employees(contracts.enforce_schema(clean, CLEAN_EMPLOYEE)))
             if quarantine_path:
                 write_parquet(quarantine(raw, as_of), quarantine_path)
-            added = append_rows(clean, url, table, ["employee_id"], driver, user, password, column_types)
+            added = append_rows(clean, url, table, ["employee_id"], driver, user, password, column_types, writers)
             counts = {r["stage"]: r["rows"] for r in reject_funnel(raw, as_of).collect()}
             return {**counts, "salary_missing": clean.filter("salary IS NULL").count(), "added": added}

@@ -184,6 +184,7 @@ def test_email_dedupe_ignores_case(raw):
         ("a@b..co", True),
         ("ann@company", False),
         ("a b@c.co", False),
+        ("a@b.co\n", True),  # the end anchor also matches before a last line break
         ("a@b.c", False),
         ("@b.co", False),
         ("", False),

@@ -133,6 +133,12 @@ def test_publish_checks_the_schema(spark, scratch):
         publish(spark.range(5), "t", scratch, schema=DAILY_TOTAL)
 
 
+def test_publish_in_another_file_format(spark, scratch):
+    publish(spark.range(6), "t", scratch, fmt="orc")
+    assert read_managed(spark, "t", scratch, "orc").count() == 6
+    assert history(spark, "t", scratch).head()["num_output_rows"] == 6
+
+
 def test_register_follows_the_newest_publish(spark, scratch):
     name = "registered_table"
     register_table(spark, name, publish(spark.range(10), "t", scratch))

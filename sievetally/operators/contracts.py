@@ -13,25 +13,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-REPORT = "rule string, column string, violations bigint"
-
-
 class ContractViolation(ValueError):
     """Data or schema breaks the contract of the table it was meant for."""
 
 
-def _one_pass(df: DataFrame, rule: str, violated: Mapping[str, Column]) -> DataFrame:
-    """All conditions in one scan, one output row per column."""
-    counts = df.agg(*[F.count_if(condition).alias(name) for name, condition in violated.items()])
-    report = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(rule).alias("rule"), F.lit(name).alias("column"), F.col(name).alias("violations"))
-                for name in violated
-            ]
-        )
-    )
-    return counts.select(report.alias("r")).select("r.*")
+# A rule that looks at one row: name, column, and the condition that breaks it.
+RowRule = tuple[str, str, Column]
+
+
+def _count_broken(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
+    """All rules in one scan, one output row per rule."""
+    counts = df.agg(*[F.count_if(broken).alias(f"_{number}") for number, (_, _, broken) in enumerate(rules)])
+    rows = [
+        F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column"), F.col(f"_{number}").alias("violations"))
+        for number, (rule, column, _) in enumerate(rules)
+    ]
+    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def _null_rules(columns: Sequence[str]) -> list[RowRule]:
+    return [("not_null", c, F.col(c).isNull()) for c in columns]
+
+
+def _length_rules(limits: Mapping[str, int]) -> list[RowRule]:
+    return [("max_length", c, F.length(c) > n) for c, n in limits.items()]
+
+
+def _numeric_rules(types: Mapping[str, str]) -> list[RowRule]:
+    return [("numeric_fit", c, F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()) for c, t in types.items()]
 
 
 def check_unique(df: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
@@ -51,20 +60,16 @@ def check_unique(df: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
 
 
 def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return _one_pass(df, "not_null", {c: F.col(c).isNull() for c in columns})
+    return _count_broken(df, _null_rules(columns))
 
 
 def check_length(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
-    return _one_pass(df, "max_length", {c: F.length(c) > n for c, n in limits.items()})
+    return _count_broken(df, _length_rules(limits))
 
 
 def check_numeric_fit(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Values that are set but do not fit the declared numeric type."""
-    return _one_pass(
-        df,
-        "numeric_fit",
-        {c: F.col(c).isNotNull() & F.col(c).try_cast(t).isNull() for c, t in types.items()},
-    )
+    return _count_broken(df, _numeric_rules(types))
 
 
 def check_outcome(raw: DataFrame, clean: DataFrame, critical: Sequence[str]) -> DataFrame:
@@ -101,20 +106,12 @@ def check_all(
     max_length: Mapping[str, int] | None = None,
     numeric: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """The named checks in one report."""
-    reports = []
-    if unique:
-        reports.append(check_unique(df, unique))
-    if not_null:
-        reports.append(check_not_null(df, not_null))
-    if max_length:
-        reports.append(check_length(df, max_length))
-    if numeric:
-        reports.append(check_numeric_fit(df, numeric))
-    report = reports[0]
-    for other in reports[1:]:
-        report = report.unionByName(other)
-    return report
+    """The named checks in one report: one scan per key and one for all other rules."""
+    rules = _null_rules(not_null) + _length_rules(max_length or {}) + _numeric_rules(numeric or {})
+    if not rules:
+        return check_unique(df, unique)
+    report = _count_broken(df, rules)
+    return check_unique(df, unique).unionByName(report) if unique else report
 
 
 def require(report: DataFrame) -> None:

@@ -37,6 +37,15 @@ def test_require(people):
         contracts.require(contracts.check_all(people, unique=[["id"]], not_null=["email", "id"]))
 
 
+def test_all_row_rules_share_one_scan(people, capsys):
+    report_df = contracts.check_all(people, not_null=["id", "email"], max_length={"state": 2}, numeric={"pay": "int"})
+    report_df.explain()
+    assert capsys.readouterr().out.count("Scan") == 1
+    assert report(report_df) == {
+        ("not_null", "id"): 0, ("not_null", "email"): 2, ("max_length", "state"): 1, ("numeric_fit", "pay"): 2
+    }
+
+
 def test_outcome(people):
     good = contracts.check_outcome(people, people.dropna(), ["email"])
     assert set(report(good).values()) == {0}

@@ -248,6 +248,10 @@ def test_upsert_replaces_and_never_deletes(spark, scratch):
     ]
 
 
+def test_empty_load(spark, scratch):
+    assert load_serving(totals(spark, []), partial(FolderStore, f"{scratch}/s", 1)) == 0
+
+
 def test_serving_types_and_overflow(spark):
     assert serving_rows(totals(spark, [("C1", "2024-01-01", 1.0, 1)])).schema == SERVING_ROW
     with pytest.raises(Exception, match="CAST_OVERFLOW"):

@@ -73,10 +73,25 @@ def publish(
     return location
 
 
+def _is_partitioned(spark: SparkSession, name: str) -> bool:
+    return any(column.isPartition for column in spark.catalog.listColumns(name))
+
+
 def register_table(spark: SparkSession, name: str, location: str, fmt: str = "parquet") -> None:
     """Make the folder readable as a catalog table; an existing name is pointed to the new folder."""
+    create = f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{location}'"
+    if fmt == "delta":
+        spark.sql(create)
+        return
     exists = spark.catalog.tableExists(name)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{location}'")
-    if exists and fmt != "delta":
+    if exists and _is_partitioned(spark, name):
+        # Each partition has its own place in the catalog, so the entry is made anew; files stay.
+        spark.sql(f"DROP TABLE {name}")
+        exists = False
+    if exists:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         spark.catalog.refreshTable(name)
+        return
+    spark.sql(create)
+    if _is_partitioned(spark, name):
+        spark.catalog.recoverPartitions(name)

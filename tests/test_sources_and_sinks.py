@@ -148,10 +148,28 @@ def test_register_follows_the_newest_publish(spark, scratch):
 
 
 def test_partitioned_publish(spark, scratch):
-    df = spark.range(100).select("id", (F.col("id") % 4).cast("int").alias("day"))
-    publish(df, "t", scratch, partition_by=["day"])
-    back = read_managed(spark, "t", scratch)
-    assert back.filter("day = 3").count() == 25 and back.count() == 100
+    name = "by_day"
+    for rows_in in (100, 60):
+        df = spark.range(rows_in).select("id", (F.col("id") % 4).cast("int").alias("day"))
+        register_table(spark, name, publish(df, "t", scratch, partition_by=["day"]))
+        back = read_managed(spark, "t", scratch)
+        assert back.filter("day = 3").count() == rows_in // 4 and back.count() == rows_in
+        assert spark.table(name).filter("day = 3").count() == rows_in // 4
+        assert spark.table(name).count() == rows_in
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_daily_totals_by_day(spark, scratch):
+    write_parquet(synth_transactions(row_ids(spark, 500), "2024-01-07 12:00:00"), f"{scratch}/raw")
+    plans.publish_transactions(spark, f"{scratch}/raw", f"{scratch}/lake")
+    plans.publish_daily_totals(spark, f"{scratch}/lake")
+    whole = read_managed(spark, plans.DAILY_TOTALS, f"{scratch}/lake")
+    expected = rows(whole)
+    plans.publish_daily_totals(spark, f"{scratch}/lake", partition_by=["transaction_date"])
+    by_day = read_managed(spark, plans.DAILY_TOTALS, f"{scratch}/lake")
+    assert rows(by_day.select(*whole.columns)) == expected
+    assert "transaction_date" in by_day.inputFiles()[0]
+    assert plans.load_daily_totals(spark, f"{scratch}/lake", partial(FolderStore, f"{scratch}/s", 1)) == len(expected)
 
 
 def test_source_available(spark, scratch):

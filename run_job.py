@@ -28,7 +28,7 @@ def clean_employees(spark, args):
     password = os.environ.get(args.password_env, "") if args.password_env else ""
     return employees.load_employees(
         spark, args.input, args.url, args.table, args.driver, args.as_of, args.user, password,
-        column_types=args.column_types, quarantine_path=args.quarantine,
+        column_types=args.column_types, quarantine_path=args.quarantine, writers=args.writers,
     )
 
 
@@ -37,8 +37,8 @@ def generate_transactions(spark, args):
     return {"rows": args.rows}
 
 
-def _publish(job, spark, args, *source):
-    log = job(spark, *source, args.root, args.name, fmt=default_format(spark))
+def _publish(job, spark, args, *source, **options):
+    log = job(spark, *source, args.root, args.name, fmt=default_format(spark), **options)
     log.show(truncate=False)
     return {"published": args.name or args.root}
 
@@ -48,7 +48,8 @@ def publish_transactions(spark, args):
 
 
 def daily_totals(spark, args):
-    return _publish(transactions.publish_daily_totals, spark, args)
+    days = ["transaction_date"] if args.by_day else None
+    return _publish(transactions.publish_daily_totals, spark, args, partition_by=days)
 
 
 def check_source(spark, args):
@@ -94,6 +95,7 @@ def parser() -> argparse.ArgumentParser:
         "clean-employees", clean_employees, ("--input", needed), ("--url", needed),
         ("--table", {"default": "employees_clean"}), ("--driver", {"default": "org.postgresql.Driver"}),
         ("--user", {"default": ""}), ("--password-env", optional), ("--as-of", optional), ("--quarantine", optional),
+        ("--writers", {"type": int, "default": 8}),
         ("--column-types", {"default": None, "help": "column types of the staging table, as in Spark's createTableColumnTypes"}),
     )
     job(
@@ -101,7 +103,7 @@ def parser() -> argparse.ArgumentParser:
         ("--files", {"type": int, "default": None}),
     )
     job("publish-transactions", publish_transactions, ("--raw", needed), root, name)
-    job("daily-totals", daily_totals, root, name)
+    job("daily-totals", daily_totals, root, name, ("--by-day", {"action": "store_true"}))
     job("check-source", check_source, root)
     job("load-serving", load_serving, root, *store)
     job("run-daily", run_daily, root, *store)

@@ -90,7 +90,9 @@ def load_daily_totals(
     spark: SparkSession, root: str, connect: Callable[[], object], writers: int = 2, fmt: str = "parquet"
 ) -> int:
     """Managed daily totals to the serving store; the key is checked before the first upsert."""
+    pin_settings(spark)
     totals = read_managed(spark, DAILY_TOTALS, root, fmt)
+    size_partitions(spark, totals)
     contracts.require(contracts.check_all(totals, unique=[DAILY_KEY], not_null=DAILY_KEY))
     return load_serving(totals, connect, writers)
 

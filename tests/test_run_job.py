@@ -15,12 +15,14 @@ def test_transaction_commands(spark, scratch, monkeypatch):
     run_job.main(["publish-transactions", "--raw", raw, "--root", root, "--name", "cli_transactions"])
     assert run_job.main(["check-source", "--root", root])["has_rows"] is True
     run_job.main(["daily-totals", "--root", root, "--name", "cli_totals"])
+    run_job.main(["daily-totals", "--root", root, "--name", "cli_totals_by_day", "--by-day"])
+    assert spark.table("cli_totals_by_day").count() == spark.table("cli_totals").count()
     groups = spark.table("cli_totals").count()
     assert spark.table("cli_transactions").count() == 1200 and groups > 400
     assert run_job.main(["load-serving", "--root", root, "--hosts", "h1,h2"]) == {"served": groups}
     assert run_job.main(["run-daily", "--root", root, "--hosts", "h1"]) == {"daily_totals": groups, "served": groups}
     assert read_folder_store(spark, f"{scratch}/store").count() == groups
-    for name in ("cli_transactions", "cli_totals"):
+    for name in ("cli_transactions", "cli_totals", "cli_totals_by_day"):
         spark.sql(f"DROP TABLE {name}")
 
 

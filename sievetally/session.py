@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -51,6 +52,12 @@ def plan_bytes(df: DataFrame) -> int:
     return size if size < UNKNOWN_SIZE else 0
 
 
+def byte_count(text: str) -> int:
+    """Bytes of a Spark size setting such as 134217728b, 128MB or 1g."""
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", text.strip().lower()).groups()
+    return int(number) * 1024 ** " kmgt".index(unit or " ")
+
+
 def size_partitions(spark: SparkSession, *inputs: DataFrame) -> None:
     """Raise shuffle partition count and scan task size to fit the inputs; never lower them.
 
@@ -63,7 +70,7 @@ def size_partitions(spark: SparkSession, *inputs: DataFrame) -> None:
     if partitions > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     scan = min(total // MAX_SCAN_TASKS, MAX_SCAN_BYTES)
-    if scan > 128 * MB:
+    if scan > byte_count(spark.conf.get("spark.sql.files.maxPartitionBytes")):
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan))
 
 

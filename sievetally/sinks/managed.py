@@ -40,12 +40,12 @@ def publish(
     spark = df.sparkSession
     if schema is not None:
         df = enforce_schema(df, schema)
-    writer = sized(df, files, partition_by).write.format(fmt).mode("overwrite")
+    writer = sized(df, files, partition_by).write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "delta":
         location = f"{root.rstrip('/')}/{table}"
-        writer.save(location)
+        writer.mode("overwrite").save(location)
         return location
 
     run_id = run_id or uuid.uuid4().hex

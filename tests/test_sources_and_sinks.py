@@ -470,14 +470,21 @@ def test_partitions_follow_the_input_and_only_grow(spark, monkeypatch):
             session.size_partitions(spark, df)
             assert int(spark.conf.get(keys[0])) == partitions
             assert spark.conf.get(keys[1]) == (str(split) if split else before[keys[1]])
-        monkeypatch.setattr(session, "plan_bytes", lambda _: 1)
-        session.size_partitions(spark, df)
-        assert int(spark.conf.get(keys[0])) == 32768
+        spark.conf.set(keys[1], "2g")
+        for size in (1, 10**16):
+            monkeypatch.setattr(session, "plan_bytes", lambda _, size=size: size)
+            session.size_partitions(spark, df)
+            assert (spark.conf.get(keys[0]), spark.conf.get(keys[1])) == ("32768", "2g")
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
 
 
+def test_byte_counts():
+    sizes = {"134217728b": 2**27, "134217728": 2**27, "128MB": 2**27, "1g": 2**30, "64k": 2**16, "2TB": 2**41}
+    assert {text: session.byte_count(text) for text in sizes} == sizes
+
+
 def fake_session(master, settings):
     class Fake:
         conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: settings.get(key, default))})

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sievetally.operators.reports import spread
+
 class ContractViolation(ValueError):
     """Data or schema breaks the contract of the table it was meant for."""
 
@@ -28,7 +30,7 @@ def _count_broken(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
         F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column"), F.col(f"_{number}").alias("violations"))
         for number, (rule, column, _) in enumerate(rules)
     ]
-    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return spread(counts, rows)
 
 
 def _null_rules(columns: Sequence[str]) -> list[RowRule]:
@@ -81,22 +83,21 @@ def check_outcome(raw: DataFrame, clean: DataFrame, critical: Sequence[str]) ->
         clean.select(F.lit(0).alias("raw"), F.lit(1).alias("clean"), any_null.cast("int").alias("nulls"))
     )
     counts = rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("raw", "clean", "nulls")])
-    return counts.select(
-        F.explode(
-            F.array(
-                F.struct(
-                    F.lit("clean_below_raw").alias("rule"),
-                    F.lit("*").alias("column"),
-                    F.when(F.col("clean") < F.col("raw"), 0).otherwise(1).cast("bigint").alias("violations"),
-                ),
-                F.struct(
-                    F.lit("critical_not_null").alias("rule"),
-                    F.lit(",".join(critical)).alias("column"),
-                    F.col("nulls").alias("violations"),
-                ),
-            )
-        ).alias("r")
-    ).select("r.*")
+    return spread(
+        counts,
+        [
+            F.struct(
+                F.lit("clean_below_raw").alias("rule"),
+                F.lit("*").alias("column"),
+                F.when(F.col("clean") < F.col("raw"), 0).otherwise(1).cast("bigint").alias("violations"),
+            ),
+            F.struct(
+                F.lit("critical_not_null").alias("rule"),
+                F.lit(",".join(critical)).alias("column"),
+                F.col("nulls").alias("violations"),
+            ),
+        ],
+    )
 
 
 def check_all(
@@ -138,7 +139,7 @@ def check_schema(df: DataFrame, declared: StructType) -> DataFrame:
         )
         for name in names
     ]
-    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return spread(counts, rows)
 
 
 def enforce_schema(df: DataFrame, declared: StructType) -> DataFrame:

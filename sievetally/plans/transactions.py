@@ -11,6 +11,7 @@ from sievetally.functions.transactions import exact_amount, is_positive, transac
 from sievetally.operators import contracts
 from sievetally.operators.dedupe import keep_first
 from sievetally.operators.filters import keep_positive_amounts
+from sievetally.operators.reports import stage_rows
 from sievetally.operators.totals import total_by_customer_day
 from sievetally.schemas import DAILY_KEY, DAILY_TOTAL, TRANSACTION_ORDER
 from sievetally.session import pin_settings, size_partitions
@@ -57,8 +58,7 @@ def stage_counts(df: DataFrame) -> DataFrame:
         *[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in stages],
         F.count_if(F.col("positive") > 0).alias("daily_totals"),
     )
-    rows = [F.struct(F.lit(s).alias("stage"), F.col(s).alias("rows")) for s in [*stages, "daily_totals"]]
-    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return stage_rows(counts, [*stages, "daily_totals"])
 
 
 def publish_transactions(

@@ -64,7 +64,8 @@ def load_serving(
         try:
             for batch in batches:
                 if batch.num_rows:
-                    store = store or open_store(connect, tries, wait_seconds)
+                    if store is None:
+                        store = open_store(connect, tries, wait_seconds)
                     store.upsert(batch)
                     sent += batch.num_rows
         finally:

@@ -3,7 +3,7 @@
 import random
 import re
 from collections import Counter, defaultdict
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
@@ -137,7 +137,7 @@ def test_employees(spark, seed):
 @pytest.mark.parametrize("seed", range(4))
 def test_transactions(spark, seed):
     rng = random.Random(seed)
-    start = datetime(2024, 1, 1)
+    start = datetime(2024, 1, 1, tzinfo=timezone.utc)
     rows = []
     for i in range(600):
         rows.append(

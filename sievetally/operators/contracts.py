@@ -7,7 +7,7 @@ compared; `require` turns a report into an error.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -157,6 +157,11 @@ def enforce_schema(df: DataFrame, declared: StructType) -> DataFrame:
 
 
 def add_audit_columns(df: DataFrame, run_ts: datetime | str) -> DataFrame:
-    """created_at and updated_at for sinks without column defaults; one value for the whole run."""
-    stamp = F.lit(run_ts).cast("timestamp_ntz")
+    """created_at and updated_at for sinks without column defaults; one value for the whole run.
+
+    The value is UTC; a datetime without zone is taken as it is, whatever zone the driver is in.
+    """
+    if isinstance(run_ts, datetime) and run_ts.tzinfo is not None:
+        run_ts = run_ts.astimezone(timezone.utc).replace(tzinfo=None)
+    stamp = F.lit(str(run_ts)).cast("timestamp_ntz")
     return df.withColumns({"created_at": stamp, "updated_at": stamp})

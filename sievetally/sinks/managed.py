@@ -36,7 +36,7 @@ def publish(
     run_id: str | None = None,
     run_ts: datetime | None = None,
 ) -> str:
-    """Replace the table by df; returns the folder that now holds it."""
+    """Replace the table by df; returns the folder that now holds it. run_ts without zone is UTC."""
     spark = df.sparkSession
     if schema is not None:
         df = enforce_schema(df, schema)
@@ -49,6 +49,9 @@ def publish(
         return location
 
     run_id = run_id or uuid.uuid4().hex
+    run_ts = run_ts or datetime.now(timezone.utc)
+    if run_ts.tzinfo is None:
+        run_ts = run_ts.replace(tzinfo=timezone.utc)
     location = f"{root.rstrip('/')}/{table}/{run_id}"
     writer.mode("errorifexists").save(location)
     written = spark.read.format(fmt).schema(df.schema).load(location)
@@ -62,7 +65,7 @@ def publish(
         "num_files": len(written._jdf.inputFiles()),
         "num_output_rows": written.count(),
         "location": location,
-        "committed_at": run_ts or datetime.now(timezone.utc),
+        "committed_at": run_ts,
     }
     # One folder per line: publishes of several tables may run at the same time.
     (

@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 
@@ -73,5 +73,6 @@ def test_check_schema_rows(spark):
 
 def test_audit_columns(people):
     stamp = datetime(2024, 1, 1, 6)
-    row = contracts.add_audit_columns(people, stamp).head()
-    assert row["created_at"] == row["updated_at"] == stamp
+    for given in (stamp, "2024-01-01 06:00:00", datetime(2024, 1, 1, 11, 30, tzinfo=timezone(timedelta(hours=5.5)))):
+        row = contracts.add_audit_columns(people, given).head()
+        assert row["created_at"] == row["updated_at"] == stamp

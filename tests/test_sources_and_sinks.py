@@ -1,5 +1,5 @@
 import threading
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from functools import partial
 from pathlib import Path
 
@@ -117,6 +117,8 @@ def test_publish_replaces_and_logs(spark, scratch):
         ("a", 10, "Overwrite", "WRITE"),
     ]
     assert all(r["num_files"] >= 1 for r in log)
+    committed = history(spark, "t", scratch).select(F.unix_timestamp("committed_at")).head()[0]
+    assert committed == datetime(2024, 1, 1, 2, tzinfo=timezone.utc).timestamp()
 
 
 def test_failed_publish_leaves_the_table(spark, scratch):

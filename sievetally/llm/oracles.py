@@ -53,4 +53,28 @@ ORACLES = {
                if(page_id = first, NULL, first) AS refers_to
         FROM d
     """,
+    "op10_jaccard": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ), s AS MATERIALIZED (
+            SELECT doc_id, list_distinct(CASE
+                WHEN len(w) = 0 THEN []
+                WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+            FROM w
+        ), u AS MATERIALIZED (SELECT doc_id, len(s) AS n, hash(x) AS x FROM (SELECT doc_id, s, unnest(s) AS x FROM s)),
+        links AS MATERIALIZED (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id AND 4 * least(a.n, b.n) >= 3 * greatest(a.n, b.n)
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n
+            HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+        ), reach(a, b) AS (
+            SELECT a, b FROM links
+            UNION
+            SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        ), least AS (SELECT a, least(a, min(b)) AS component_id FROM reach GROUP BY a)
+        SELECT doc_id, len(s) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+        FROM s LEFT JOIN least ON a = doc_id
+    """,
 }

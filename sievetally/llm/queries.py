@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievetally.llm import bpe, langid, near_vectors, packing, token_scan, topk, toxicity, vocabulary, warc_zip
+from sievetally.llm import bpe, jaccard_tree, langid, near_vectors, packing, token_scan, topk, toxicity, vocabulary, warc_zip
 from sievetally.llm.common import fold, table
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -75,6 +75,12 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate documents by five-word shingles and a similarity of 0.75."""
+    found = jaccard_tree.jaccard_join(table(spark, sf_dir, "documents"), words=5, percent=75)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_topk": op2_topk,
@@ -84,4 +90,5 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
+    "op10_jaccard": op10_jaccard,
 }

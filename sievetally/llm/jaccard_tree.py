@@ -118,13 +118,11 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
                 sizes.append(len(hashes))
                 digests.append(_describe(hashes)[0] if len(hashes) else None)
                 np.add.at(counts, (hashes % np.uint64(SKETCH)).astype(np.int64), 1)
-            none = pa.nulls(len(sizes))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), none.cast(pa.int32()), none.cast(pa.binary())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())], names=schema.names)
         if kind is not None:
             parts = counts.reshape(-1, SKETCH_CHUNK)
-            none = pa.nulls(len(parts))
             packed = [np.minimum(p, 2**32 - 1).astype("<u4").tobytes() for p in parts]
-            yield pa.RecordBatch.from_arrays([none.cast(kind), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(range(len(parts)), pa.int32()), pa.array(packed, pa.binary())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(parts), kind), pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.binary()), pa.array(range(len(parts)), pa.int32()), pa.array(packed, pa.binary())], names=schema.names)
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(describe, schema)
 
@@ -430,3 +428,18 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     filled = rows.where("n > 0").join(named, "digest").selectExpr("doc_id", "n AS n_shingles", "first AS component_id", "component")
     empty = rows.where("n = 0").selectExpr("doc_id", "n AS n_shingles", "doc_id AS component_id", "CAST(NULL AS LONG) AS component")
     return filled.unionByName(empty)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs that stay when each component of jaccard_join() keeps one: that of the smallest id, a null id last.
+
+    Ids that repeat are told apart by their texts; of rows equal in both one stays. Rows without words all stay.
+    """
+    own = docs.columns
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    named = docs.withColumn("__id", F.struct(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"), F.md5(text.cast("binary")).alias("text")))
+    found = jaccard_join(named.select("__id", text_col), "__id", text_col, words, percent)
+    first = found.where("component IS NULL OR doc_id = component_id").groupBy(F.col("doc_id").alias("__id"))
+    first = cut_lineage(first.agg(F.when(F.max("component").isNull(), 1).otherwise(F.count(F.lit(1))).alias("__n")), "kept")
+    rows = named.join(first, "__id")
+    return rows.where("__n = 1").unionByName(rows.where("__n > 1").dropDuplicates(["__id"])).select(own)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievetally.llm import bpe, jaccard_tree, langid, near_vectors, packing, token_scan, topk, toxicity, vocabulary, warc_zip
+from sievetally.llm import bpe, jaccard_tree, langid, near_vectors, packing, pii, token_scan, topk, toxicity, vocabulary, warc_zip
 from sievetally.llm.common import fold, table
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -45,6 +45,13 @@ def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [pii.of_kind(F.col("base"), k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by a model of three quarters of them."""
     docs = table(spark, sf_dir, "documents")
@@ -86,6 +93,7 @@ QUERIES = {
     "op2_topk": op2_topk,
     "op3_toxicity": op3_toxicity,
     "op4_near_vectors": op4_near_vectors,
+    "op5_pii": op5_pii,
     "op6_langid": op6_langid,
     "op7_token_counts": op7_token_counts,
     "op8_packing": op8_packing,

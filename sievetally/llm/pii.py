@@ -2,9 +2,9 @@
 
 All of it is column functions, joins and grouped sums. Base finds are the seeds. The words around
 a seed are its lexical patterns; other strings of digits or with an @ that stand in the same patterns are
-candidates. Patterns and candidate strings form a graph, whose scores go back and forth: a pattern
-is as sure as the share of its strings that are sure, a string as sure as its patterns together make
-it. What sure patterns with enough seeds surround is personal data too.
+candidates. Patterns and candidate strings form a graph, scored in rounds: a pattern is as sure as the
+share of its strings that are sure, a string as sure as its best pattern. What sure patterns with
+enough sure strings surround is personal data too.
 """
 
 from __future__ import annotations
@@ -143,24 +143,31 @@ def _occurrences(scanned: DataFrame) -> DataFrame:
     return rows.select("key", "start", "stop", "value", F.get(inside, F.lit(0))["kind"].alias("seed"), F.explode(patterns).alias("pattern"))
 
 
+def _shaped() -> Column:
+    """Whether a string may be of its kind at all."""
+    return reduce(lambda rest, k: F.when(F.col("kind") == k, F.rlike("value", F.lit(SHAPES[KINDS[k]]))).otherwise(rest), range(len(KINDS)), F.lit(False))
+
+
 def _sure_patterns(seen: DataFrame, rounds: int, least_score: float, least_seeds: int) -> DataFrame:
-    """(pattern, kind) of the patterns that are sure after the given rounds.
+    """(pattern, kind, score) of the patterns that are sure after the given rounds.
 
-    A pattern's score for a kind is the sum of its strings' scores over their number and one more; a string's score is
-    1 for seeds, else what its patterns leave of doubt together: 1 - product(1 - score). Only patterns with seeds
-    of the kind are in the graph; sums are reduced before the shuffle.
+    A pattern's score for a kind is the sum of its strings' scores over their number and one more. Seeds score 1; another
+    string scores as the best sure pattern that it stood in after the round before, else 0, so that doubtful patterns and
+    strings can't lift each other. A sure pattern has least_score and least_seeds strings that score. Every string
+    counts once for a pattern; sums are reduced before the shuffle.
     """
-    edges = seen.groupBy("pattern", "value").agg(F.max("seed").alias("seed"))
-    seeded = edges.where("seed IS NOT NULL").groupBy("pattern", F.col("seed").alias("kind")).agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= least_seeds)
-    graph = cut_lineage(edges.join(seeded, "pattern"), "pattern_graph")
-    scores = graph.withColumn("sure", F.when(F.col("seed") == F.col("kind"), 1.0).otherwise(0.0))
+    edges = cut_lineage(seen.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "pattern_graph")
+    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_seeds)
+    seeds = edges.where("seed IS NOT NULL").select("value", F.col("seed").alias("kind"), F.lit(1.0).alias("sure")).distinct()
+    known = seeds
     for turn in range(rounds):
-        patterns = scores.groupBy("pattern", "kind").agg((F.sum("sure") / (F.count(F.lit(1)) + 1)).alias("score"))
-        patterns = cut_lineage(patterns, "pattern_scores")
+        support = edges.join(known, "value").groupBy("pattern", "kind").agg(F.sum("sure").alias("sure"), F.count(F.lit(1)).alias("strings"))
+        patterns = support.where(F.col("strings") >= least_seeds).join(sizes, "pattern").withColumn("score", F.col("sure") / (F.col("n") + 1))
+        patterns = cut_lineage(patterns.where(F.col("score") >= least_score).select("pattern", "kind", "score"), "sure_patterns")
         if turn < rounds - 1:
-            doubts = graph.join(patterns, ["pattern", "kind"]).groupBy("value", "kind").agg(F.sum(F.log1p(-F.col("score"))).alias("doubt"))
-            scores = graph.join(doubts, ["value", "kind"]).withColumn("sure", F.when(F.col("seed") == F.col("kind"), 1.0).when(F.col("seed").isNotNull(), 0.0).otherwise(1 - F.exp("doubt")))
-    return patterns.where(F.col("score") >= least_score).select("pattern", "kind")
+            new = edges.where("seed IS NULL").join(patterns, "pattern").where(_shaped())
+            known = seeds.unionByName(new.groupBy("value", "kind").agg(F.max("score").alias("sure")))
+    return patterns
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -175,8 +182,7 @@ def discovered(scanned: DataFrame, rounds: int = ROUNDS, least_score: float = LE
     """(key, added): for each text with any, array<struct<kind, start, stop>> of the identifiers that sure patterns surround and that look like their kind."""
     seen = cut_lineage(_occurrences(scanned.dropDuplicates(["key"])), "occurrences")
     sure = _sure_patterns(seen, rounds, least_score, least_seeds)
-    shaped = reduce(lambda rest, k: F.when(F.col("kind") == k, F.rlike("value", F.lit(SHAPES[KINDS[k]]))).otherwise(rest), range(len(KINDS)), F.lit(False))
-    new = seen.where("seed IS NULL").join(sure, "pattern").where(shaped)
+    new = seen.where("seed IS NULL").join(sure, "pattern").where(_shaped())
     # One kind for each place: the first of KINDS.
     new = new.groupBy("key", "start", "stop").agg(F.min("kind").alias("kind"))
     return new.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "stop"))).alias("added"))

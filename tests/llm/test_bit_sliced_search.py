@@ -1,0 +1,77 @@
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sievetally.llm.topk import SlicedBlock, kth_largest, signed_digits, top_k
+
+SCHEMA = "vec_id long, embedding array<float>, score string, row string, block string, rank string"
+
+
+def brute(rows, k, scale=256.0, every=50):
+    """Rows of (id, vector); every row whose id divides by `every` against all other rows."""
+    good = [(i, np.floor(scale * np.array(v, float))) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    width = max((len(v) for _, v in good), default=0)
+    grid = [(i, np.pad(v, (0, width - len(v)))) for i, v in good]
+    out = []
+    for q, (i, v) in enumerate(grid):
+        if i is None or i % every:
+            continue
+        others = sorted(((-int(v @ w), j is None, j) for c, (j, w) in enumerate(grid) if c != q))[:k]
+        out += [(i, rank + 1, j, -s) for rank, (s, _, j) in enumerate(others)]
+    return sorted(out, key=str)
+
+
+def found(spark, rows, k=5, **options):
+    df = spark.createDataFrame([(i, v, *"abcd") for i, v in rows], SCHEMA).repartition(3)
+    return sorted((tuple(r) for r in top_k(df, "vec_id % 50 = 0", k, **options).collect()), key=str)
+
+
+@given(st.integers(-(2**30), 2**30))
+def test_signed_digits(weight):
+    digits = signed_digits(weight)
+    assert sum(sign << shift for shift, sign in digits) == weight
+    assert all(b - a > 1 for (a, _), (b, _) in zip(digits, digits[1:], strict=False))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(0, 4), st.integers(1, 9), st.integers(1, 200))
+def test_block_agrees_with_products(seed, drop_bits, k, n):
+    rng = np.random.default_rng(seed)
+    values = rng.integers(-300, 300, (n, 7)) * rng.integers(0, 2, (n, 1))
+    weights = rng.integers(-300, 300, 7)
+    block = SlicedBlock(values, drop_bits)
+    order = rng.permutation(n)
+    scores = values @ weights
+    but = int(rng.integers(0, n))
+    want = [i for i in np.lexsort((order, -scores)) if i != but][:k]
+    rows, got = block.top(weights, k, but, order)
+    assert rows.tolist() == want and got.tolist() == scores[want].tolist()
+    if drop_bits == 0:
+        sums = block.sums(weights)
+        assert kth_largest(sums, block.rows, 1) == max(kth_largest(sums, block.rows, j) for j in range(1, n + 1))
+
+
+@pytest.mark.parametrize("sizes", [{}, {"block_rows": 16, "query_rows": 2}, {"drop_bits": 0}, {"drop_bits": 5, "block_rows": 40}])
+def test_search_agrees_with_brute_force(spark, sizes):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(180)]
+    assert found(spark, rows, **sizes) == brute(rows, 5)
+
+
+def test_ties_nulls_and_repeated_rows(spark):
+    same = [0.5, -0.25, 1.0]
+    rows = [(0, same), (0, same), (50, None), (100, [None, 1.0, 1.0]), (150, [float("nan"), 1.0, 1.0]), (200, [float("inf"), 1.0, 1.0]), (7, same), (3, same), (None, same), (9, [1.0]), (250, []), (300, [0.0, 0.0, 0.0])]
+    assert found(spark, rows) == brute(rows, 5)
+    assert found(spark, rows, k=50) == brute(rows, 50)
+
+
+def test_few_rows_and_none(spark):
+    assert found(spark, [(0, [1.0])]) == []
+    assert found(spark, [(0, [1.0]), (1, [2.0])]) == [(0, 1, 1, 256 * 512)]
+    assert found(spark, []) == []
+
+
+def test_huge_components_stay_in_range(spark):
+    rows = found(spark, [(0, [1e30, 1.0]), (1, [1e30, -1.0]), (2, [-1e30, 1.0])], k=2)
+    assert [r[2] for r in rows] == [1, 2]

@@ -1,0 +1,70 @@
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sievetally.llm.bpe import BytePairs, Encoder, PerfectHash, merge_bytes
+from sievetally.llm.vocabulary import read_ranks
+
+TOKENS = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+RANKS = {t: r for r, t in enumerate(TOKENS) if t}
+KNOWN = tiktoken.Encoding("known", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    keys = list(RANKS)
+    hash_ = PerfectHash.build(keys)
+    places = hash_.places(keys)
+    assert sorted(places.tolist()) == list(range(len(keys)))
+    order = np.zeros(len(keys), np.int64)
+    order[places] = list(RANKS.values())
+    return Encoder(TOKENS, hash_, order, public_tokenizers.PATTERN)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=200))
+def test_same_ids_as_the_library(encoder, text):
+    assert encoder.encode(text) == np.array(KNOWN.encode_ordinary(text), "<u4").tobytes()
+
+
+def test_merges_need_no_more_than_a_heap():
+    piece = b"ab" * 40_000
+    assert merge_bytes(piece, RANKS, max(map(len, TOKENS))) == KNOWN.encode_ordinary(piece.decode())
+
+
+def test_memory_of_pre_tokens_starts_anew(encoder, monkeypatch):
+    monkeypatch.setattr("sievetally.llm.bpe.MEMO", 3)
+    text = "eins zwei drei vier fünf sechs eins zwei"
+    assert encoder.encode(text) == encoder.encode(text) == np.array(KNOWN.encode_ordinary(text), "<u4").tobytes()
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 1000])
+def test_perfect_hash_of_any_size(n):
+    keys = [str(i).encode() for i in range(n)]
+    if n:
+        assert sorted(PerfectHash.build(keys).places(keys).tolist()) == list(range(n))
+    with pytest.raises(ValueError):
+        PerfectHash.build([b"a", b"a"])
+
+
+def test_round_trip_of_awkward_texts(spark, edge_docs):
+    pairs = BytePairs(spark, TOKENS, public_tokenizers.PATTERN)
+    rows = edge_docs.select("doc_id", "text", pairs.encode(F.col("text")).alias("e")).select("*", pairs.decode(F.col("e")).alias("d")).collect()
+    assert len(rows) == edge_docs.count()
+    for r in rows:
+        assert bytes(r["e"]) == np.array(KNOWN.encode_ordinary(r["text"] or ""), "<u4").tobytes()
+        assert bytes(r["d"]).decode() == (r["text"] or "")
+
+
+def test_empty_table(spark, no_docs):
+    pairs = BytePairs(spark, TOKENS, public_tokenizers.PATTERN)
+    assert no_docs.select(pairs.decode(pairs.encode(F.col("text")))).collect() == []
+
+
+def test_a_vocabulary_without_all_bytes_is_refused(spark):
+    with pytest.raises(ValueError):
+        BytePairs(spark, [b"a", b"b"], public_tokenizers.PATTERN)

@@ -1,0 +1,157 @@
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sievetally.llm import jaccard_tree
+from sievetally.llm.jaccard_tree import SignatureTree, candidate_pairs, join_block, keep_one, least_overlap, linked, rarest, shingles
+
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def plain_set(text, words=5):
+    parts, word = [], ""
+    for c in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""):
+        if c in SPACE:
+            parts, word = parts + [word] * bool(word), ""
+        else:
+            word += c
+    parts += [word] * bool(word)
+    if len(parts) < words:
+        return {tuple(parts)} if parts else set()
+    return {tuple(parts[i : i + words]) for i in range(len(parts) - words + 1)}
+
+
+def brute(rows, percent=75):
+    """(id, size, smallest id reachable, members of the component by place) of rows (id, text)."""
+    sets = [plain_set(t) for _, t in rows]
+    near = [[j for j in range(len(rows)) if j != i and sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])] for i in range(len(rows))]
+    out = []
+    for i, (name, _) in enumerate(rows):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in near[todo.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        out.append((name, len(sets[i]), min((rows[j][0] for j in seen if rows[j][0] is not None), default=None), frozenset(seen)))
+    return out
+
+
+def corpus(seed, n):
+    """Random texts, copies with a few changed words, chains of copies, and a passage that many share."""
+    rng = np.random.default_rng(seed)
+    passage = [f"p{i}" for i in range(40)]
+    texts = []
+    for _ in range(n):
+        kind = rng.random()
+        if texts and kind < 0.5:
+            words = texts[rng.integers(len(texts))].split()
+            for _ in range(int(rng.integers(0, 4))):
+                words[rng.integers(len(words))] = f"w{rng.integers(50)}"
+        else:
+            words = [f"w{x}" for x in rng.integers(0, 50, int(rng.integers(1, 60)))]
+            if kind > 0.75:
+                words = words[:20] + passage
+        texts.append(" ".join(words))
+    return list(enumerate(texts))
+
+
+def found(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return sorted((tuple(r)[:3] for r in jaccard_tree.jaccard_join(df).collect()), key=str)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab AB\t\n\x0b  é", max_size=60))
+def test_sets_have_the_plain_size(text):
+    assert len(shingles(text)) == len(plain_set(text))
+
+
+@given(st.integers(1, 300), st.integers(1, 300), st.integers(0, 300))
+def test_least_overlap(a, b, common):
+    common = min(a, b, common)
+    if 100 * common >= 75 * (a + b - common):
+        assert common >= least_overlap(a) and common >= least_overlap(b)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.integers(0, 10**6))
+def test_linked_sets_share_a_rare_shingle(seed):
+    rng = np.random.default_rng(seed)
+    rarity = rng.integers(0, 3, jaccard_tree.SKETCH).astype(np.uint8)
+    a = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 80))).astype(np.uint64))
+    b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(0, 2**63, int(rng.integers(0, 8))).astype(np.uint64)]))
+    if len(b) and linked(a, b):
+        assert set(rarest(a, rarity).tolist()) & set(rarest(b, rarity).tolist())
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 90))
+def test_traversal_loses_no_link(seed, n):
+    sets = [s for s in (shingles(t) for _, t in corpus(seed, n)) if len(s)]
+    for width in (64, 512):
+        tree = SignatureTree(sets, width)
+        pairs = set(zip(*(x.tolist() for x in candidate_pairs(tree, tree, 75)), strict=True))
+        assert all(i < j for i, j in pairs)
+        assert {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if linked(sets[i], sets[j])} <= pairs
+        half = len(sets) // 2
+        if half:
+            x, y = SignatureTree(sets[:half], width), SignatureTree(sets[half:], width)
+            pairs = set(zip(*(k.tolist() for k in candidate_pairs(x, y, 75)), strict=True))
+            assert {(i, j) for i in range(half) for j in range(len(sets) - half) if linked(sets[i], sets[half + j])} <= pairs
+
+
+def test_traversal_prunes():
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 2**63, 100).astype(np.uint64)) for _ in range(300)]
+    tree = SignatureTree(sets, 4096)
+    assert len(candidate_pairs(tree, tree, 75)[0]) == 0
+    assert join_block(sets + [sets[0]], None) == [(0, 300)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("block_sets", [512, 4])
+def test_agrees_with_brute_force(spark, monkeypatch, seed, block_sets):
+    monkeypatch.setattr(jaccard_tree, "BLOCK_SETS", block_sets)
+    rows = corpus(seed, 150)
+    assert found(spark, rows) == sorted((r[:3] for r in brute(rows)), key=str)
+
+
+def test_small_buffers_change_nothing(spark, monkeypatch):
+    rows = corpus(3, 80)
+    for name, value in (("FLUSH", 50), ("MEMO", 2), ("SKETCH_FAN", 1)):
+        monkeypatch.setattr(jaccard_tree, name, value)
+    assert found(spark, rows) == sorted((r[:3] for r in brute(rows)), key=str)
+
+
+def test_exactly_at_the_threshold(spark):
+    # 3 of 4 shingles in common, then 2 of 3.
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g h"), (3, "x y z u v w"), (4, "x y z u v w q"), (5, "r x y z u v w q")]
+    assert found(spark, rows) == [(1, 3, 1), (2, 4, 1), (3, 2, 3), (4, 3, 4), (5, 4, 4)]
+
+
+def test_awkward_rows(spark, edge_docs, no_docs):
+    rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
+    got = sorted((tuple(r)[:3] for r in jaccard_tree.jaccard_join(edge_docs).collect()), key=str)
+    assert got == sorted((r[:3] for r in brute(rows)), key=str)
+    assert jaccard_tree.jaccard_join(no_docs).collect() == []
+
+
+def test_one_of_each_group_stays(spark, edge_docs, no_docs):
+    rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
+    kept = keep_one(edge_docs)
+    assert kept.columns == edge_docs.columns
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    groups = {r[3] for r in brute(rows)}
+    want = [min(((rows[i][0] is None, rows[i][0], rows[i][1]) for i in g), key=str)[1:] for g in groups]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert keep_one(no_docs).collect() == []
+
+
+def test_repeated_ids_with_other_texts(spark):
+    a, b = "a b c d e f g h i j", "k l m n o p q r s t"
+    rows = [(5, a), (3, a), (5, b), (5, b), (None, "u v w"), (None, "u v w"), (7, "u v w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r) for r in keep_one(df).collect()), key=str) == [(3, a), (5, b), (7, "u v w")]
+    assert sorted((tuple(r) for r in keep_one(df.where("doc_id IS NULL")).collect()), key=str) == [(None, "u v w")]

@@ -1,0 +1,53 @@
+import numpy as np
+
+from sievetally.llm.langid import CHUNK, code_points, fit, identify, ngrams, train
+from sievetally.llm.queries import op6_langid
+
+TEXTS = [("the cat and the dog with those things", "en"), ("der hund und die katze mit einer maus", "de"), ("le chien et la souris dans une maison", "fr")] * 40
+
+
+def model():
+    return train([f"{t} {i}" for i, (t, _) in enumerate(TEXTS)], [y for _, y in TEXTS])
+
+
+def test_learns_and_rejects():
+    m = model()
+    assert m.score("the things and the cat")[0] == "en"
+    assert m.score("die maus und der hund")[0] == "de"
+    for text in (None, "", "123 !!", "́"):
+        assert m.score(text) == ("und", 0.0)
+    assert 0 < m.least_score <= 0.5
+
+
+def test_long_texts_are_read_whole():
+    m = model()
+    text = "the cat and the dog " * (CHUNK // 10)
+    assert m.score(text)[0] == "en"
+    # Both halves count: the second language is four times as long.
+    assert m.score("the cat and the dog " * 100 + "der hund und die katze " * 400)[0] == "de"
+    assert m.score("the " + "x" * (3 * CHUNK))[1] > 0
+
+
+def test_ngrams_stay_within_words():
+    grams = [len(ngrams(code_points(t), 1 << 16)) for t in ("ab", "a b", "a-b")]
+    # _ab_: a, b, _a, ab, b_, _ab, ab_, _ab_; _a_b_: a, b, _a, a_, _b, b_, _a_, _b_
+    assert grams == [8, 8, 8]
+    assert len(ngrams(code_points(""), 1 << 16)) == 0
+
+
+def test_awkward_texts(spark, edge_docs, no_docs):
+    rows = identify(edge_docs, model()).collect()
+    assert len(rows) == edge_docs.count()
+    assert {r["lang_pred"] for r in rows if r["doc_id"] in (3, 4, 5)} == {"und"}
+    assert all(r["rejected"] for r in rows if r["lang_pred"] == "und")
+    assert identify(no_docs, model()).collect() == []
+    nothing = fit(no_docs)
+    assert {r["lang_pred"] for r in identify(edge_docs, nothing).collect()} == {"und"}
+
+
+def test_held_out_accuracy(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = op6_langid(spark, sf_dir).where("held_out").join(docs, "doc_id").select("lang", "lang_pred", "rejected").collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.98
+    assert np.mean([r["rejected"] for r in rows]) < 0.01

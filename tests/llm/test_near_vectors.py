@@ -1,0 +1,96 @@
+import numpy as np
+import pytest
+
+from sievetally.llm.near_vectors import encode, linked_pairs, near_duplicates, roots
+
+SCHEMA = "vec_id long, embedding array<float>, label int, kept string, class string, n string, tile string, ok string"
+
+
+def brute(rows, threshold=0.98):
+    """(id, links, smallest id reachable, kept) of rows (id, vector, label)."""
+    n = len(rows)
+    good = []
+    for _, v, label in rows:
+        fine = v is not None and len(v) > 0 and label is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)
+        good.append(np.array(v, np.float32).astype(float) if fine else None)
+    links = [[] for _ in range(n)]
+    for i in range(n):
+        for j in range(i):
+            a, b = good[i], good[j]
+            if a is not None and b is not None and len(a) == len(b) and rows[i][2] == rows[j][2] and a @ b / (np.linalg.norm(a) * np.linalg.norm(b)) >= threshold - 1e-12:
+                links[i].append(j)
+                links[j].append(i)
+    out = []
+    for i in range(n):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in links[todo.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        ids = [rows[j][0] for j in seen if rows[j][0] is not None]
+        least = min(ids) if ids else None
+        out.append((rows[i][0], len(links[i]), least, rows[i][0] == least))
+    return sorted(out, key=str)
+
+
+def found(spark, rows, **options):
+    df = spark.createDataFrame([(*r, *"abcde") for r in rows], SCHEMA).repartition(3)
+    return sorted((tuple(r) for r in near_duplicates(df, **options).collect()), key=str)
+
+
+def sample(seed, n, spread):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(size=(6, 16))
+    rows = []
+    for i in range(n):
+        v = centers[rng.integers(6)] + rng.normal(size=16) * spread * rng.random()
+        rows.append((i, v.astype(np.float32).tolist(), int(rng.integers(2))))
+    return rows
+
+
+@pytest.mark.parametrize("spread", [0.1, 0.3, 1.0])
+@pytest.mark.parametrize("tile_rows", [2048, 20])
+def test_agrees_with_brute_force(spark, spread, tile_rows):
+    rows = sample(int(spread * 10), 150, spread)
+    assert found(spark, rows, tile_rows=tile_rows) == brute(rows)
+
+
+def test_bound_holds_and_loses_no_pair():
+    rng = np.random.default_rng(3)
+    a = rng.normal(size=(200, 64)) * 10.0 ** rng.integers(-3, 4, (200, 1))
+    b = np.concatenate([a[:100] + rng.normal(size=(100, 64)) * np.abs(a[:100]).mean() * 0.1, rng.normal(size=(50, 64))])
+    unit = [x / np.linalg.norm(x, axis=1)[:, None] for x in (a, b)]
+    exact = unit[0] @ unit[1].T
+    (ca, sa, ea), (cb, sb, eb) = (encode(u) for u in unit)
+    about = (ca.astype(int) @ cb.astype(int).T) * sa[:, None] * sb
+    assert (np.abs(exact - about) <= (1 + ea[:, None]) * eb + ea[:, None] + 1e-9).all()
+    for threshold in (0.5, 0.9, 0.98):
+        i, j = linked_pairs(a, b, threshold, False)
+        near = np.abs(exact - threshold) < 1e-12
+        assert set(zip(i.tolist(), j.tolist(), strict=True)) ^ set(zip(*np.nonzero(exact >= threshold), strict=True)) <= set(zip(*np.nonzero(near), strict=True))
+
+
+def test_roots_of_a_chain():
+    i = np.arange(99)
+    rng = np.random.default_rng(0)
+    names = rng.permutation(100)
+    assert (roots(100, names[i], names[i + 1]) == 0).all()
+
+
+def test_nulls_zeros_labels_and_repeated_rows(spark):
+    v = [1.0, 2.0, 3.0]
+    rows = [(5, v, 1), (3, v, 1), (3, v, 1), (None, v, 1), (1, v, 2), (0, v, None), (7, None, 1), (8, [], 1), (9, [0.0, 0.0, 0.0], 1), (10, [None, 1.0, 1.0], 1), (11, [float("nan"), 1.0, 1.0], 1), (12, [float("inf"), 1.0, 1.0], 1), (13, [2.0, 4.0, 6.0], 1), (14, [1.0, 2.0], 1), (None, None, 1)]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_large_group_of_near_copies_stays_linear(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=32)
+    rows = [(i, (base + rng.normal(size=32) * 0.01).astype(np.float32).tolist(), 1) for i in range(700)]
+    got = found(spark, rows, tile_rows=100)
+    assert {r[1:3] for r in got} == {(699, 0)} and sum(r[3] for r in got) == 1
+
+
+def test_empty_table(spark):
+    assert found(spark, []) == []

@@ -1,0 +1,68 @@
+import corpus_pipeline
+import pytest
+
+from sievetally.session import cut_lineage
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    """Rows before and after every stage."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = {}
+    for name, stage in corpus_pipeline.STAGES:
+        after = cut_lineage(stage(spark, docs, SF), name)
+        out[name] = (docs, after)
+        docs = after
+    return out
+
+
+def ids(df):
+    return {r[0] for r in df.select("doc_id").collect()}
+
+
+def test_stages_are_the_given_ones():
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "toxicity", "near_duplicates", "personal_data", "packing"]
+
+
+def test_columns(steps):
+    assert all(after.columns == COLUMNS for name, (_, after) in steps.items() if name != "packing")
+    assert steps["packing"][1].columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
+
+def test_decisions_take_effect(steps, spark):
+    before, after = steps["toxicity"]
+    toxic = {r[0] for r in spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 1").collect()}
+    assert len(toxic & ids(after)) < len(toxic & ids(before))
+    before, after = steps["near_duplicates"]
+    from sievetally.llm.jaccard_tree import jaccard_join
+
+    groups = jaccard_join(before).collect()
+    assert ids(after) == {r["component_id"] for r in groups}
+    before, after = steps["personal_data"]
+    assert ids(before) == ids(after)
+    assert after.where("text LIKE '%@mail%.example.com%'").count() == 0
+    assert after.where("n_chars != length(text)").count() == 0
+    assert ids(steps["packing"][1]) == ids(after)
+
+
+def test_clean_documents_stay(steps):
+    before, after = steps["language_id"]
+    assert before.count() - after.count() <= 0.01 * before.count()
+
+
+def test_run_is_the_stages(steps, spark):
+    got = sorted(tuple(r)[:5] for r in corpus_pipeline.run(spark, SF).collect())
+    assert got == sorted(tuple(r)[:5] for r in steps["packing"][1].collect())
+
+
+def test_awkward_documents(spark, edge_docs, no_docs):
+    for docs in (edge_docs.select(COLUMNS), no_docs.select(COLUMNS)):
+        for name, stage in corpus_pipeline.STAGES:
+            after = cut_lineage(stage(spark, docs, SF), name)
+            assert after.count() >= 0
+            if name == "personal_data":
+                assert after.columns == COLUMNS
+            docs = after

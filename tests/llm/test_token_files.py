@@ -1,0 +1,54 @@
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+
+from sievetally.llm.token_scan import scan_token_files, token_counts, write_token_files
+from sievetally.llm.vocabulary import read_ranks
+
+TOKENS = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+KNOWN = tiktoken.Encoding("known", pat_str=public_tokenizers.PATTERN, mergeable_ranks={t: r for r, t in enumerate(TOKENS) if t}, special_tokens={})
+END = 50_256
+
+
+def scanned(spark, paths, **options):
+    files = spark.createDataFrame([(f"file://{p}",) for p in paths], "file string")
+    return sorted(tuple(r)[1:] for r in scan_token_files(files, END, **options).collect())
+
+
+@pytest.mark.parametrize("block_bytes", [2, 6, 64, 1 << 20])
+def test_documents_over_any_number_of_blocks(spark, tmp_path, block_bytes):
+    lengths = [0, 5, 0, 0, 40, 1, 3]
+    items = [x for n in lengths for x in [*range(1, n + 1), END]]
+    (tmp_path / "a.bin").write_bytes(np.array(items, "<u2").tobytes())
+    starts = np.cumsum([0, *(n + 1 for n in lengths)]).tolist()
+    want = [(i, s, n, True) for i, (s, n) in enumerate(zip(starts, lengths, strict=False))]
+    assert scanned(spark, [tmp_path / "a.bin"], block_bytes=block_bytes) == want
+
+
+@pytest.mark.parametrize("block_bytes", [4, 8, 1 << 20])
+def test_unended_and_empty_files(spark, tmp_path, block_bytes):
+    for name, items in (("a", [1, END, 2, 3]), ("b", []), ("c", [4, 5, 6])):
+        (tmp_path / name).write_bytes(np.array(items, "<u4").tobytes())
+    paths = [tmp_path / n for n in "abc"]
+    assert scanned(spark, paths, item_bytes=4, block_bytes=block_bytes) == [(0, 0, 1, True), (0, 0, 3, False), (1, 2, 2, False)]
+
+
+def test_a_cut_item_is_an_error(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"abc")
+    with pytest.raises(Exception, match="cut item"):
+        scanned(spark, [tmp_path / "a"])
+
+
+def test_counts_of_awkward_texts(spark, edge_docs, no_docs):
+    want = sorted(((r["doc_id"], len(KNOWN.encode_ordinary(r["text"] or ""))) for r in edge_docs.collect()), key=str)
+    got = token_counts(edge_docs, TOKENS, public_tokenizers.PATTERN, END).collect()
+    assert sorted(((r["doc_id"], r["n_tokens"]) for r in got), key=str) == want
+    assert token_counts(no_docs, TOKENS, public_tokenizers.PATTERN, END).collect() == []
+
+
+def test_separator_must_be_free(edge_docs):
+    with pytest.raises(ValueError):
+        write_token_files(edge_docs, TOKENS, public_tokenizers.PATTERN, 5)
+    with pytest.raises(ValueError):
+        write_token_files(edge_docs, TOKENS, public_tokenizers.PATTERN, 70_000)

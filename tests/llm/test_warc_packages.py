@@ -1,0 +1,118 @@
+import gzip
+import io
+import zipfile
+
+import pytest
+
+from sievetally.llm import warc_zip
+from sievetally.llm.warc_zip import ARCHIVE, INDEX, archive_pages, format_record, mark_revisits, parse_record, payload_digest, read_packages, stored_members, write_packages
+
+SCHEMA = "page_id long, url string, html string, first string, digest string, own string, file string, n string"
+ROWS = [(5, "http://a", "same"), (3, "http://b\r\nX: y", "same"), (9, None, "other"), (4, "u", None), (7, "u", ""), (8, "u", None), (3, "http://b", "same"), (None, "u", "same"), (None, "u", "lone"), (None, "u", "lone"), (10, "u", "é😀\r\n\r\n" * 3), (11, "u", "x" * 200_000)]
+
+
+def brute(rows, least=0):
+    out = []
+    for page, _, html in rows:
+        payload = (html or "").encode()
+        same = [p for p, _, h in rows if (h or "").encode() == payload and p is not None]
+        first = min(same, default=None)
+        revisit = first is not None and page != first and len(payload) >= least
+        out.append((page, len(payload), payload_digest(payload), "revisit" if revisit else "response", first if revisit else None))
+    return sorted(out, key=str)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()), key=str)
+
+
+@pytest.fixture
+def pages(spark):
+    return spark.createDataFrame([(*r, *"abcde") for r in ROWS], SCHEMA).repartition(3)
+
+
+def test_archives_read_back(pages):
+    assert rows_of(archive_pages(pages)) == brute(ROWS)
+
+
+@pytest.mark.parametrize("least", [1, 5])
+def test_small_payloads_are_all_responses(pages, least):
+    assert rows_of(archive_pages(pages, min_bytes=least)) == brute(ROWS, least)
+
+
+def test_payloads_and_several_packages_a_task(pages, monkeypatch):
+    files = write_packages(mark_revisits(pages), roll_bytes=1)
+    assert files.count() > 3
+    monkeypatch.setattr(warc_zip, "READ_BYTES", 100)
+    got = {r["page_id"]: bytes(r["payload"]).decode() for r in read_packages(files.select("file")).collect() if r["record_type"] == "response"}
+    assert {k: v for k, v in got.items() if k is not None} == {3: "same", 9: "other", 4: "", 10: "é😀\r\n\r\n" * 3, 11: "x" * 200_000}
+
+
+def test_packages_are_zip_files_of_warc_records(pages):
+    for row in write_packages(mark_revisits(pages)).collect():
+        with zipfile.ZipFile(row["file"].removeprefix("file:")) as package:
+            assert package.namelist() == [ARCHIVE, INDEX] and package.testzip() is None
+            records = gzip.decompress(package.read(ARCHIVE))
+            assert records.count(b"WARC/1.1\r\n") == row["n"] == len(package.read(INDEX).splitlines())
+
+
+def test_empty_table(pages):
+    assert archive_pages(pages.limit(0)).collect() == []
+
+
+def test_records():
+    record = format_record(7, "http://x", b"body", None, False)
+    assert parse_record(record)["payload"] == b"body"
+    assert parse_record(format_record(8, "http://x", b"body", 7, True)) == {"page_id": 8, "url": "http://x", "record_type": "revisit", "refers_to": 7, "payload_bytes": 4, "payload_digest": payload_digest(b"body"), "payload": None}
+    with pytest.raises(ValueError, match="damaged"):
+        parse_record(record.replace(b"body", b"bode"))
+    with pytest.raises(ValueError, match="not a WARC"):
+        parse_record(b"HTTP/1.1 200 OK\r\n\r\n")
+
+
+
+
+class RandomAccess:
+    """The two calls that the reader needs, over bytes."""
+
+    def __init__(self, data):
+        self.data = data
+
+    def size(self):
+        return len(self.data)
+
+    def read_at(self, n, offset):
+        return self.data[offset : offset + n]
+
+
+def zipped(method=zipfile.ZIP_STORED, members=2, comment=b"", wide=False):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", method, allowZip64=True) as package:
+        for i in range(members):
+            with package.open(f"m{i}é", "w", force_zip64=wide) as member:
+                member.write(f"content {i} ".encode() * 10)
+        package.comment = comment
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("data", [zipped(), zipped(comment=b"PK\x05\x06 no end " + b"x" * 60_000), zipped(wide=True), zipped(members=70_000)])
+def test_members_of_any_directory(data):
+    members = list(stored_members(RandomAccess(data)).values())
+    assert [m.name for m in members] == [f"m{i}é" for i in range(len(members))] and len(members) in (2, 70_000)
+    for i, m in enumerate(members):
+        assert data[m.start : m.start + m.size] == f"content {i} ".encode() * 10
+
+
+def test_zip64_sizes_of_a_directory(monkeypatch):
+    """A directory written as for members and offsets beyond 32 bits."""
+    monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 50)
+    data = zipped(members=5, wide=True)
+    assert b"PK\x06\x06" in data
+    members = stored_members(RandomAccess(data))
+    assert [data[m.start : m.start + m.size] for m in members.values()] == [f"content {i} ".encode() * 10 for i in range(5)]
+
+
+@pytest.mark.parametrize(("data", "why"), [(zipped(zipfile.ZIP_DEFLATED), "not stored"), (b"no zip file", "no end"), (b"", "no end")])
+def test_other_packages_are_refused(data, why):
+    with pytest.raises(ValueError, match=why):
+        stored_members(RandomAccess(data))

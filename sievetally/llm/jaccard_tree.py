@@ -6,10 +6,12 @@ Documents are sets of word shingles; two link when their Jaccard similarity reac
 2. Sets that reach the threshold share a shingle among the rarest of each: with n shingles, the
    rarest n - ceil(t n) + 1. Sets that share such a shingle and fit in size fall into one cluster; whatever
    links lies within a cluster.
-3. Each cluster is joined by signature trees: leaves are sets, nodes hold the OR of their sets' bitmaps and
-   the range of their sizes. A dual traversal drops pairs of nodes whose largest possible overlap is too
-   small; pairs of sets that remain are compared exactly. Large clusters are cut into blocks, and
-   every pair of blocks is a traversal of its own.
+3. Each cluster is joined by signature trees: leaves are bitmaps of sets, nodes hold the OR of their
+   bitmaps and the range of their sizes. A dual traversal drops pairs of nodes whose largest possible
+   overlap is too small. Pairs of leaves that remain make the smaller clusters that may hold links.
+4. Only for those the sets themselves are gathered, and the pairs that a traversal leaves are compared exactly.
+
+Large clusters are cut into blocks, and every pair of blocks is a traversal of its own.
 """
 
 from __future__ import annotations
@@ -36,15 +38,18 @@ SKETCH = 1 << 20
 SKETCH_CHUNK = 1 << 14
 # Sketches added up by one task at a time.
 SKETCH_FAN = 256
-# Sets that a task remembers, so as to send equal ones once; a bitmap of clustered sets has so many bits.
+# Sets that a task remembers, so as to send equal ones once; the mark of all sets to be gathered has so many bits.
 MEMO = 500_000
-CLUSTER_BITS = 1 << 23
+MARK_BITS = 1 << 23
 # Postings that a task gathers before it sends them.
 FLUSH = 1 << 20
-# Sets, and shingles, of one block of a large cluster.
+# Bitmaps, and sets, of one block of a large cluster; for either, shingles at most.
+BLOCK_BITMAPS = 2048
 BLOCK_SETS = 512
-BLOCK_SHINGLES = 1 << 20
+BLOCK_SHINGLES = 1 << 21
 FAN_OUT = 8
+# Bitmaps have two to four bits for each shingle, and so many at least.
+LEAST_BITS = 64
 # Steps of the size class that a set's code carries.
 SIZE_STEP = 1.1
 
@@ -92,6 +97,20 @@ def code_of(digest: bytes, size: int) -> int:
     return int.from_bytes(digest[:7] + bytes([step]), "big", signed=True)
 
 
+def signature(hashes: np.ndarray) -> bytes:
+    """The set's bitmap; its width is the power of two from twice the size."""
+    width = max(LEAST_BITS, 2 << (len(hashes) - 1).bit_length())
+    bits = np.zeros(width, bool)
+    bits[(hashes % np.uint64(width)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def folded(bits: np.ndarray) -> np.ndarray:
+    """Bitmaps of half the width: a set's bit is its hash modulo the width."""
+    half = bits.shape[1] // 2
+    return bits[:, :half] | bits[:, half:]
+
+
 def _describe(hashes: np.ndarray) -> tuple[bytes, int]:
     digest = xxhash.xxh3_128_digest(hashes.tobytes())
     return digest, code_of(digest, len(hashes))
@@ -104,25 +123,29 @@ def _size_gap(percent: int) -> int:
 
 # --- 1. Sets and the sketch ---
 def _sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """A row of each document (doc_id, n, digest), and SKETCH_CHUNK counters of each task's sketch in rows of their own."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("chunk", T.IntegerType()), T.StructField("counts", T.BinaryType())])
+    """A row of each document (doc_id, n, digest, code, bits), and SKETCH_CHUNK counters of each task's sketch in rows of their own."""
+    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("code", T.LongType()), T.StructField("bits", T.BinaryType()), T.StructField("chunk", T.IntegerType()), T.StructField("counts", T.BinaryType())])
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH, np.int64)
         kind = None
         for batch in batches:
             kind = batch.column(0).type
-            sizes, digests = [], []
+            rows = []
             for text in batch.column(1).to_pylist():
                 hashes = shingles(text, words)
-                sizes.append(len(hashes))
-                digests.append(_describe(hashes)[0] if len(hashes) else None)
-                np.add.at(counts, (hashes % np.uint64(SKETCH)).astype(np.int64), 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())], names=schema.names)
+                if len(hashes):
+                    rows.append((len(hashes), *_describe(hashes), signature(hashes)))
+                    np.add.at(counts, (hashes % np.uint64(SKETCH)).astype(np.int64), 1)
+                else:
+                    rows.append((0, None, None, None))
+            columns = [pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True)) or [()] * 4, [pa.int64(), pa.binary(), pa.int64(), pa.binary()], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], names=schema.names)
         if kind is not None:
             parts = counts.reshape(-1, SKETCH_CHUNK)
-            packed = [np.minimum(p, 2**32 - 1).astype("<u4").tobytes() for p in parts]
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(parts), kind), pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.binary()), pa.array(range(len(parts)), pa.int32()), pa.array(packed, pa.binary())], names=schema.names)
+            packed = [np.minimum(p, 2**16 - 1).astype("<u2").tobytes() for p in parts]
+            none = [pa.nulls(len(parts), t) for t in (kind, pa.int64(), pa.binary(), pa.int64(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(range(len(parts)), pa.int32()), pa.array(packed, pa.binary())], names=schema.names)
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(describe, schema)
 
@@ -130,15 +153,18 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
 def _rarity(sketches: DataFrame) -> bytes:
     """One byte per counter: the logarithm of its sum over all tasks, in quarters of a doubling. The result has SKETCH bytes."""
 
-    def add(part: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(SKETCH_CHUNK, np.int64)
-        for packed in part["counts"]:
-            total += np.frombuffer(packed, "<u4")
-        return pd.DataFrame({"chunk": part["chunk"][:1], "counts": [np.minimum(total, 2**32 - 1).astype("<u4").tobytes()]})
+    def adding(kind: str):
+        def add(part: pd.DataFrame) -> pd.DataFrame:
+            total = np.zeros(SKETCH_CHUNK, np.int64)
+            for packed in part["counts"]:
+                total += np.frombuffer(packed, kind)
+            return pd.DataFrame({"chunk": part["chunk"][:1], "counts": [np.minimum(total, 2**32 - 1).astype("<u4").tobytes()]})
+
+        return add
 
     some = sketches.select("chunk", "counts", F.spark_partition_id().alias("p"))
-    some = some.withColumn("p", (F.col("p") / SKETCH_FAN).cast("int")).groupBy("chunk", "p").applyInPandas(add, "chunk int, counts binary")
-    rows = some.groupBy("chunk").applyInPandas(add, "chunk int, counts binary").orderBy("chunk").collect()
+    some = some.withColumn("p", (F.col("p") / SKETCH_FAN).cast("int")).groupBy("chunk", "p").applyInPandas(adding("<u2"), "chunk int, counts binary")
+    rows = some.groupBy("chunk").applyInPandas(adding("<u4"), "chunk int, counts binary").orderBy("chunk").collect()
     total = np.frombuffer(b"".join(r["counts"] for r in rows), "<u4") if rows else np.zeros(SKETCH, "<u4")
     return np.minimum(255, 4 * np.log2(total.astype(np.float64) + 1)).astype(np.uint8).tobytes()
 
@@ -221,44 +247,6 @@ def _clusters(docs: DataFrame, text_col: str, words: int, percent: int, rarity)
     return connected_components(links.where("a != b")).select(F.col("node").alias("code"), F.col("component").alias("cluster"))
 
 
-def _members(docs: DataFrame, text_col: str, words: int, clusters: DataFrame) -> DataFrame:
-    """(cluster, digest, n, hashes) of the sets of the clusters, every digest once.
-
-    Sets are sifted by a bitmap of CLUSTER_BITS bits before they are shuffled. It tells the others apart as long as
-    the clustered sets are fewer than its bits; beyond that more sets travel to the join, which drops them.
-    """
-    place = F.expr(f"pmod(shiftrightunsigned(code, 8), {CLUSTER_BITS}L) + 1")
-    marked = clusters.select(place.alias("h")).groupBy(F.expr("bitmap_bucket_number(h)").alias("bucket"))
-    bits = np.zeros(CLUSTER_BITS // 8, np.uint8)
-    for r in marked.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(h))").alias("bits")).collect():
-        own = np.frombuffer(bytes(r["bits"]), np.uint8)
-        bits[(r["bucket"] - 1) * len(own) : r["bucket"] * len(own)] = own
-    marks = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
-
-    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, sent = marks.value, set()
-        for batch in batches:
-            rows = []
-            for text in batch.column(0).to_pylist():
-                hashes = shingles(text, words)
-                if not len(hashes):
-                    continue
-                digest, code = _describe(hashes)
-                place = ((code & (1 << 64) - 1) >> 8) % CLUSTER_BITS
-                if not bits[place // 8] >> place % 8 & 1 or digest in sent:
-                    continue
-                if len(sent) >= MEMO:
-                    sent.clear()
-                sent.add(digest)
-                rows.append((code, digest, len(hashes), hashes.tobytes()))
-            columns = list(zip(*rows, strict=True)) or [()] * 4
-            types = [pa.int64(), pa.binary(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["code", "digest", "n", "hashes"])
-
-    sets = docs.select(F.col(text_col)).mapInArrow(sift, "code long, digest binary, n long, hashes binary")
-    return sets.join(clusters, "code").dropDuplicates(["code", "digest"]).select("cluster", "digest", "n", "hashes")
-
-
 # --- 3. Signature trees ---
 class SignatureTree:
     """Sets in order of size as leaves, and levels of nodes of FAN_OUT children up to one root.
@@ -267,16 +255,9 @@ class SignatureTree:
     spare[k] the most shingles that a set has beyond the bits that it sets.
     """
 
-    def __init__(self, sets: list[np.ndarray], width: int):
-        self.sets = sets
-        n = len(sets)
-        sizes = np.array([len(s) for s in sets])
-        flat = np.concatenate(sets) % np.uint64(width)
-        grid = np.zeros((n, width), bool)
-        grid[np.repeat(np.arange(n), sizes), flat.astype(np.int64)] = True
-        leaf = np.packbits(grid, axis=1).view(np.uint64)
-        self.bits, self.least, self.most = [leaf], [sizes], [sizes]
-        self.spare = [sizes - np.bitwise_count(leaf).sum(axis=1).astype(np.int64)]
+    def __init__(self, sizes: np.ndarray, leaves: np.ndarray):
+        self.bits, self.least, self.most = [leaves], [sizes], [sizes]
+        self.spare = [sizes - np.bitwise_count(leaves).sum(axis=1).astype(np.int64)]
         while len(self.bits[-1]) > 1:
             starts = np.arange(0, len(self.bits[-1]), FAN_OUT)
             self.bits.append(np.bitwise_or.reduceat(self.bits[-1], starts))
@@ -335,26 +316,48 @@ def candidate_pairs(x: SignatureTree, y: SignatureTree, percent: int) -> tuple[n
     return i[keep], j[keep]
 
 
-def _width(sets: list[np.ndarray]) -> int:
-    """Bits of the bitmaps: a power of two from four times the largest set, within bounds."""
-    return 1 << int(np.clip(np.ceil(np.log2(4 * max(map(len, sets)))), 9, 16))
+def _trees(sizes: np.ndarray, packed: list[bytes], own: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each width of bitmap, in 64-bit words: places of the sets in order of size, their sizes and bitmaps."""
+    words = np.array([len(packed[k]) // 8 for k in own.tolist()], np.int64)
+    out = {}
+    for width in np.unique(words).tolist():
+        at = own[words == width]
+        at = at[np.argsort(sizes[at], kind="stable")]
+        out[width] = (at, sizes[at], np.frombuffer(b"".join(packed[k] for k in at.tolist()), np.uint64).reshape(len(at), width))
+    return out
 
 
-def join_block(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links that connect whatever sets of left and right are connected by links of left to right, or within left if right is None.
+def tree_pairs(sizes: np.ndarray, packed: list[bytes], left: np.ndarray, right: np.ndarray | None, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of the pairs of left and right, or within left if right is None, that trees of their bitmaps can't rule out.
 
-    Indexes of right go on from those of left. Pairs that are connected already are not compared.
+    Sets that may link differ in width by one power of two at most; the wider ones are folded then.
     """
-    sets = left + (right or [])
-    width = _width(sets)
+    x = _trees(sizes, packed, left)
+    y = x if right is None else _trees(sizes, packed, right)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
 
-    def tree(side: list[np.ndarray], first: int) -> tuple[SignatureTree, np.ndarray]:
-        order = sorted(range(len(side)), key=lambda k: (len(side[k]), int(side[k][0])))
-        return SignatureTree([side[k] for k in order], width), np.array(order) + first
+    def join(a: tuple, b: tuple, same: bool) -> None:
+        first = SignatureTree(a[1], a[2])
+        i, j = candidate_pairs(first, first if same else SignatureTree(b[1], b[2]), percent)
+        found.append((a[0][i], b[0][j]))
 
-    x, x_ids = tree(left, 0)
-    y, y_ids = (x, x_ids) if right is None else tree(right, len(left))
-    i, j = candidate_pairs(x, y, percent)
+    for width in x:
+        if width in y:
+            join(x[width], y[width], right is None)
+        if 2 * width in y:
+            join(x[width], (*y[2 * width][:2], folded(y[2 * width][2])), False)
+        if right is not None and width % 2 == 0 and width // 2 in y:
+            join((*x[width][:2], folded(x[width][2])), y[width // 2], False)
+    return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
+
+
+def join_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Links that connect whatever sets are connected by links of left to right, or within left if right is None.
+
+    Pairs that are connected already are not compared.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    i, j = tree_pairs(sizes, [signature(s) for s in sets], left, right, percent)
     parent = list(range(len(sets)))
 
     def root(k: int) -> int:
@@ -364,7 +367,7 @@ def join_block(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
         return k
 
     links = []
-    for a, b in zip(x_ids[i].tolist(), y_ids[j].tolist(), strict=True):
+    for a, b in zip(i.tolist(), j.tolist(), strict=True):
         p, q = root(a), root(b)
         if p != q and linked(sets[a], sets[b], percent):
             parent[max(p, q)] = min(p, q)
@@ -372,32 +375,86 @@ def join_block(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
     return links
 
 
-def _tree_links(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links of the classes of members (cluster, class, n, hashes) that connect what is connected."""
+def _blocks(members: DataFrame, payload: str, block_sets: int) -> DataFrame:
+    """members (cluster, class, n, payload) with lo, hi, block: every pair of blocks of a cluster gets the rows of both."""
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("n"))
-    cut = sizes.select("cluster", F.ceil(F.greatest(F.col("sets") / BLOCK_SETS, F.col("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    cut = sizes.select("cluster", F.ceil(F.greatest(F.col("sets") / block_sets, F.col("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     # Only clusters of several blocks are looked up; all others are one.
-    cut = cut.where("blocks > 1")
-    rows = members.join(cut, "cluster", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    rows = members.join(cut.where("blocks > 1"), "cluster", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rows = rows.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "class", "hashes")
+    return rows.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "class", "n", payload)
+
+
+def _sides(part: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray | None]:
+    """The rows of a pair of blocks by class, and the places of either block; None for the second if it is the first."""
+    part = part.sort_by("class")
+    block, lo, hi = part.column("block").to_numpy(), part.column("lo")[0].as_py(), part.column("hi")[0].as_py()
+    return part, np.flatnonzero(block == lo), None if lo == hi else np.flatnonzero(block == hi)
+
+
+def _signature_links(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): for members (cluster, class, n, bits), an edge of each class to the smallest one that trees join it to within a pair of blocks."""
 
     def join(part: pa.Table) -> pa.Table:
+        part, left, right = _sides(part)
         ids = part.column("class").to_numpy()
-        order = np.argsort(ids)
-        ids, block = ids[order], part.column("block").to_numpy()[order]
-        lo, hi = part.column("lo")[0].as_py(), part.column("hi")[0].as_py()
-        packed = part.column("hashes").to_pylist()
-        sides = [[k for k, own in enumerate(block.tolist()) if own == want] for want in (lo, hi)]
-        left, right = ([np.frombuffer(packed[order[k]], np.uint64) for k in side] for side in sides)
-        if lo == hi:
-            found, names = join_block(left, None, percent) if len(left) > 1 else [], ids[sides[0]]
-        else:
-            found, names = join_block(left, right, percent) if left and right else [], ids[sides[0] + sides[1]]
-        a, b = [int(names[i]) for i, _ in found], [int(names[j]) for _, j in found]
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        i, j = tree_pairs(part.column("n").to_numpy(), part.column("bits").to_pylist(), left, right, percent)
+        root = roots(len(ids), i, j)
+        at = np.flatnonzero(root != np.arange(len(ids)))
+        return pa.table({"a": pa.array(ids[at], pa.int64()), "b": pa.array(ids[root[at]], pa.int64())})
+
+    return _blocks(members, "bits", BLOCK_BITMAPS).groupBy("cluster", "lo", "hi").applyInArrow(join, "a long, b long")
+
+
+# --- 4. Exact comparison ---
+def _gathered(docs: DataFrame, text_col: str, words: int, wanted: DataFrame) -> DataFrame:
+    """(cluster, class, n, hashes) of the sets that wanted (code, digest, class, cluster) names, every digest once.
+
+    Sets are sifted by a mark of MARK_BITS bits before they are shuffled. It tells the others apart as long as the
+    wanted sets are fewer than its bits; beyond that more sets travel to the join, which drops them.
+    """
+    place = F.expr(f"pmod(shiftrightunsigned(code, 8), {MARK_BITS}L) + 1")
+    marked = wanted.select(place.alias("h")).groupBy(F.expr("bitmap_bucket_number(h)").alias("bucket"))
+    bits = np.zeros(MARK_BITS // 8, np.uint8)
+    for r in marked.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(h))").alias("bits")).collect():
+        own = np.frombuffer(bytes(r["bits"]), np.uint8)
+        bits[(r["bucket"] - 1) * len(own) : r["bucket"] * len(own)] = own
+    marks = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, sent = marks.value, set()
+        for batch in batches:
+            rows = []
+            for text in batch.column(0).to_pylist():
+                hashes = shingles(text, words)
+                if not len(hashes):
+                    continue
+                digest, code = _describe(hashes)
+                place = ((code & (1 << 64) - 1) >> 8) % MARK_BITS
+                if not bits[place // 8] >> place % 8 & 1 or digest in sent:
+                    continue
+                if len(sent) >= MEMO:
+                    sent.clear()
+                sent.add(digest)
+                rows.append((digest, len(hashes), hashes.tobytes()))
+            columns = list(zip(*rows, strict=True)) or [()] * 3
+            types = [pa.binary(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["digest", "n", "hashes"])
+
+    sets = docs.select(F.col(text_col)).mapInArrow(sift, "digest binary, n long, hashes binary")
+    return sets.join(wanted.select("digest", "class", "cluster"), "digest").dropDuplicates(["digest"]).select("cluster", "class", "n", "hashes")
+
+
+def _exact_links(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links of the classes of members (cluster, class, n, hashes) that connect what is connected."""
+
+    def join(part: pa.Table) -> pa.Table:
+        part, left, right = _sides(part)
+        ids = part.column("class").to_pylist()
+        found = join_block([np.frombuffer(h, np.uint64) for h in part.column("hashes").to_pylist()], left, right, percent)
+        return pa.table({"a": pa.array([ids[i] for i, _ in found], pa.int64()), "b": pa.array([ids[j] for _, j in found], pa.int64())})
 
-    return rows.groupBy("cluster", "lo", "hi").applyInArrow(join, "a long, b long")
+    return _blocks(members, "hashes", BLOCK_SETS).groupBy("cluster", "lo", "hi").applyInArrow(join, "a long, b long")
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -413,13 +470,14 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = docs.sparkSession
     described = cut_lineage(_sets(docs, id_col, text_col, words), "sets")
-    rows = described.where("chunk IS NULL").select("doc_id", "n", "digest")
+    rows = described.where("chunk IS NULL").select("doc_id", "n", "digest", "code", "bits")
     rarity = spark.sparkContext.broadcast(_rarity(described.where("chunk IS NOT NULL")))
-    classes = rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("least"))
+    classes = rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("least"), *(F.any_value(c).alias(c) for c in ("n", "code", "bits")))
     classes = cut_lineage(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     clusters = _clusters(docs, text_col, words, percent, rarity)
-    members = _members(docs, text_col, words, clusters).join(classes.select("digest", "class"), "digest")
-    links = _tree_links(cut_lineage(members.select("cluster", "class", "n", "hashes"), "members"), percent)
+    near = connected_components(_signature_links(classes.join(clusters, "code").select("cluster", "class", "n", "bits"), percent))
+    wanted = cut_lineage(classes.select("code", "digest", "class").join(near.selectExpr("node AS class", "component AS cluster"), "class"), "wanted")
+    links = _exact_links(cut_lineage(_gathered(docs, text_col, words, wanted), "members"), percent)
     groups = connected_components(links).withColumnRenamed("node", "class")
     groups = classes.select("class", "least").join(groups, "class")
     first = groups.groupBy("component").agg(F.min("least").alias("first"))

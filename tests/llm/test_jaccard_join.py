@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sievetally.llm import jaccard_tree
-from sievetally.llm.jaccard_tree import SignatureTree, candidate_pairs, join_block, keep_one, least_overlap, linked, rarest, shingles
+from sievetally.llm.jaccard_tree import folded, join_block, keep_one, least_overlap, linked, rarest, shingles, signature, tree_pairs
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -87,33 +87,40 @@ def test_linked_sets_share_a_rare_shingle(seed):
 
 
 @settings(max_examples=40, deadline=None)
-@given(st.integers(0, 10**6), st.integers(1, 90))
-def test_traversal_loses_no_link(seed, n):
-    sets = [s for s in (shingles(t) for _, t in corpus(seed, n)) if len(s)]
-    for width in (64, 512):
-        tree = SignatureTree(sets, width)
-        pairs = set(zip(*(x.tolist() for x in candidate_pairs(tree, tree, 75)), strict=True))
-        assert all(i < j for i, j in pairs)
-        assert {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if linked(sets[i], sets[j])} <= pairs
-        half = len(sets) // 2
-        if half:
-            x, y = SignatureTree(sets[:half], width), SignatureTree(sets[half:], width)
-            pairs = set(zip(*(k.tolist() for k in candidate_pairs(x, y, 75)), strict=True))
-            assert {(i, j) for i in range(half) for j in range(len(sets) - half) if linked(sets[i], sets[half + j])} <= pairs
+@given(st.integers(0, 10**6), st.integers(1, 90), st.integers(1, 4))
+def test_traversal_loses_no_link(seed, n, factor):
+    """Sizes of any range, so that bitmaps of several widths meet."""
+    sets = [s for s in (shingles(" ".join([t] * (1 + i % factor))) for i, t in corpus(seed, n)) if len(s)]
+    sizes, packed, all_ = np.array([len(s) for s in sets]), [signature(s) for s in sets], np.arange(len(sets))
+    links = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if linked(sets[i], sets[j])}
+    found = [(min(p), max(p)) for p in zip(*(x.tolist() for x in tree_pairs(sizes, packed, all_, None)), strict=True)]
+    assert links <= set(found) and len(found) == len(set(found)) and all(i < j for i, j in found)
+    half = len(sets) // 2
+    found = set(zip(*(x.tolist() for x in tree_pairs(sizes, packed, all_[:half], all_[half:])), strict=True))
+    assert {(i, j) for i, j in links if i < half <= j} <= found and all(i < half <= j for i, j in found)
+
+
+def test_folding():
+    hashes = shingles(" ".join(map(str, range(100))))
+    wide = np.frombuffer(signature(hashes), np.uint64)[None]
+    half = np.zeros(wide.shape[1] * 32, bool)
+    half[(hashes % np.uint64(len(half))).astype(int)] = True
+    assert folded(wide).tobytes() == np.packbits(half).tobytes()
 
 
 def test_traversal_prunes():
     rng = np.random.default_rng(0)
     sets = [np.unique(rng.integers(0, 2**63, 100).astype(np.uint64)) for _ in range(300)]
-    tree = SignatureTree(sets, 4096)
-    assert len(candidate_pairs(tree, tree, 75)[0]) == 0
-    assert join_block(sets + [sets[0]], None) == [(0, 300)]
+    sizes, packed = np.array([len(s) for s in sets]), [signature(s) for s in sets]
+    assert len(tree_pairs(sizes, packed, np.arange(300), None)[0]) == 0
+    assert join_block(sets + [sets[0]], np.arange(301), None) == [(0, 300)]
 
 
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("block_sets", [512, 4])
 def test_agrees_with_brute_force(spark, monkeypatch, seed, block_sets):
     monkeypatch.setattr(jaccard_tree, "BLOCK_SETS", block_sets)
+    monkeypatch.setattr(jaccard_tree, "BLOCK_BITMAPS", 2 * block_sets)
     rows = corpus(seed, 150)
     assert found(spark, rows) == sorted((r[:3] for r in brute(rows)), key=str)
 

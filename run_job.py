@@ -14,7 +14,7 @@ from sievetally.session import build_session
 from sievetally.sinks.files import write_csv, write_parquet
 from sievetally.sinks.managed import default_format
 from sievetally.sinks.serving import CqlStore
-from sievetally.sources.managed import current_location, source_available
+from sievetally.sources.managed import read_managed, source_available
 from sievetally.sources.synthetic import row_ids, synth_employees, synth_transactions
 
 
@@ -54,12 +54,12 @@ def daily_totals(spark, args):
 
 def check_source(spark, args):
     fmt, name = default_format(spark), transactions.TRANSACTIONS
-    path = f"{args.root.rstrip('/')}/{name}" if fmt == "delta" else current_location(spark, name, args.root)
-    return source_available(spark, path, name, fmt).head().asDict()
+    return source_available(read_managed(spark, name, args.root, fmt), name).head().asDict()
 
 
 def _store(args):
-    return partial(CqlStore, args.hosts.split(","), args.keyspace, args.table)
+    """The store to load, or None for the served table."""
+    return partial(CqlStore, args.hosts.split(","), args.keyspace, args.table) if args.hosts else None
 
 
 def load_serving(spark, args):
@@ -85,10 +85,10 @@ def parser() -> argparse.ArgumentParser:
     rows = ("--rows", {"type": int, "default": 1200})
     root, name = ("--root", needed), ("--name", optional)
     store = [
-        ("--hosts", needed),
+        ("--hosts", {"default": None, "help": "hosts of a serving store; without them the served table below the root is loaded"}),
         ("--keyspace", {"default": "analytics"}),
         ("--table", {"default": transactions.DAILY_TOTALS}),
-        ("--writers", {"type": int, "default": 2}),
+        ("--writers", {"type": int, "default": None, "help": "bound on tasks that write to the store at a time"}),
     ]
     job("generate-employees", generate_employees, rows, ("--out", needed), ("--as-of", optional))
     job(

@@ -19,12 +19,16 @@ def is_positive(amount: Column, dtype: DataType) -> Column:
     return amount > 0
 
 
-def exact_amount(amount: Column, dtype: DataType) -> Column:
-    """Amount in cents as a decimal, so that sums do not depend on the order of rows.
+def total_amount(amount: Column, dtype: DataType) -> Column:
+    """Sum of amounts as a double.
 
-    A finite amount too large for the type raises; it is never dropped silently.
+    Decimals are summed as they are. A float counts as the decimal that it is written as, where that has at
+    most 15 digits before and 10 after the point, so that the sum does not depend on the order of rows;
+    what does not fit is added as a double. No amount is dropped, rounded or refused.
     """
-    if isinstance(dtype, (DoubleType, FloatType)):
-        finite = ~F.isnan(amount) & (F.abs(amount) < float("inf"))
-        return F.when(finite, amount.cast("decimal(12,2)"))
-    return amount
+    if not isinstance(dtype, (DoubleType, FloatType)):
+        return F.sum(amount).cast("double")
+    written = amount.cast("string").try_cast("decimal(25,10)")
+    fits = F.coalesce(written.cast(dtype) == amount, F.lit(False))
+    exact, rest = F.sum(F.when(fits, written.cast("decimal(38,10)"))), F.sum(F.when(~fits, amount.cast("double")))
+    return F.when(rest.isNull(), exact.cast("double")).otherwise(rest + F.coalesce(exact.cast("double"), F.lit(0.0)))

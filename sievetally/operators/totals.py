@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievetally.functions.transactions import total_amount
+
 
 def total_by_customer_day(df: DataFrame) -> DataFrame:
-    """Exact decimal sum and row count; both are partly added up before the shuffle."""
+    """Sum and row count; both are partly added up before the shuffle."""
     return df.groupBy("customer_id", "transaction_date").agg(
-        F.sum("amount").cast("double").alias("total_amount"),
+        total_amount(F.col("amount"), df.schema["amount"].dataType).alias("total_amount"),
         F.count("*").alias("transaction_count"),
     )

@@ -30,6 +30,19 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def transactions_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same transactions with amounts as doubles, among them parts of a cent, very large, non-finite and missing ones."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "'T' || IF(event_id % 20 = 0 AND event_id > 0, event_id - 1, event_id) AS transaction_id",
+        "'C' || (1000 + user_id % 101) AS customer_id",
+        """CASE event_id % 97 WHEN 0 THEN DOUBLE('0.004') WHEN 1 THEN DOUBLE('1e10') WHEN 2 THEN DOUBLE('-1e10')
+             WHEN 3 THEN DOUBLE('NaN') WHEN 4 THEN DOUBLE('Infinity') WHEN 5 THEN DOUBLE('-Infinity') WHEN 6 THEN NULL
+             ELSE CAST(CAST(value AS DECIMAL(12,2)) - 5 AS DOUBLE) END AS amount""",
+        "ts AS timestamp",
+        "event_type AS merchant",
+    )
+
+
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as raw employees: colliding ids, bad and shared emails, odd salaries, missing names."""
 
@@ -43,7 +56,7 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
                 WHEN c_custkey % 2 = 0 THEN LOWER(c_mktsegment) ELSE UPPER(c_mktsegment) END AS first_name""",
         "'van ' || LOWER(REPLACE(c_name, '#', '-')) AS last_name",
         """CASE WHEN c_custkey % 7 = 0 THEN c_mktsegment || '@company'
-                ELSE c_mktsegment || '.' || c_custkey % 900
+                ELSE c_mktsegment || '.' || c_custkey DIV 5
                   || IF(c_custkey % 2 = 0, '@company.com', '@COMPANY.COM') END AS email""",
         "DATE_ADD(DATE'2014-01-01', CAST(c_custkey * 13 % 4380 AS INT)) AS hire_date",
         f"{entry(JOB_TITLES)} AS job_title",
@@ -63,6 +76,19 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def employee_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The employees as lines of a CSV file without header: some ids and dates do not parse, some lines are cut short or too long.
+
+    They go by the last digits of the zip code, which are those of the customer key.
+    """
+    text, key = employees_text(spark, sf_dir), F.col("zip_code").cast("int")
+    text = text.withColumn("hire_date", F.when(key % 29 == 3, "notadate").otherwise(F.col("hire_date")))
+    text = text.withColumn("employee_id", F.when(key % 31 == 4, F.concat(F.lit("x"), "employee_id")).otherwise(F.col("employee_id")))
+    line = F.to_csv(F.struct(*EMPLOYEE_TEXT.names), {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    cut = F.when(key % 43 == 5, F.substring_index(line, ",", 5)).when(key % 47 == 6, F.concat(line, F.lit(",surplus,cells")))
+    return text.select(cut.otherwise(line).alias("value"))
+
+
 def employees_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same employees as the text of a CSV file."""
     df = employees(spark, sf_dir)

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import datetime
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +16,15 @@ from sievetally.operators import contracts, filters
 from sievetally.operators.rejects import quarantine, reject_funnel
 from sievetally.plans import employees as employee_plans
 from sievetally.plans import transactions as transaction_plans
-from sievetally.plans.bindings import AS_OF, employees, employees_text, table, transactions
+from sievetally.plans.bindings import (
+    AS_OF,
+    employee_lines,
+    employees,
+    employees_text,
+    table,
+    transactions,
+    transactions_float,
+)
 from sievetally.schemas import (
     CLEAN_EMPLOYEE,
     CLEAN_MAX_LENGTH,
@@ -31,15 +38,9 @@ from sievetally.session import cut_lineage, scratch_dir
 from sievetally.sinks.files import write_csv, write_parquet
 from sievetally.sinks.managed import publish, register_table
 from sievetally.sinks.relational import create_table, run_in_transaction, staging_types
-from sievetally.sinks.serving import (
-    FolderStore,
-    load_serving,
-    read_folder_store,
-    serving_layout,
-    serving_rows,
-)
+from sievetally.sinks.serving import SERVED, serving_layout, serving_rows, upsert_served
 from sievetally.sources.files import read_csv_text, read_employees, read_parquet
-from sievetally.sources.managed import history, read_managed, source_available
+from sievetally.sources.managed import catalog_name, history, read_managed, source_available
 from sievetally.sources.relational import read_table
 from sievetally.sources.synthetic import synth_employees, synth_transactions
 
@@ -66,13 +67,21 @@ DERBY_DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
 
 
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return table(spark, sf_dir, "events")
 
 
 def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transaction_plans.daily_totals(transactions(spark, sf_dir))
 
 
+def daily_totals_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transaction_plans.daily_totals(transactions_float(spark, sf_dir))
+
+
+def stage_counts_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transaction_plans.stage_counts(transactions_float(spark, sf_dir))
+
+
 def dedupe_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transaction_plans.unique_transactions(transactions(spark, sf_dir))
 
@@ -94,6 +103,13 @@ def serving_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving_rows(daily_totals(spark, sf_dir))
 
 
+def _released(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """The managed table, its name taken from the catalog; the files stay."""
+    df = read_managed(spark, name, root)
+    spark.sql(f"DROP TABLE {catalog_name(spark, name, root)}")
+    return df
+
+
 def serving_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Ranges are found by sampling, so the totals are computed once and read back.
     totals = cut_lineage(daily_totals(spark, sf_dir), "totals")
@@ -101,22 +117,23 @@ def serving_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def serving_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A load without deduplication, then the correct one: the store must show the second."""
-    folder = scratch_dir(spark, "store")
+    """A load without deduplication, then the correct one: the served table must show the second, and keys of the first alone."""
+    root = scratch_dir(spark, "lake")
     dated = filters.keep_positive_amounts(transactions(spark, sf_dir)).withColumn(
         "transaction_date", transaction_date(F.col("timestamp"))
     )
-    first = cut_lineage(transaction_plans.total_by_customer_day(dated), "totals")
-    load_serving(first, partial(FolderStore, folder, 1), WRITERS)
-    load_serving(cut_lineage(daily_totals(spark, sf_dir), "totals"), partial(FolderStore, folder, 2), WRITERS)
-    return read_folder_store(spark, folder)
+    upsert_served(transaction_plans.total_by_customer_day(dated), root)
+    upsert_served(daily_totals(spark, sf_dir), root)
+    return _released(spark, SERVED, root)
 
 
 def run_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, folder = scratch_dir(spark, "lake"), scratch_dir(spark, "store")
+    root = scratch_dir(spark, "lake")
     publish(transactions(spark, sf_dir), transaction_plans.TRANSACTIONS, root)
-    transaction_plans.run_daily(spark, root, partial(FolderStore, folder, 1), WRITERS)
-    return read_folder_store(spark, folder)
+    transaction_plans.run_daily(spark, root)
+    for name in (transaction_plans.TRANSACTIONS, transaction_plans.DAILY_TOTALS):
+        _released(spark, name, root)
+    return _released(spark, SERVED, root)
 
 
 # --- employees ----------------------------------------------------------------------------------
@@ -261,9 +278,11 @@ def employee_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with bad cells and with too few or too many cells, read in the declared types."""
     path = scratch_dir(spark, "employees-csv")
-    write_csv(employees_text(spark, sf_dir), path)
-    return read_employees(spark, path)
+    employee_lines(spark, sf_dir).write.text(path)
+    df = read_employees(spark, path, corrupt="corrupt_line", header=False)
+    return df.withColumn("corrupt_line", F.col("corrupt_line").isNotNull())
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,7 +300,7 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def managed_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "lake")
     publish(transactions(spark, sf_dir), transaction_plans.TRANSACTIONS, root)
-    return read_managed(spark, transaction_plans.TRANSACTIONS, root)
+    return _released(spark, transaction_plans.TRANSACTIONS, root)
 
 
 def managed_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,24 +309,28 @@ def managed_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_parquet(transactions(spark, sf_dir), raw)
     transaction_plans.publish_transactions(spark, raw, root)
     publish(filters.keep_positive_amounts(read_managed(spark, name, root)), name, root)
-    return read_managed(spark, name, root)
+    return _released(spark, name, root)
 
 
 def register(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, name = scratch_dir(spark, "lake"), f"daily_totals_{uuid.uuid4().hex}"
     register_table(spark, name, publish(daily_totals(spark, sf_dir), name, root))
-    return spark.table(name)
+    df = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    _released(spark, name, root)
+    return df
 
 
 def publish_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, name = scratch_dir(spark, "lake"), transaction_plans.TRANSACTIONS
     publish(transactions(spark, sf_dir), name, root, run_id="run-1", run_ts=RUN_TS)
     publish(dedupe_transactions(spark, sf_dir), name, root, run_id="run-2", run_ts=RUN_TS)
+    _released(spark, name, root)
     return history(spark, name, root).select("run_id", "table_name", "operation", "mode", "num_output_rows")
 
 
 def available(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source_available(spark, f"{sf_dir.rstrip('/')}/events.parquet", "events")
+    return source_available(table(spark, sf_dir, "events"), "events")
 
 
 def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,6 +368,8 @@ def synthetic_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_totals": daily_totals,
     "employee_etl": employee_etl,
+    "daily_totals_float": daily_totals_float,
+    "stage_counts_float": stage_counts_float,
     "parquet_scan": parquet_scan,
     "source_available": available,
     "csv_scan_typed": csv_scan_typed,

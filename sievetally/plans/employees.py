@@ -21,10 +21,13 @@ from sievetally.schemas import (
     EMAIL_ORDER,
     EMPLOYEE_ORDER,
 )
-from sievetally.session import pin_settings, scratch_table, size_partitions
+from sievetally.session import pin_settings, scratch_table, sized_for
 from sievetally.sinks.files import write_parquet
 from sievetally.sinks.relational import append_rows
-from sievetally.sources.files import read_employees
+from sievetally.sources.files import read_csv_text, type_columns
+
+# Holds a CSV line with too few or too many cells as it was read.
+CORRUPT = "corrupt_line"
 
 
 def unique_employees(df: DataFrame) -> DataFrame:
@@ -66,6 +69,13 @@ def clean_employees(df: DataFrame, as_of=None) -> DataFrame:
     return derive_employee_columns(unique_emails(valid), as_of)
 
 
+def quarantine_delivered(text: DataFrame, as_of) -> DataFrame:
+    """The rejected rows of read_csv_text as delivered: every cell as text, and the whole line where it was malformed."""
+    columns = text.columns
+    typed = type_columns(text.withColumn("delivered", F.struct(*columns)).drop(CORRUPT))
+    return quarantine(typed, as_of).select("delivered.*", "reject_reason", "copies")
+
+
 def check_clean_employees(df: DataFrame) -> DataFrame:
     return contracts.check_all(
         df, unique=CLEAN_UNIQUE, not_null=CLEAN_NOT_NULL, max_length=CLEAN_MAX_LENGTH, numeric=CLEAN_NUMERIC
@@ -87,18 +97,18 @@ def load_employees(
 ) -> dict[str, int]:
     """CSV to relational table; nothing is written unless the clean rows keep the table's contract.
 
-    Returns the reject funnel, how many accepted rows have no readable salary (they are Senior), and
-    how many rows were new to the table.
+    Returns the reject funnel with the number of malformed lines, how many accepted rows have no readable
+    salary (they are Senior), and how many rows were new to the table.
     """
     pin_settings(spark)
     as_of = as_of or datetime.now(timezone.utc).date()
-    # CSV is parsed once; the steps below then read only the columns they need.
-    with scratch_table(read_employees(spark, csv_path), "employees-raw") as raw:
-        size_partitions(spark, raw)
+    # CSV is parsed once, as text; the steps below then read only the columns they need.
+    with scratch_table(read_csv_text(spark, csv_path, corrupt=CORRUPT), "employees-raw") as text, sized_for(spark, text):
+        raw = type_columns(text.drop(CORRUPT))
         with scratch_table(clean_employees(raw, as_of), "employees-clean") as clean:
             contracts.require(check_clean_employees(contracts.enforce_schema(clean, CLEAN_EMPLOYEE)))
             if quarantine_path:
-                write_parquet(quarantine(raw, as_of), quarantine_path)
+                write_parquet(quarantine_delivered(text, as_of), quarantine_path)
             added = append_rows(clean, url, table, ["employee_id"], driver, user, password, column_types, writers)
-            counts = {r["stage"]: r["rows"] for r in reject_funnel(raw, as_of).collect()}
+            counts = {r["stage"]: r["rows"] for r in reject_funnel(type_columns(text), as_of, CORRUPT).collect()}
             return {**counts, "salary_missing": clean.filter("salary IS NULL").count(), "added": added}

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from sievetally.functions.employees import EMAIL_PATTERN
 from sievetally.schemas import CLEAN_EMPLOYEE, EMPLOYEE, TRANSACTION
-from sievetally.sources.synthetic import (
-    CITIES,
-    DEPARTMENTS,
-    EMAIL_DOMAINS,
-    FIRST_NAMES,
-    JOB_TITLES,
-    LAST_NAMES,
-    MERCHANTS,
-    STATES,
-    STATUSES,
-)
+
+# Written out here once more, so that a slip in the jobs' own values shows.
+EMAIL_PATTERN = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
+MERCHANTS = ["Harbour Books", "Corner Bakery", "Lantern Travel", "Maple Hardware", "Tidewater Grill", "Juniper Pharmacy"]
+JOB_TITLES = ["Archivist", "Crane Operator", "Payroll Clerk", "Field Surveyor", "Translator", "Lab Technician", "Night Porter"]
+DEPARTMENTS = ["Warehouse", "Legal", "Research", "Fleet", "Catering"]
+STATES = ["QA", "QB", "QC", "QD", "QE", "QF", "QG"]
+STATUSES = ["Active", "active", "INACTIVE", None]
+EMAIL_DOMAINS = ["company.com", "COMPANY.COM"]
+FIRST_NAMES = ["Aarav", "Diya", "Ishaan", "Kavya", "Meera", "Nikhil", "Priya", "Rohan", "Sana", "Vikram"]
+LAST_NAMES = ["Bose", "Das", "Gupta", "Iyer", "Joshi", "Khan", "Nair", "Patel", "Rao", "Singh"]
+CITIES = ["Mumbai", "Pune", "Chennai", "Delhi", "Hyderabad", "Jaipur", "Kolkata", "Surat"]
 
 AS_OF = "DATE '2024-01-01'"
 
@@ -46,13 +46,33 @@ DAILY = """daily AS (
          CAST(sum(amount) AS DOUBLE) AS total_amount, count(*) AS transaction_count
   FROM txn_first WHERE amount > 0 GROUP BY 1, 2)"""
 
+TXN_FLOAT = """txn AS (
+  SELECT 'T' || CAST(CASE WHEN event_id % 20 = 0 AND event_id > 0 THEN event_id - 1 ELSE event_id END AS VARCHAR)
+           AS transaction_id,
+         'C' || CAST(1000 + user_id % 101 AS VARCHAR) AS customer_id,
+         CASE event_id % 97 WHEN 0 THEN CAST('0.004' AS DOUBLE) WHEN 1 THEN CAST('1e10' AS DOUBLE) WHEN 2 THEN CAST('-1e10' AS DOUBLE)
+           WHEN 3 THEN CAST('NaN' AS DOUBLE) WHEN 4 THEN CAST('Infinity' AS DOUBLE) WHEN 5 THEN CAST('-Infinity' AS DOUBLE)
+           WHEN 6 THEN NULL ELSE CAST(CAST(value AS DECIMAL(12,2)) - 5 AS DOUBLE) END AS amount,
+         ts AS "timestamp"
+  FROM events)"""
+
+TXN_FLOAT_FIRST = """txn_first AS (
+  SELECT * FROM txn
+  QUALIFY row_number() OVER (PARTITION BY transaction_id
+    ORDER BY "timestamp", customer_id, amount NULLS FIRST) = 1)"""
+
+DAILY_FLOAT = """daily AS (
+  SELECT customer_id, CAST("timestamp" AS DATE) AS transaction_date,
+         CAST(sum(CAST(amount AS DECIMAL(25,3))) AS DOUBLE) AS total_amount, count(*) AS transaction_count
+  FROM txn_first WHERE amount > 0 AND isfinite(amount) GROUP BY 1, 2)"""
+
 EMP = f"""emp AS (
   SELECT CAST(CASE WHEN c_custkey % 10 = 0 THEN 1000 + c_custkey % 101 ELSE 5000 + c_custkey END AS INT) AS employee_id,
          CASE WHEN c_custkey % 37 = 0 THEN NULL
               WHEN c_custkey % 2 = 0 THEN lower(c_mktsegment) ELSE upper(c_mktsegment) END AS first_name,
          'van ' || lower(replace(c_name, '#', '-')) AS last_name,
          CASE WHEN c_custkey % 7 = 0 THEN c_mktsegment || '@company'
-              ELSE c_mktsegment || '.' || CAST(c_custkey % 900 AS VARCHAR)
+              ELSE c_mktsegment || '.' || CAST(c_custkey // 5 AS VARCHAR)
                 || CASE WHEN c_custkey % 2 = 0 THEN '@company.com' ELSE '@COMPANY.COM' END END AS email,
          CAST(DATE '2014-01-01' + CAST(c_custkey * 13 % 4380 AS INT) AS DATE) AS hire_date,
          {_entry(JOB_TITLES)} AS job_title,
@@ -250,6 +270,9 @@ _FOUND = {
     "merchant": None,
 }
 
+# Cells that do not parse, by the number in the zip code; lines cut after five cells have no others.
+_BAD = {"employee_id": "k % 31 = 4", "hire_date": "k % 29 = 3"}
+
 ORACLES: dict[str, str] = {
     "daily_totals": DAILY_ALL + "SELECT * FROM daily",
     "register_table": DAILY_ALL + "SELECT * FROM daily",
@@ -266,6 +289,16 @@ FROM daily d FULL JOIN (
          CAST(sum(amount) AS DOUBLE) AS total_amount, count(*) AS transaction_count
   FROM txn WHERE amount > 0 GROUP BY 1, 2) f
 ON d.customer_id = f.customer_id AND d.transaction_date = f.transaction_date""",
+    "daily_totals_float": _with(TXN_FLOAT, TXN_FLOAT_FIRST, DAILY_FLOAT) + "SELECT * FROM daily",
+    "stage_counts_float": _with(TXN_FLOAT, TXN_FLOAT_FIRST, DAILY_FLOAT)
+    + _union(
+        [
+            "SELECT 'raw' AS stage, count(*) AS rows FROM txn",
+            "SELECT 'deduplicated', count(*) FROM txn_first",
+            "SELECT 'positive', count(*) FROM txn_first WHERE amount > 0 AND isfinite(amount)",
+            "SELECT 'daily_totals', count(*) FROM daily",
+        ]
+    ),
     "dedupe_transactions": _with(TXN, TXN_FIRST) + f"SELECT {TXN_ROWS} FROM txn_first",
     "positive_amounts": TXN_ALL + f"SELECT {TXN_ROWS} FROM txn WHERE amount > 0",
     "managed_overwrite": TXN_ALL + f"SELECT {TXN_ROWS} FROM txn WHERE amount > 0",
@@ -282,7 +315,7 @@ ON d.customer_id = f.customer_id AND d.transaction_date = f.transaction_date""",
             "SELECT 'daily_totals', count(*) FROM daily",
         ]
     ),
-    "parquet_scan": "SELECT event_id, ts, user_id, event_type, value FROM events",
+    "parquet_scan": "SELECT * FROM events",
     "source_available": "SELECT 'events' AS source, TRUE AS available, count(*) > 0 AS has_rows FROM events",
     "publish_history": _with(TXN, TXN_FIRST)
     + """SELECT 'run-1' AS run_id, 'customer_transactions' AS table_name, 'WRITE' AS operation,
@@ -307,7 +340,12 @@ UNION ALL SELECT 'run-2', 'customer_transactions', 'WRITE', 'Overwrite', count(*
     "normalize_status": EMP_ALL + f"SELECT zip_code, status AS status_text, {STATUS} AS status FROM emp",
     "sql_count": CLEAN_ALL + "SELECT count(*) AS employees FROM clean",
     "sql_sample": CLEAN_ALL + "SELECT employee_id, full_name, salary FROM clean ORDER BY employee_id LIMIT 5",
-    "csv_scan_typed": EMP_ALL + "SELECT * FROM emp",
+    "csv_scan_typed": EMP_ALL
+    + "SELECT "
+    + ", ".join(
+        f"CASE WHEN {_BAD.get(c, 'FALSE')}{'' if c in EMPLOYEE.names[:5] else ' OR k % 43 = 5'} THEN NULL ELSE {c} END AS {c}" for c in EMPLOYEE.names
+    )
+    + ", k % 43 = 5 OR k % 47 = 6 AS corrupt_line FROM (SELECT *, CAST(zip_code AS INT) AS k FROM emp)",
     "csv_roundtrip": EMP_ALL
     + "SELECT "
     + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in EMPLOYEE.names)

@@ -7,17 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievetally.functions.transactions import exact_amount, is_positive, transaction_date
+from sievetally.functions.transactions import is_positive, transaction_date
 from sievetally.operators import contracts
 from sievetally.operators.dedupe import keep_first
 from sievetally.operators.filters import keep_positive_amounts
 from sievetally.operators.reports import stage_rows
 from sievetally.operators.totals import total_by_customer_day
 from sievetally.schemas import DAILY_KEY, DAILY_TOTAL, TRANSACTION_ORDER
-from sievetally.session import pin_settings, size_partitions
+from sievetally.session import pin_settings, sized_for
 from sievetally.sinks.managed import publish, register_table
-from sievetally.sinks.serving import load_serving
-from sievetally.sources.managed import current_location, history, read_managed, source_available
+from sievetally.sinks.serving import load_serving, upsert_served
+from sievetally.sources.managed import history, read_managed, source_available
 
 TRANSACTIONS = "customer_transactions"
 DAILY_TOTALS = "customer_daily_aggregates"
@@ -29,8 +29,7 @@ def unique_transactions(df: DataFrame) -> DataFrame:
 
 def _totals_input(df: DataFrame) -> DataFrame:
     """The columns that decide a total. Rows that differ in nothing else give the same total."""
-    amount = exact_amount(F.col("amount"), df.schema["amount"].dataType)
-    return df.select("transaction_id", "timestamp", "customer_id", amount.alias("amount"))
+    return df.select("transaction_id", "timestamp", "customer_id", "amount")
 
 
 def daily_totals(df: DataFrame) -> DataFrame:
@@ -61,50 +60,63 @@ def stage_counts(df: DataFrame) -> DataFrame:
     return stage_rows(counts, [*stages, "daily_totals"])
 
 
+def _published(spark: SparkSession, df: DataFrame, table: str, root: str, name: str | None, options: dict, schema=None) -> DataFrame:
+    location = publish(df, table, root, schema=schema, **options)
+    fmt = options.get("fmt", "parquet")
+    if name:
+        register_table(spark, name, location, fmt, None if fmt == "delta" else read_managed(spark, table, root, fmt).schema)
+    return history(spark, table, root, fmt)
+
+
 def publish_transactions(
     spark: SparkSession, raw_path: str, root: str, name: str | None = None, **options
 ) -> DataFrame:
-    """Raw Parquet to the managed transaction table; returns the table's history."""
+    """Raw Parquet to the managed transaction table; returns the report of its publishes. `name` is one more catalog name."""
     pin_settings(spark)
     raw = spark.read.parquet(raw_path)
-    size_partitions(spark, raw)
-    location = publish(raw, TRANSACTIONS, root, **options)
-    if name:
-        register_table(spark, name, location, options.get("fmt", "parquet"))
-    return history(spark, TRANSACTIONS, root, options.get("fmt", "parquet"))
+    with sized_for(spark, raw):
+        return _published(spark, raw, TRANSACTIONS, root, name, options)
 
 
 def publish_daily_totals(spark: SparkSession, root: str, name: str | None = None, **options) -> DataFrame:
-    """Managed transactions to managed daily totals; returns the history of the totals."""
+    """Managed transactions to managed daily totals; returns the report of the totals' publishes."""
     pin_settings(spark)
-    fmt = options.get("fmt", "parquet")
-    transactions = read_managed(spark, TRANSACTIONS, root, fmt)
-    size_partitions(spark, transactions)
-    location = publish(daily_totals(transactions), DAILY_TOTALS, root, schema=DAILY_TOTAL, **options)
-    if name:
-        register_table(spark, name, location, fmt)
-    return history(spark, DAILY_TOTALS, root, fmt)
+    transactions = read_managed(spark, TRANSACTIONS, root, options.get("fmt", "parquet"))
+    with sized_for(spark, transactions):
+        return _published(spark, daily_totals(transactions), DAILY_TOTALS, root, name, options, DAILY_TOTAL)
 
 
 def load_daily_totals(
-    spark: SparkSession, root: str, connect: Callable[[], object], writers: int = 2, fmt: str = "parquet"
+    spark: SparkSession,
+    root: str,
+    connect: Callable[[], object] | None = None,
+    writers: int | None = None,
+    fmt: str = "parquet",
+    check: bool = True,
 ) -> int:
-    """Managed daily totals to the serving store; the key is checked before the first upsert."""
+    """Managed daily totals upserted into the served table, or with `connect` into a serving store; returns their number.
+
+    The key is checked before the first upsert, unless the caller has just made the totals.
+    """
     pin_settings(spark)
     totals = read_managed(spark, DAILY_TOTALS, root, fmt)
-    size_partitions(spark, totals)
-    contracts.require(contracts.check_all(totals, unique=[DAILY_KEY], not_null=DAILY_KEY))
-    return load_serving(totals, connect, writers)
+    with sized_for(spark, totals):
+        if check:
+            contracts.require(contracts.check_all(totals, unique=[DAILY_KEY], not_null=DAILY_KEY))
+        if connect:
+            return load_serving(totals, connect, writers)
+        upsert_served(totals, root, fmt)
+        return totals.count()
 
 
 def run_daily(
-    spark: SparkSession, root: str, connect: Callable[[], object], writers: int = 2, **options
+    spark: SparkSession, root: str, connect: Callable[[], object] | None = None, writers: int | None = None, **options
 ) -> dict[str, int]:
     """Source check, daily totals, serving load, in this order; the first failure ends the run."""
     pin_settings(spark)
     fmt = options.get("fmt", "parquet")
-    source = f"{root.rstrip('/')}/{TRANSACTIONS}" if fmt == "delta" else current_location(spark, TRANSACTIONS, root)
-    source_available(spark, source, TRANSACTIONS, fmt)
+    source_available(read_managed(spark, TRANSACTIONS, root, fmt), TRANSACTIONS).collect()
     publish_daily_totals(spark, root, **options)
-    totals = read_managed(spark, DAILY_TOTALS, root, fmt).count()
-    return {"daily_totals": totals, "served": load_daily_totals(spark, root, connect, writers, fmt)}
+    # Totals are grouped by their key, so it is unique and needs no check of its own.
+    served = load_daily_totals(spark, root, connect, writers, fmt, check=False)
+    return {"daily_totals": served, "served": served}

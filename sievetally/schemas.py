@@ -86,13 +86,12 @@ SERVING_ROW = _struct(
     transaction_count=IntegerType(),
 )
 
-# One line per publish of a managed table.
+# One line per publish of a managed table, for reports.
 RUN_LOG = _struct(
     run_id=StringType(),
     table_name=StringType(),
     operation=StringType(),
     mode=StringType(),
-    num_files=LongType(),
     num_output_rows=LongType(),
     location=StringType(),
     committed_at=TimestampType(),

@@ -17,9 +17,11 @@ MB = 1024 * 1024
 SHUFFLE_BYTES = 256 * MB
 # Every map task keeps a size per shuffle partition, so both counts need an end: with these, 100 TB
 # are 100,000 scan tasks of 1 GB and 32,768 shuffle partitions of at most 3 GB, sorted with spill.
+# They bound sizes of tasks, never rows; settings of the session or arguments replace them.
 MAX_SHUFFLE_PARTITIONS = 32768
 MAX_SCAN_TASKS = 100_000
 MAX_SCAN_BYTES = 1024 * MB
+SIZED = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
 # Spark reports about this size for a source it knows nothing about.
 UNKNOWN_SIZE = 2**62
 
@@ -58,20 +60,43 @@ def byte_count(text: str) -> int:
     return int(number) * 1024 ** " kmgt".index(unit or " ")
 
 
-def size_partitions(spark: SparkSession, *inputs: DataFrame) -> None:
+def size_partitions(
+    spark: SparkSession,
+    *inputs: DataFrame,
+    max_partitions: int | None = None,
+    max_scan_tasks: int | None = None,
+    max_scan_bytes: int | None = None,
+) -> None:
     """Raise shuffle partition count and scan task size to fit the inputs; never lower them.
 
     The default of 200 partitions over 100 TB would be 500 GB each, and adaptive execution merges
     the partitions of an aggregation but does not split them. Too high a count costs little,
-    because small partitions are merged at run time.
+    because small partitions are merged at run time. The bounds may also be set on the session, as
+    spark.sievetally.maxShufflePartitions, maxScanTasks and maxScanBytes.
     """
+
+    def bound(given: int | None, key: str, default: int) -> int:
+        return given or byte_count(str(spark.conf.get(f"spark.sievetally.{key}", str(default))))
+
     total = sum(plan_bytes(df) for df in inputs)
-    partitions = min(math.ceil(total / SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
-    if partitions > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    scan = min(total // MAX_SCAN_TASKS, MAX_SCAN_BYTES)
-    if scan > byte_count(spark.conf.get("spark.sql.files.maxPartitionBytes")):
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan))
+    partitions = min(math.ceil(total / SHUFFLE_BYTES), bound(max_partitions, "maxShufflePartitions", MAX_SHUFFLE_PARTITIONS))
+    if partitions > int(spark.conf.get(SIZED[0])):
+        spark.conf.set(SIZED[0], str(partitions))
+    scan = min(total // bound(max_scan_tasks, "maxScanTasks", MAX_SCAN_TASKS), bound(max_scan_bytes, "maxScanBytes", MAX_SCAN_BYTES))
+    if scan > byte_count(spark.conf.get(SIZED[1])):
+        spark.conf.set(SIZED[1], str(scan))
+
+
+@contextmanager
+def sized_for(spark: SparkSession, *inputs: DataFrame, **bounds: int) -> Iterator[None]:
+    """size_partitions for the length of a job; the session's own settings hold again afterwards."""
+    before = {key: spark.conf.get(key) for key in SIZED}
+    try:
+        size_partitions(spark, *inputs, **bounds)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

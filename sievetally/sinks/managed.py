@@ -1,8 +1,9 @@
-"""Managed tables: full overwrite, catalog name and commit history.
+"""Managed tables: full overwrite, catalog name and a report of publishes.
 
 With Delta on the session the table format does all three. Without it, each publish writes a new
-folder and then appends one line to a run log; the line is the commit. Readers follow the newest
-line, so they see either the old table or the new one, and a table may be rebuilt from itself.
+folder and then points the table's catalog entry to it; that one change of the catalog is the commit. Readers
+go by the catalog, so they see either the old table or the new one, whichever publish ended last, and a
+table may be rebuilt from itself. Other sessions see it where they share a catalog (a metastore).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql.types import StructType
 from sievetally.operators.contracts import enforce_schema
 from sievetally.schemas import RUN_LOG
 from sievetally.sinks.files import sized
-from sievetally.sources.managed import log_path
+from sievetally.sources.managed import catalog_name, log_path
 
 
 def default_format(spark: SparkSession) -> str:
@@ -36,10 +37,12 @@ def publish(
     run_id: str | None = None,
     run_ts: datetime | None = None,
 ) -> str:
-    """Replace the table by df; returns the folder that now holds it. run_ts without zone is UTC."""
+    """Replace the table by df; returns the folder that now holds it. run_ts, for the report, is now by default; without zone it is UTC."""
     spark = df.sparkSession
     if schema is not None:
         df = enforce_schema(df, schema)
+    if partition_by:
+        df = df.select(*[c for c in df.columns if c not in partition_by], *partition_by)
     writer = sized(df, files, partition_by).write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -49,11 +52,13 @@ def publish(
         return location
 
     run_id = run_id or uuid.uuid4().hex
-    run_ts = run_ts or datetime.now(timezone.utc)
-    if run_ts.tzinfo is None:
-        run_ts = run_ts.replace(tzinfo=timezone.utc)
     location = f"{root.rstrip('/')}/{table}/{run_id}"
     writer.mode("errorifexists").save(location)
+    register_table(spark, catalog_name(spark, table, root), location, fmt, df.schema)
+    if run_ts is None:
+        run_ts = datetime.now(timezone.utc)
+    elif run_ts.tzinfo is None:
+        run_ts = run_ts.replace(tzinfo=timezone.utc)
     written = spark.read.format(fmt).schema(df.schema).load(location)
     # Counted from the footers of the committed files: exact even where a lost executor made
     # tasks run twice, which would count twice in accumulator-based metrics.
@@ -62,12 +67,11 @@ def publish(
         "table_name": table,
         "operation": "WRITE",
         "mode": "Overwrite",
-        "num_files": len(written._jdf.inputFiles()),
         "num_output_rows": written.count(),
         "location": location,
         "committed_at": run_ts,
     }
-    # One folder per line: publishes of several tables may run at the same time.
+    # A report; one folder per line, as publishes of several tables may run at the same time.
     (
         spark.range(0, 1, 1, 1)
         .select(*[F.lit(line[f.name]).cast(f.dataType).alias(f.name) for f in RUN_LOG])
@@ -76,25 +80,28 @@ def publish(
     return location
 
 
-def _is_partitioned(spark: SparkSession, name: str) -> bool:
-    return any(column.isPartition for column in spark.catalog.listColumns(name))
+def _entry(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
 
 
-def register_table(spark: SparkSession, name: str, location: str, fmt: str = "parquet") -> None:
-    """Make the folder readable as a catalog table; an existing name is pointed to the new folder."""
-    create = f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{location}'"
+def register_table(spark: SparkSession, name: str, location: str, fmt: str = "parquet", schema: StructType | None = None) -> None:
+    """Make the folder readable as a catalog table; an existing name is pointed to the new folder.
+
+    The entry has the declared schema, by default that of the files; folders of partition values
+    are found in the folder and take the declared types. Where schema or format have changed, the entry
+    is made anew, and for that moment the name is missing. Files are never deleted.
+    """
     if fmt == "delta":
-        spark.sql(create)
+        if not spark.catalog.tableExists(name):
+            spark.catalog.createTable(name, path=location, source=fmt)
         return
-    exists = spark.catalog.tableExists(name)
-    if exists and _is_partitioned(spark, name):
-        # Each partition has its own place in the catalog, so the entry is made anew; files stay.
+    schema = schema or spark.read.format(fmt).load(location).schema
+    if spark.catalog.tableExists(name):
+        same = [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in schema]
+        if same and _entry(spark, name).get("Provider") == fmt:
+            place = location.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+            spark.catalog.refreshTable(name)
+            return
         spark.sql(f"DROP TABLE {name}")
-        exists = False
-    if exists:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-        spark.catalog.refreshTable(name)
-        return
-    spark.sql(create)
-    if _is_partitioned(spark, name):
-        spark.catalog.recoverPartitions(name)
+    spark.catalog.createTable(name, path=location, source=fmt, schema=schema)

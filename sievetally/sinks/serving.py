@@ -1,4 +1,4 @@
-"""Keyed upserts into a serving store, straight from the executors.
+"""Keyed upserts: into a served table by a merge, or into a serving store straight from the executors.
 
 A store is any object with upsert(batch) for an Arrow record batch and close(). `connect` is a
 function without arguments that opens one; it is sent to the executors and called once per task.
@@ -8,14 +8,18 @@ from __future__ import annotations
 
 import sys
 import time
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark import TaskContext, cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievetally.schemas import DAILY_KEY, SERVING_ROW
+from sievetally.sinks.managed import publish
+from sievetally.sources.managed import is_published, read_managed
+
+SERVED = "customer_daily_served"
 
 # The code below runs on the executors; sent by value, it needs no installation there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -36,6 +40,26 @@ def serving_layout(df: DataFrame, writers: int) -> DataFrame:
     return df.repartitionByRange(writers, *order).sortWithinPartitions(*order)
 
 
+def merge_upsert(held: DataFrame, load: DataFrame, key: Sequence[str]) -> DataFrame:
+    """held with the rows of load: a key of both takes the row of load, keys of one side stay, nothing is deleted.
+
+    Both sides have the same columns and unique keys. One aggregation, reduced before its shuffle, so
+    that it makes no difference how many rows a customer has.
+    """
+    values = [c for c in held.columns if c not in key]
+    both = held.withColumn("_load", F.lit(0)).unionByName(load.withColumn("_load", F.lit(1)))
+    newest = both.groupBy(*key).agg(F.max(F.struct("_load", *values)).alias("_row"))
+    return newest.select(*[F.col(c) if c in key else F.col(f"_row.{c}") for c in held.columns])
+
+
+def upsert_served(totals: DataFrame, root: str, fmt: str = "parquet") -> None:
+    """Upsert daily totals by (customer_id, transaction_date) into the served table below root, a managed table."""
+    spark, rows = totals.sparkSession, serving_rows(totals)
+    if is_published(spark, SERVED, root, fmt):
+        rows = merge_upsert(read_managed(spark, SERVED, root, fmt), rows, DAILY_KEY)
+    publish(rows, SERVED, root, fmt, SERVING_ROW)
+
+
 def open_store(connect: Callable[[], object], tries: int, wait_seconds: float):
     for attempt in range(tries):
         try:
@@ -49,15 +73,18 @@ def open_store(connect: Callable[[], object], tries: int, wait_seconds: float):
 def load_serving(
     df: DataFrame,
     connect: Callable[[], object],
-    writers: int = 2,
+    writers: int | None = None,
     tries: int = 5,
     wait_seconds: float = 3.0,
 ) -> int:
     """Upsert daily totals by (customer_id, transaction_date); returns the number of rows sent.
 
     Rows reach the store in Arrow batches, and a task that runs again repeats the same upserts.
-    Keys that are no longer in df stay in the store.
+    Keys that are no longer in df stay in the store. `writers` bounds the tasks, and with them the connections;
+    by default there are as many as shuffle partitions. df is computed twice, as the ranges of the tasks
+    are found in a sample: pass a written table.
     """
+    writers = writers or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, sent = None, 0
@@ -104,39 +131,3 @@ class CqlStore:
 
     def close(self) -> None:
         self.cluster.shutdown()
-
-
-class FolderStore:
-    """Upserts kept as Parquet files in a shared folder, for sites and tests without a database.
-
-    File names come from load, task and batch number, so a repeated task replaces its own files.
-    """
-
-    def __init__(self, folder: str, load: int):
-        from pyarrow import fs
-
-        # Spark writes file:/a where Arrow expects a plain path.
-        place = "/" + folder.removeprefix("file:").lstrip("/") if folder.startswith("file:") else folder
-        self.files, path = fs.FileSystem.from_uri(place)
-        self.path = f"{path.rstrip('/')}/load={load}"
-        self.files.create_dir(self.path, recursive=True)
-        self.task = TaskContext.get().partitionId()
-        self.batch = 0
-
-    def upsert(self, batch: pa.RecordBatch) -> None:
-        from pyarrow import parquet
-
-        name = f"{self.path}/task-{self.task:05d}-{self.batch:05d}.parquet"
-        parquet.write_table(pa.Table.from_batches([batch]), name, filesystem=self.files)
-        self.batch += 1
-
-    def close(self) -> None:
-        pass
-
-
-def read_folder_store(spark: SparkSession, folder: str) -> DataFrame:
-    """What the store holds: per key the row of the latest load."""
-    values = [c for c in SERVING_ROW.names if c not in DAILY_KEY]
-    written = spark.read.parquet(folder)
-    latest = written.groupBy(*DAILY_KEY).agg(F.max(F.struct("load", *values)).alias("row"))
-    return latest.select(*DAILY_KEY, *[F.col(f"row.{c}") for c in values])

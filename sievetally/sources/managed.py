@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,34 +14,50 @@ def log_path(root: str) -> str:
     return f"{root.rstrip('/')}/run_log"
 
 
+def catalog_name(spark: SparkSession, table: str, root: str) -> str:
+    """Name of the catalog entry that points to the table's data; one for each table and root."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    place = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+    return f"{table}_{hashlib.md5(place.encode()).hexdigest()[:12]}"
+
+
 def history(spark: SparkSession, table: str, root: str, fmt: str = "parquet") -> DataFrame:
-    """Publishes of the table, newest first."""
+    """Publishes of the table, newest first. Without Delta a report of what was published; readers do not follow it."""
     if fmt == "delta":
         return spark.sql(f"DESCRIBE HISTORY delta.`{root.rstrip('/')}/{table}`")
-    log = spark.read.schema(RUN_LOG).parquet(f"{log_path(root)}/*")
+    log = spark.read.schema(RUN_LOG).parquet(f"{log_path(root)}/{table}-*")
     return log.filter(F.col("table_name") == table).orderBy(F.desc("committed_at"), F.desc("run_id"))
 
 
+def is_published(spark: SparkSession, table: str, root: str, fmt: str = "parquet") -> bool:
+    if fmt == "delta":
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{table}/_delta_log")
+        return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    return spark.catalog.tableExists(catalog_name(spark, table, root))
+
+
 def current_location(spark: SparkSession, table: str, root: str) -> str:
-    newest = history(spark, table, root).select("location").head(1)
-    if not newest:
+    """The folder that the catalog names for the table."""
+    if not is_published(spark, table, root):
         raise FileNotFoundError(f"{table} was never published below {root}")
-    return newest[0]["location"]
+    name = catalog_name(spark, table, root)
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").head(1)
+    return rows[0]["data_type"]
 
 
 def read_managed(spark: SparkSession, table: str, root: str, fmt: str = "parquet") -> DataFrame:
-    """The table as of its last finished publish; a publish under way is not seen."""
+    """The table as of its last finished publish, in its declared schema; a publish under way is not seen."""
     if fmt == "delta":
         return spark.read.format("delta").load(f"{root.rstrip('/')}/{table}")
-    return spark.read.format(fmt).load(current_location(spark, table, root))
+    if not is_published(spark, table, root):
+        raise FileNotFoundError(f"{table} was never published below {root}")
+    return spark.table(catalog_name(spark, table, root))
 
 
-def source_available(spark: SparkSession, path: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """One row (source, available, has_rows). An unreadable source raises; an empty one is available.
+def source_available(df: DataFrame, name: str) -> DataFrame:
+    """One row (source, available, has_rows) of a table that could be opened; an empty one is available.
 
-    head(1) on no columns starts with a single task, so the check costs the same on any size.
+    One row is read at most, so the check costs the same on any size.
     """
-    rows = spark.read.format(fmt).load(path).select(F.lit(1)).head(1)
-    return spark.range(1).select(
-        F.lit(name).alias("source"), F.lit(True).alias("available"), F.lit(bool(rows)).alias("has_rows")
-    )
+    first = df.select(F.lit(1).alias("one")).limit(1).agg(F.count("one").alias("n"))
+    return first.select(F.lit(name).alias("source"), F.lit(True).alias("available"), (F.col("n") > 0).alias("has_rows"))

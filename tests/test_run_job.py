@@ -1,11 +1,11 @@
 """The commands, one after the other, as a user would run them."""
 
 import pytest
+from folder_store import FolderStore, read_folder_store
 
 import run_job
 from sievetally.plans.catalog import CLEAN_TABLE, DERBY_DRIVER, STAGING_TYPES
 from sievetally.sinks.relational import run_in_transaction
-from sievetally.sinks.serving import FolderStore, read_folder_store
 
 
 def test_transaction_commands(spark, scratch, monkeypatch):
@@ -22,6 +22,7 @@ def test_transaction_commands(spark, scratch, monkeypatch):
     assert run_job.main(["load-serving", "--root", root, "--hosts", "h1,h2"]) == {"served": groups}
     assert run_job.main(["run-daily", "--root", root, "--hosts", "h1"]) == {"daily_totals": groups, "served": groups}
     assert read_folder_store(spark, f"{scratch}/store").count() == groups
+    assert run_job.main(["run-daily", "--root", root]) == {"daily_totals": groups, "served": groups}
     for name in ("cli_transactions", "cli_totals", "cli_totals_by_day"):
         spark.sql(f"DROP TABLE {name}")
 

@@ -89,11 +89,20 @@ def test_float_amounts_sum_exactly(spark):
     assert [tuple(r) for r in daily_totals(df).collect()] == [("C1", date(2024, 1, 1), 100.0, 1000)]
 
 
-def test_amount_too_large_raises(spark):
-    df = spark.createDataFrame([("a", "C1", 1e11)], "transaction_id string, customer_id string, amount double")
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_no_float_amount_is_dropped_or_refused(spark, kind):
+    amounts = {"C1": [0.004, 1.0], "C2": [1e10, -1e10, 2.5], "C3": [1e-12], "C4": [1e30, 1.0], "C5": [float("nan"), float("inf"), None, -0.0], "C6": [1e300] * (kind == "double")}
+    rows = [(f"{c}-{i}", c, a) for c, own in amounts.items() for i, a in enumerate(own)]
+    df = spark.createDataFrame(rows, "transaction_id string, customer_id string, amount double").withColumn("amount", F.col("amount").cast(kind))
     df = df.withColumns({"timestamp": F.lit("2024-01-01 10:00:00").cast("timestamp_ntz"), "merchant": F.lit("A")})
-    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
-        daily_totals(df).collect()
+    found = {r["customer_id"]: (r["total_amount"], r["transaction_count"]) for r in daily_totals(df).collect()}
+    want = {"C1": (1.004, 2), "C2": (1e10 + 2.5, 2), "C3": (1e-12, 1), "C4": (1e30, 2)} | ({"C6": (1e300, 1)} if kind == "double" else {})
+    assert found.keys() == want.keys()
+    assert all(found[c][1] == want[c][1] and found[c][0] == pytest.approx(want[c][0], rel=1e-6) for c in want)
+    if kind == "double":
+        assert found["C1"][0] == 1.004 and found["C2"][0] == 1e10 + 2.5
+    counts = {r["stage"]: r["rows"] for r in stage_counts(df).collect()}
+    assert counts == {"raw": len(rows), "deduplicated": len(rows), "positive": sum(n for _, n in want.values()), "daily_totals": len(want)}
 
 
 def test_day_follows_the_session_zone(spark):

@@ -35,11 +35,29 @@ def fold(id_col: str, folds: int) -> Column:
     return F.crc32(F.col(id_col).cast("string")) % folds
 
 
+def sample_of(rows: DataFrame, id_col: str, size: int) -> DataFrame:
+    """One row (id_col, and the least of all other columns) for each of about `size` ids, chosen by a hash of the id; all ids where there are fewer.
+
+    The share to keep follows from an estimate of the distinct ids, so no task and no driver sorts or holds
+    more than the sample, and repeated ids are reduced before the shuffle.
+    """
+    total = rows.agg(F.approx_count_distinct(id_col, 0.01)).first()[0]
+    if total > size:
+        rows = rows.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < int((1 << 30) * size / total))
+    others = [c for c in rows.columns if c != id_col]
+    return rows.groupBy(id_col).agg(F.min(F.struct(*others)).alias("least")).select(id_col, *(f"least.{c}" for c in others))
+
+
 def spread(key: Column, groups: int) -> Column:
     """A group number from 0 that depends on key alone."""
     return F.pmod(F.xxhash64(key), F.lit(groups)).cast("int")
 
 
+def task_count(spark: SparkSession) -> int:
+    """Partitions for work whose cost does not follow its bytes: more than for plain shuffles, and not merged by size."""
+    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """path with the scheme that Spark would give it, so that executors and Spark mean the same place."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -36,8 +36,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:
-    labelled = docs.select("doc_id", "text").join(labels.where(fold("doc_id", 5) != 0).select("doc_id", "toxic"), "doc_id")
-    return toxicity.fit(labelled)
+    return toxicity.fit(docs, labels.where(fold("doc_id", 5) != 0))
 
 
 def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

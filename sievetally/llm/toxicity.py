@@ -21,10 +21,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievetally.llm.common import sample_of
+
 BUCKETS = 1 << 20
 # Lengths of word beginnings that are features beside the whole word.
 BEGINNINGS = (4, 5, 6)
-# Labelled rows to learn from at most.
+# Labelled rows to learn from, about, where there are more.
 TRAIN_ROWS = 8000
 # Labelled texts that must have a feature before it gets a weight.
 LEAST_TEXTS = 4
@@ -172,10 +174,11 @@ def train(features: list[np.ndarray], counterfactuals: list[np.ndarray | None],
     return ToxicityModel(dict(zip(kept.tolist(), w.tolist(), strict=True)), float(bias))
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, train_rows: int = TRAIN_ROWS, penalty: float = PENALTY) -> ToxicityModel:
-    """A model of rows with a 0/1 label, from the train_rows of them that come first by a hash of the id; whole texts.
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, train_rows: int = TRAIN_ROWS, penalty: float = PENALTY) -> ToxicityModel:
+    """A model of the documents with a 0/1 label, from about train_rows ids chosen by a hash of the id; whole texts.
 
-    Tasks send the features of those rows to the driver, not the texts. Null labels are left out, null texts have no words.
+    The chosen ids and labels, of bounded number, are broadcast to the documents. Tasks send the features of those to the
+    driver, not the texts. Null labels are left out, null texts have no words; of repeated ids the least text and label count.
     """
 
     @F.pandas_udf("own binary, other binary")
@@ -185,8 +188,12 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
             other = [swapped(w, groups) for w in words]
             yield pd.DataFrame({"own": [features_of(w).tobytes() for w in words], "other": [None if w is None else features_of(w).tobytes() for w in other]})
 
-    known = labelled.where(F.col(label_col).isin(0, 1)).select(F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).alias("t"), F.col(label_col).cast("int").alias("y"))
-    sample = known.orderBy("h", "t", "y").limit(train_rows).select("y", features("t").alias("x")).collect()
+    known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
+    chosen = sample_of(known, "id", train_rows)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(F.broadcast(chosen), "id")
+    texts = texts.groupBy("id").agg(F.min("t").alias("t"), F.min("y").alias("y"))
+    sample = texts.select("id", "y", features("t").alias("x")).collect()
+    sample.sort(key=lambda r: r["id"])
     own = [np.frombuffer(r["x"]["own"], np.int32) for r in sample]
     other = [None if r["x"]["other"] is None else np.frombuffer(r["x"]["other"], np.int32) for r in sample]
     return train(own, other, [r["y"] for r in sample], penalty)

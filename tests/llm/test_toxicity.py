@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from sievetally.llm.common import sample_of
 from sievetally.llm.queries import op3_toxicity
 from sievetally.llm.toxicity import Scorer, classify, features_of, fit, swapped, train, words_of
 
@@ -63,9 +64,16 @@ def test_few_labels(labels, score):
 
 
 def test_fit_leaves_out_null_labels(spark, edge_docs):
-    labelled = edge_docs.selectExpr("doc_id", "text", "CASE WHEN doc_id = 3 THEN NULL WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END AS toxic")
-    assert 0 <= Scorer(fit(labelled)).score("one") <= 1
-    assert Scorer(fit(labelled.limit(0))).score("one") == 0.5
+    labels = edge_docs.selectExpr("doc_id", "CASE WHEN doc_id = 3 THEN NULL WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END AS toxic")
+    assert 0 <= Scorer(fit(edge_docs, labels)).score("one") <= 1
+    assert Scorer(fit(edge_docs, labels.limit(0))).score("one") == 0.5
+
+
+def test_samples_are_bounded(spark):
+    rows = spark.range(20_000).selectExpr("id % 10000 AS id", "id AS y")
+    got = sample_of(rows, "id", 1000).collect()
+    assert 800 < len(got) < 1200 and all(r["id"] == r["y"] for r in got)
+    assert sample_of(rows, "id", 20_000).count() == 10_000
 
 
 def test_held_out_accuracy(spark):

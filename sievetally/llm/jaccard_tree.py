@@ -4,8 +4,9 @@ Documents are sets of word shingles; two link when their Jaccard similarity reac
 
 1. Equal sets become one class. A sketch of fixed size counts how common shingles are.
 2. Sets that reach the threshold share a shingle among the rarest of each: with n shingles, the
-   rarest n - ceil(t n) + 1. Sets that share such a shingle and fit in size fall into one cluster; whatever
-   links lies within a cluster.
+   rarest n - ceil(t n) + 1; sets of like size share a tenth of n there. Shared rare shingles are counted by pairs where
+   few sets have one, and pairs with too few are dropped; where more sets have one, all that fit in size stay
+   together. What is left connects sets to clusters, and whatever links lies within a cluster.
 3. Each cluster is joined by signature trees: leaves are bitmaps of sets, nodes hold the OR of their
    bitmaps and the range of their sizes. A dual traversal drops pairs of nodes whose largest possible
    overlap is too small. Pairs of leaves that remain make the smaller clusters that may hold links.
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sievetally.llm.common import task_count
 from sievetally.llm.components import connected_components
 from sievetally.llm.near_vectors import roots
 from sievetally.session import cut_lineage
@@ -50,8 +52,11 @@ BLOCK_SHINGLES = 1 << 21
 FAN_OUT = 8
 # Bitmaps have two to four bits for each shingle, and so many at least.
 LEAST_BITS = 64
-# Steps of the size class that a set's code carries.
-SIZE_STEP = 1.1
+# A rare shingle that more sets share is not counted by pairs.
+PAIRED_SETS = 16
+# Steps of the size class that a set's code carries in its last SIZE_BITS bits.
+SIZE_STEP = 1.02
+SIZE_BITS = 10
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -92,9 +97,9 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def code_of(digest: bytes, size: int) -> int:
-    """56 bits of a set's digest and its size class, as a signed long."""
-    step = min(255, int(np.log(max(size, 1)) / np.log(SIZE_STEP) + 1e-9))
-    return int.from_bytes(digest[:7] + bytes([step]), "big", signed=True)
+    """The first bits of a set's digest and its size class, as a signed long."""
+    step = min((1 << SIZE_BITS) - 1, int(np.log(max(size, 1)) / np.log(SIZE_STEP) + 1e-9))
+    return (int.from_bytes(digest[:8], "big", signed=True) >> SIZE_BITS << SIZE_BITS) | step
 
 
 def signature(hashes: np.ndarray) -> bytes:
@@ -121,6 +126,20 @@ def _size_gap(percent: int) -> int:
     return int(np.log(100 / percent) / np.log(SIZE_STEP)) + 2
 
 
+def fewest_shared(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """How many of their rarest shingles sets of codes a and b share at least, if they link.
+
+    Of two sets, take that whose rarest shingles end first in the order. Those of them that the other set has are among its
+    rarest too, so at most ceil(t n) - 1 further ones are shared; a link needs t / (1 + t) of both sizes in all. Sizes are
+    known by class, so the least sum and the largest size are taken.
+    """
+    mask = (1 << SIZE_BITS) - 1
+    small, large = np.minimum(a & mask, b & mask).astype(float), np.maximum(a & mask, b & mask).astype(float)
+    both = np.ceil((SIZE_STEP**small + SIZE_STEP**large) * (1 - 1e-9) * percent / (100 + percent))
+    rest = np.ceil(np.ceil(SIZE_STEP ** (large + 1)) * percent / 100)
+    return np.maximum(1, both - rest).astype(np.int64)
+
+
 # --- 1. Sets and the sketch ---
 def _sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """A row of each document (doc_id, n, digest, code, bits), and SKETCH_CHUNK counters of each task's sketch in rows of their own."""
@@ -219,32 +238,57 @@ def _postings(docs: DataFrame, text_col: str, words: int, percent: int, rarity,
     return docs.select(F.col(text_col)).mapInArrow(emit, "part int, keys binary, codes binary")
 
 
-def _shared_keys(part: pa.Table, gap: int) -> tuple[np.ndarray, np.ndarray]:
-    """(code, root) of the sets that share a key with another one of fitting size; root is the smallest such code of their group within the part."""
+def _shared_keys(part: pa.Table, gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, shared): pairs of codes with the number of keys that they share, for keys of at most PAIRED_SETS sets;
+    for other keys, 0 and an edge of each set to the smallest one that it is together with.
+    """
     key = np.frombuffer(b"".join(part.column("keys").to_pylist()), np.uint64)
     code = np.frombuffer(b"".join(part.column("codes").to_pylist()), np.int64)
-    size = code & 255
+    size = code & (1 << SIZE_BITS) - 1
     order = np.lexsort((code, size, key))
     key, code, size = key[order], code[order], size[order]
-    near = (key[1:] == key[:-1]) & (size[1:] - size[:-1] <= gap) & (code[1:] != code[:-1])
-    at = np.flatnonzero(near)
-    codes, places = np.unique(np.concatenate([code[at], code[at + 1]]), return_inverse=True)
-    root = roots(len(codes), places[: len(at)], places[len(at) :]) if len(codes) else np.zeros(0, np.int64)
-    return codes, codes[root] if len(codes) else codes
+    keep = np.concatenate([[True], (key[1:] != key[:-1]) | (code[1:] != code[:-1])])[: len(key)]
+    key, code, size = key[keep], code[keep], size[keep]
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+    sets = np.diff(np.append(starts, len(key)))
+    few = np.repeat(sets <= PAIRED_SETS, sets)
+    many = np.flatnonzero(~few[1:] & (key[1:] == key[:-1]) & (size[1:] - size[:-1] <= gap))
+    codes, places = np.unique(np.concatenate([code[many], code[many + 1]]), return_inverse=True)
+    root = roots(len(codes), places[: len(many)], places[len(many) :])
+    own = np.flatnonzero(root != np.arange(len(codes)))
+    a, b = [codes[own]], [codes[root[own]]]
+    pairs = []
+    for apart in range(1, min(PAIRED_SETS, len(key))):
+        at = np.flatnonzero(few[apart:] & (key[apart:] == key[:-apart]) & (size[apart:] - size[:-apart] <= gap))
+        pairs.append((np.minimum(code[at], code[at + apart]), np.maximum(code[at], code[at + apart])))
+    shared = [np.zeros(len(own), np.int64)]
+    if pairs:
+        x, y = (np.concatenate(side) for side in zip(*pairs, strict=True))
+        order = np.lexsort((y, x))
+        x, y = x[order], y[order]
+        first = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])[: len(x)])
+        a.append(x[first])
+        b.append(y[first])
+        shared.append(np.diff(np.append(first, len(x))))
+    return np.concatenate(a), np.concatenate(b), np.concatenate(shared)
 
 
 def _clusters(docs: DataFrame, text_col: str, words: int, percent: int, rarity) -> DataFrame:
-    """(code, cluster) of the sets that share a rare shingle with a set of another code and fitting size."""
-    spark = docs.sparkSession
+    """(code, cluster) of the sets that may link to a set of another code."""
     gap = _size_gap(percent)
+    kind = "a long, b long, shared long"
 
     def share(part: pa.Table) -> pa.Table:
-        codes, root = _shared_keys(part, gap)
-        return pa.table({"a": pa.array(codes, pa.int64()), "b": pa.array(root, pa.int64())})
+        return pa.table(dict(zip(("a", "b", "shared"), map(pa.array, _shared_keys(part, gap)), strict=True)))
+
+    @F.pandas_udf("long")
+    def fewest(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series(fewest_shared(a.to_numpy(), b.to_numpy(), percent))
 
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = _postings(docs, text_col, words, percent, rarity, parts).groupBy("part").applyInArrow(share, "a long, b long")
-    return connected_components(links.where("a != b")).select(F.col("node").alias("code"), F.col("component").alias("cluster"))
+    found = _postings(docs, text_col, words, percent, rarity, task_count(docs.sparkSession)).groupBy("part").applyInArrow(share, kind)
+    counted = found.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("shared").alias("least"))
+    links = counted.where((F.col("least") == 0) | (F.col("shared") >= fewest("a", "b"))).select("a", "b")
+    return connected_components(links).select(F.col("node").alias("code"), F.col("component").alias("cluster"))
 
 
 # --- 3. Signature trees ---
@@ -382,7 +426,9 @@ def _blocks(members: DataFrame, payload: str, block_sets: int) -> DataFrame:
     # Only clusters of several blocks are looked up; all others are one.
     rows = members.join(cut.where("blocks > 1"), "cluster", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    return rows.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "class", "n", payload)
+    rows = rows.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "class", "n", payload)
+    # Else the pairs of blocks of one cluster would stay in the task to which the join brought the cluster.
+    return rows.repartition(task_count(members.sparkSession), "cluster", "lo", "hi")
 
 
 def _sides(part: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray | None]:
@@ -413,7 +459,7 @@ def _gathered(docs: DataFrame, text_col: str, words: int, wanted: DataFrame) ->
     Sets are sifted by a mark of MARK_BITS bits before they are shuffled. It tells the others apart as long as the
     wanted sets are fewer than its bits; beyond that more sets travel to the join, which drops them.
     """
-    place = F.expr(f"pmod(shiftrightunsigned(code, 8), {MARK_BITS}L) + 1")
+    place = F.expr(f"pmod(shiftrightunsigned(code, {SIZE_BITS}), {MARK_BITS}L) + 1")
     marked = wanted.select(place.alias("h")).groupBy(F.expr("bitmap_bucket_number(h)").alias("bucket"))
     bits = np.zeros(MARK_BITS // 8, np.uint8)
     for r in marked.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(h))").alias("bits")).collect():
@@ -430,7 +476,7 @@ def _gathered(docs: DataFrame, text_col: str, words: int, wanted: DataFrame) ->
                 if not len(hashes):
                     continue
                 digest, code = _describe(hashes)
-                place = ((code & (1 << 64) - 1) >> 8) % MARK_BITS
+                place = ((code & (1 << 64) - 1) >> SIZE_BITS) % MARK_BITS
                 if not bits[place // 8] >> place % 8 & 1 or digest in sent:
                     continue
                 if len(sent) >= MEMO:

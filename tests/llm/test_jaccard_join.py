@@ -80,10 +80,14 @@ def test_least_overlap(a, b, common):
 def test_linked_sets_share_a_rare_shingle(seed):
     rng = np.random.default_rng(seed)
     rarity = rng.integers(0, 3, jaccard_tree.SKETCH).astype(np.uint8)
-    a = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 80))).astype(np.uint64))
+    a = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 400))).astype(np.uint64))
     b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(0, 2**63, int(rng.integers(0, 8))).astype(np.uint64)]))
     if len(b) and linked(a, b):
-        assert set(rarest(a, rarity).tolist()) & set(rarest(b, rarity).tolist())
+        codes = [np.array([jaccard_tree._describe(s)[1]]) for s in (a, b)]
+        least = int(jaccard_tree.fewest_shared(*codes, 75)[0])
+        assert len(set(rarest(a, rarity).tolist()) & set(rarest(b, rarity).tolist())) >= least >= 1
+        classes = [int(c[0]) & (1 << jaccard_tree.SIZE_BITS) - 1 for c in codes]
+        assert abs(classes[0] - classes[1]) <= jaccard_tree._size_gap(75)
 
 
 @settings(max_examples=40, deadline=None)
@@ -117,8 +121,9 @@ def test_traversal_prunes():
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("block_sets", [512, 4])
-def test_agrees_with_brute_force(spark, monkeypatch, seed, block_sets):
+@pytest.mark.parametrize(("block_sets", "paired_sets"), [(512, 16), (4, 16), (512, 1), (4, 3)])
+def test_agrees_with_brute_force(spark, monkeypatch, seed, block_sets, paired_sets):
+    monkeypatch.setattr(jaccard_tree, "PAIRED_SETS", paired_sets)
     monkeypatch.setattr(jaccard_tree, "BLOCK_SETS", block_sets)
     monkeypatch.setattr(jaccard_tree, "BLOCK_BITMAPS", 2 * block_sets)
     rows = corpus(seed, 150)

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievetally.llm.common import spread
+from sievetally.llm.common import task_count
 from sievetally.llm.components import connected_components
 from sievetally.llm.topk import usable
 from sievetally.session import cut_lineage
@@ -114,6 +114,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
         hit = links > 0
         return pd.DataFrame({"class": ids[hit], "links": links[hit], "root": ids[roots(len(part), i, j)[hit]]})
 
+    # Else all pairs of tiles of a label would stay in the task to which the join brought the label.
+    tiled = tiled.repartition(task_count(vectors.sparkSession), "label", "dim", "lo", "hi")
     found = tiled.groupBy("label", "dim", "lo", "hi").applyInPandas(product, "class long, links long, root long")
     found = cut_lineage(found, "tile_links")
     groups = connected_components(found.select(F.col("class").alias("a"), F.col("root").alias("b")))

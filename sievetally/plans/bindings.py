@@ -56,7 +56,7 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
                 WHEN c_custkey % 2 = 0 THEN LOWER(c_mktsegment) ELSE UPPER(c_mktsegment) END AS first_name""",
         "'van ' || LOWER(REPLACE(c_name, '#', '-')) AS last_name",
         """CASE WHEN c_custkey % 7 = 0 THEN c_mktsegment || '@company'
-                ELSE c_mktsegment || '.' || c_custkey DIV 5
+                ELSE c_mktsegment || '.' || (c_custkey % 900 + (c_custkey - 1) DIV 15000 * 900)
                   || IF(c_custkey % 2 = 0, '@company.com', '@COMPANY.COM') END AS email""",
         "DATE_ADD(DATE'2014-01-01', CAST(c_custkey * 13 % 4380 AS INT)) AS hire_date",
         f"{entry(JOB_TITLES)} AS job_title",

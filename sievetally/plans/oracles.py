@@ -72,7 +72,7 @@ EMP = f"""emp AS (
               WHEN c_custkey % 2 = 0 THEN lower(c_mktsegment) ELSE upper(c_mktsegment) END AS first_name,
          'van ' || lower(replace(c_name, '#', '-')) AS last_name,
          CASE WHEN c_custkey % 7 = 0 THEN c_mktsegment || '@company'
-              ELSE c_mktsegment || '.' || CAST(c_custkey // 5 AS VARCHAR)
+              ELSE c_mktsegment || '.' || CAST(c_custkey % 900 + (c_custkey - 1) // 15000 * 900 AS VARCHAR)
                 || CASE WHEN c_custkey % 2 = 0 THEN '@company.com' ELSE '@COMPANY.COM' END END AS email,
          CAST(DATE '2014-01-01' + CAST(c_custkey * 13 % 4380 AS INT) AS DATE) AS hire_date,
          {_entry(JOB_TITLES)} AS job_title,

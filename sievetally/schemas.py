@@ -19,6 +19,7 @@ def _struct(**columns) -> StructType:
     return StructType([StructField(name, dtype, True) for name, dtype in columns.items()])
 
 
+# Names and types of the tables are given by their owners.
 # One employee as delivered: salary stays text until it is cleaned, zip codes keep leading zeros.
 EMPLOYEE = _struct(
     employee_id=IntegerType(),
@@ -97,6 +98,7 @@ RUN_LOG = _struct(
     committed_at=TimestampType(),
 )
 
+# The columns that an employee must have.
 REQUIRED_EMPLOYEE = ["employee_id", "first_name", "last_name", "email", "hire_date"]
 
 # Which of several rows with one key survives. Remaining columns are appended by the dedupe

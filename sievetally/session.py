@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import math
 import re
 import tempfile
@@ -21,6 +22,7 @@ SHUFFLE_BYTES = 256 * MB
 MAX_SHUFFLE_PARTITIONS = 32768
 MAX_SCAN_TASKS = 100_000
 MAX_SCAN_BYTES = 1024 * MB
+_scratch_roots: dict[str, str] = {}
 SIZED = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
 # Spark reports about this size for a source it knows nothing about.
 UNKNOWN_SIZE = 2**62
@@ -99,19 +101,40 @@ def sized_for(spark: SparkSession, *inputs: DataFrame, **bounds: int) -> Iterato
             spark.conf.set(key, value)
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder that every executor can see.
+def scratch_root(spark: SparkSession) -> str:
+    """The application's own folder in the place that every executor can see; removed when the driver ends.
 
     Clusters name the shared place in spark.checkpoint.dir. Only a local session, where driver
     and executors are one process, may fall back to a temporary folder of its own.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="run-")
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    if application not in _scratch_roots:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            master = spark.sparkContext.master
+            if master != "local" and not master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            shared = tempfile.mkdtemp(prefix="run-")
+        _scratch_roots[application] = f"{shared.rstrip('/')}/scratch-{application}"
+        atexit.register(_delete, spark, _scratch_roots[application])
+    return _scratch_roots[application]
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove all scratch folders of the application; what was read from them can't be read any more."""
+    root = _scratch_roots.pop(spark.sparkContext.applicationId, None)
+    if root:
+        _delete(spark, root)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new folder below scratch_root."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
@@ -135,5 +158,4 @@ def scratch_table(df: DataFrame, label: str = "cut") -> Iterator[DataFrame]:
         df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(spark, path)

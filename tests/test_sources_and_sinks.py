@@ -616,15 +616,27 @@ def test_byte_counts():
 def fake_session(master, settings):
     class Fake:
         conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: settings.get(key, default))})
-        sparkContext = type("Context", (), {"master": master})
+        sparkContext = type("Context", (), {"master": master, "applicationId": f"app-{len(settings)}"})
 
     return Fake()
 
 
-def test_scratch_uses_the_shared_folder():
+def test_scratch_uses_the_shared_folder(monkeypatch):
+    monkeypatch.setattr(session, "_scratch_roots", {})
+    monkeypatch.setattr(session.atexit, "register", lambda *_: None)
     shared = fake_session("yarn", {"spark.checkpoint.dir": "hdfs://nn/shared/"})
     first, second = (session.scratch_dir(shared, "x") for _ in range(2))
-    assert first.startswith("hdfs://nn/shared/x-") and first != second
+    assert first.startswith("hdfs://nn/shared/scratch-app-1/x-") and first != second
+
+
+def test_scratch_is_removed_with_the_application(spark, monkeypatch):
+    monkeypatch.setattr(session, "_scratch_roots", {})
+    monkeypatch.setattr(session.atexit, "register", lambda *_: None)
+    session.cut_lineage(spark.range(3), "x")
+    folder = Path(session.scratch_root(spark))
+    assert folder.exists()
+    session.remove_scratch(spark)
+    assert not folder.exists() and session.scratch_root(spark) != str(folder)
 
 
 def test_scratch_refuses_a_local_folder_on_a_cluster():

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import posixpath
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -14,6 +15,9 @@ from sievetally.session import pin_settings, size_partitions
 
 BATCH_ROWS = 500
 BATCH_BYTES = 16 * 1024 * 1024
+# Of a very long text, words are held for so many characters at a time.
+SLICE_CHARS = 1 << 20
+BLANKS = " \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +52,18 @@ def sample_of(rows: DataFrame, id_col: str, size: int) -> DataFrame:
     return rows.groupBy(id_col).agg(F.min(F.struct(*others)).alias("least")).select(id_col, *(f"least.{c}" for c in others))
 
 
+def slices(text: str, size: int = SLICE_CHARS) -> Iterator[str]:
+    """A text in parts of at most `size` characters, cut at blanks, so that no word is in two parts; a longer word is one part."""
+    start = 0
+    while len(text) - start > size:
+        stop = max(text.rfind(c, start + 1, start + size) for c in BLANKS)
+        if stop < 0:
+            stop = min((at for c in BLANKS if (at := text.find(c, start + size)) >= 0), default=len(text))
+        yield text[start:stop]
+        start = stop
+    yield text[start:]
+
+
 def spread(key: Column, groups: int) -> Column:
     """A group number from 0 that depends on key alone."""
     return F.pmod(F.xxhash64(key), F.lit(groups)).cast("int")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievetally.llm.common import task_count
+from sievetally.llm.common import slices, task_count
 from sievetally.llm.components import connected_components
 from sievetally.llm.near_vectors import roots
 from sievetally.session import cut_lineage
@@ -72,14 +72,17 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
 
     Words are what is between blanks (U+0020, U+0009 to U+000D), with A-Z in lower case.
     """
-    parts = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if not parts:
-        return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64, len(parts))
-    size = min(words, len(parts))
-    state = np.full(len(parts) - size + 1, size, np.uint64)
+    found = []
+    for part in slices(text or ""):
+        own = part.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+        found.append(np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, len(own)))
+    hashes = np.concatenate(found)
+    if not len(hashes):
+        return hashes
+    size = min(words, len(hashes))
+    state = np.full(len(hashes) - size + 1, size, np.uint64)
     for i in range(size):
-        state = _mix(state, hashes[i : len(parts) - size + 1 + i])
+        state = _mix(state, hashes[i : len(hashes) - size + 1 + i])
     return np.unique(state ^ (state >> np.uint64(32)))
 
 

@@ -49,7 +49,7 @@ def tokenize(docs: DataFrame, tokenizer_json: str, pattern: str, id_col: str = "
         for batch in batches:
             rows, places = [], []
             for place, text in enumerate(batch.column(1).to_pylist()):
-                ids = np.array(encode(text or "") + [end_id], "<u4").tobytes()
+                ids = np.append(encode(text or ""), end_id).astype("<u4").tobytes()
                 start = 0
                 for piece, length in enumerate(piece_lengths(len(ids) // 4, capacity)):
                     own = ids[4 * start : 4 * (start + length)]

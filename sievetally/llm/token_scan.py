@@ -49,7 +49,7 @@ def write_token_files(docs: DataFrame, tokens: list[bytes], pattern: str, separa
                 continue
             out = out or open_new(uri)
             for text in batch.column(1).to_pylist():
-                out.write(np.array([*encoder.encode_ordinary(text or ""), separator], f"<u{item_bytes}").tobytes())
+                out.write(np.append(encoder.encode_to_numpy(text or "", disallowed_special=()), separator).astype(f"<u{item_bytes}").tobytes())
             ordinals = np.arange(ordinal, ordinal + batch.num_rows)
             ordinal += batch.num_rows
             yield pa.RecordBatch.from_arrays([pa.array([uri] * batch.num_rows, pa.string()), pa.array(ordinals), batch.column(0)], names=schema.names)

@@ -14,7 +14,6 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -193,16 +192,17 @@ def top_k(vectors: DataFrame, queries: str, k: int = 5, id_col: str = "vec_id",
     n_blocks, n_groups = max(1, -(-n // block_rows)), max(1, -(-n_queries // query_rows))
     kind = "vec_ids array<long>, row_ids array<long>, vecs binary, width int"
 
-    def packed(part: pd.DataFrame) -> dict:
-        values = matrix(quantise(part["vec"].tolist(), scale))
-        ids = [None if pd.isna(x) else int(x) for x in part["vec_id"]]
-        return {"vec_ids": [ids], "row_ids": [part["row"].tolist()], "vecs": [values.tobytes()], "width": [values.shape[1]]}
+    def packed(part: pa.Table) -> pa.Table:
+        part = part.sort_by("row")
+        values = matrix(quantise(part.column("vec").to_pylist(), scale))
+        ids = [pa.array([part.column(c).to_pylist()], pa.list_(pa.int64())) for c in ("vec_id", "row")]
+        number = part.column("number")[0].as_py()
+        return pa.table([pa.array([number], pa.int32()), *ids, pa.array([values.tobytes()]), pa.array([values.shape[1]], pa.int32())], names=["number", "vec_ids", "row_ids", "vecs", "width"])
 
-    def block_of(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"number": [key[0]], **packed(part)})
+    def grouped(part: DataFrame, n: int) -> DataFrame:
+        return part.withColumn("number", spread(F.col("row"), n)).groupBy("number").applyInArrow(packed, f"number int, {kind}")
 
-    blocks = rows.groupBy(spread(F.col("row"), n_blocks).alias("block")).applyInPandas(block_of, f"number int, {kind}")
-    groups = rows.where("query").groupBy(spread(F.col("row"), n_groups).alias("grp")).applyInPandas(block_of, f"number int, {kind}")
+    blocks, groups = grouped(rows, n_blocks), grouped(rows.where("query"), n_groups)
     blocks = blocks.withColumnRenamed("number", "block").withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
     groups = groups.selectExpr("number AS grp", "vec_ids AS q_vec_ids", "row_ids AS q_row_ids", "vecs AS q_vecs", "width AS q_width")
     groups = groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))

@@ -7,6 +7,7 @@ import json
 import re
 from collections.abc import Callable
 
+import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -32,8 +33,8 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def json_encoder(text: str, pattern: str) -> Callable[[str], list[int]]:
-    """Encoder of a byte-level BPE tokenizer given as JSON text, without added special tokens.
+def json_encoder(text: str, pattern: str) -> Callable[[str], np.ndarray]:
+    """Encoder, to an array of ids, of a byte-level BPE tokenizer given as JSON text, without added special tokens.
 
     Same ids as tokenizers gives. Texts run through tiktoken, about four times as fast, whenever
     the merges are ordered as the ids, and through tokenizers otherwise or for very long runs.
@@ -45,16 +46,16 @@ def json_encoder(text: str, pattern: str) -> Callable[[str], list[int]]:
     ranks = {bytes(alphabet[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in added}
     merged = [ranks[bytes(alphabet[c] for c in "".join(m if isinstance(m, list) else m.split(" ")))] for m in spec["model"]["merges"]]
 
-    def slow(x: str) -> list[int]:
-        return plain.encode(x, add_special_tokens=False).ids
+    def slow(x: str) -> np.ndarray:
+        return np.array(plain.encode(x, add_special_tokens=False).ids, np.uint32)
 
     if merged != sorted(merged) or len(ranks) != 256 + len(merged):
         return slow
     fast = tiktoken.Encoding("json", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
 
-    def encode(x: str) -> list[int]:
+    def encode(x: str) -> np.ndarray:
         if len(x) >= LONG_RUN and _long_run.search(x):
             return slow(x)
-        return fast.encode(x, allowed_special="all")
+        return fast.encode_to_numpy(x, allowed_special="all")
 
     return encode

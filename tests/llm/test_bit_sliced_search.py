@@ -66,6 +66,12 @@ def test_ties_nulls_and_repeated_rows(spark):
     assert found(spark, rows, k=50) == brute(rows, 50)
 
 
+def test_large_ids_stay_exact(spark):
+    big = 2**60 + 50 - 2**60 % 50
+    rows = [(big, [1.0]), (big + 1, [1.0]), (None, [1.0]), (big + 3, [0.5])]
+    assert found(spark, rows) == brute(rows, 5)
+
+
 def test_few_rows_and_none(spark):
     assert found(spark, [(0, [1.0])]) == []
     assert found(spark, [(0, [1.0]), (1, [2.0])]) == [(0, 1, 1, 256 * 512)]

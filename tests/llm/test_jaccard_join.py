@@ -3,7 +3,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sievetally.llm import jaccard_tree
+from sievetally.llm import common, jaccard_tree
 from sievetally.llm.jaccard_tree import folded, join_block, keep_one, least_overlap, linked, rarest, shingles, signature, tree_pairs
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -68,6 +68,15 @@ def test_sets_have_the_plain_size(text):
     assert len(shingles(text)) == len(plain_set(text))
 
 
+def test_long_texts_in_slices(monkeypatch):
+    text = " ".join(f"w{i % 97}  \n" for i in range(500))
+    whole = shingles(text)
+    monkeypatch.setattr(jaccard_tree, "slices", lambda t: common.slices(t, 50))
+    assert (shingles(text) == whole).all() and len(whole) == len(plain_set(text))
+    for text in ("a\nb\n" * 100, "x" * 500 + "\t" + "y" * 500 + "\r z", "x" * 100, ""):
+        assert "".join(common.slices(text, 50)) == text and len(shingles(text)) == len(plain_set(text))
+
+
 @given(st.integers(1, 300), st.integers(1, 300), st.integers(0, 300))
 def test_least_overlap(a, b, common):
     common = min(a, b, common)

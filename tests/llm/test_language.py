@@ -1,6 +1,8 @@
 import numpy as np
+import pytest
 
-from sievetally.llm.langid import CHUNK, code_points, fit, identify, ngrams, train
+from sievetally.llm.common import SLICE_CHARS, slices
+from sievetally.llm.langid import code_points, fit, identify, ngrams, train
 from sievetally.llm.queries import op6_langid
 
 TEXTS = [("the cat and the dog with those things", "en"), ("der hund und die katze mit einer maus", "de"), ("le chien et la souris dans une maison", "fr")] * 40
@@ -21,11 +23,12 @@ def test_learns_and_rejects():
 
 def test_long_texts_are_read_whole():
     m = model()
-    text = "the cat and the dog " * (CHUNK // 10)
-    assert m.score(text)[0] == "en"
+    text = "the cat and the dog " * (SLICE_CHARS // 10)
+    assert "".join(slices(text)) == text and all(len(s) <= SLICE_CHARS for s in slices(text))
+    assert m.score(text)[0] == "en" and m.score(text)[1] == pytest.approx(m.score("the cat and the dog " * 100)[1], abs=0.02)
     # Both halves count: the second language is four times as long.
     assert m.score("the cat and the dog " * 100 + "der hund und die katze " * 400)[0] == "de"
-    assert m.score("the " + "x" * (3 * CHUNK))[1] > 0
+    assert m.score("the " + "x" * (3 * SLICE_CHARS))[1] > 0
 
 
 def test_ngrams_stay_within_words():

@@ -7,6 +7,7 @@ the little-endian unsigned 32-bit integers of flat token files.
 from __future__ import annotations
 
 import heapq
+import itertools
 import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -18,8 +19,10 @@ import xxhash
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-# Pre-tokens whose ids a task remembers; beyond it starts anew.
-MEMO = 600_000
+# Pre-tokens whose ids a worker remembers; beyond it starts anew, and keeps as many older ones at hand.
+MEMO = 350_000
+# Of longer texts, not all pre-tokens are held at a time.
+LONG_TEXT = 1 << 22
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _TRIES = 256
@@ -112,14 +115,15 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[int
 
 
 class Encoder:
-    """Encodes texts in one task. Memory: the vocabulary, MEMO pre-tokens and one text."""
+    """Encodes texts in one worker. Memory: the vocabulary, twice MEMO pre-tokens, one text and its ids."""
 
     def __init__(self, tokens: list[bytes], hash_: PerfectHash, order: np.ndarray, pattern: str):
         self.tokens, self.hash, self.order = tokens, hash_, order
-        self.find = regex.compile(pattern).findall
+        self.pattern = regex.compile(pattern)
         self.ranks = {t: r for r, t in enumerate(tokens) if t}
         self.longest = max(map(len, tokens))
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _learn(self, pieces: list[str]) -> None:
         keys = [p.encode("utf-8", "surrogatepass") for p in pieces]
@@ -128,14 +132,31 @@ class Encoder:
             ids = [rank] if self.tokens[rank] == key else merge_bytes(key, self.ranks, self.longest)
             self.memo[piece] = struct.pack(f"<{len(ids)}I", *ids)
 
-    def encode(self, text: str) -> bytes:
-        pieces = self.find(text)
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        new = [p for p in set(pieces) if p not in self.memo]
+    def _ids(self, pieces: list[str]) -> bytes:
+        memo, older = self.memo, self.older
+        if len(memo) > MEMO:
+            self.memo, self.older = memo, older = {}, memo
+        new = [p for p in set(pieces) if p not in memo]
         if new:
-            self._learn(new)
-        return b"".join(map(self.memo.__getitem__, pieces))
+            memo.update((p, older[p]) for p in new if p in older)
+            self._learn([p for p in new if p not in memo])
+        return b"".join(map(memo.__getitem__, pieces))
+
+    def encode(self, text: str) -> bytes:
+        if len(text) <= LONG_TEXT:
+            return self._ids(self.pattern.findall(text))
+        found = (m.group() for m in self.pattern.finditer(text))
+        return b"".join(iter(lambda: self._ids(list(itertools.islice(found, LONG_TEXT // 8))), b""))
+
+
+_encoders: list[Encoder] = []
+
+
+def encoder_of(vocabulary: tuple) -> Encoder:
+    """The worker's encoder for a vocabulary; the tasks that it runs one after the other share what it remembers."""
+    if not _encoders or _encoders[0].tokens is not vocabulary[0]:
+        _encoders[:] = [Encoder(*vocabulary)]
+    return _encoders[0]
 
 
 class BytePairs:
@@ -162,7 +183,7 @@ class BytePairs:
 
         @F.pandas_udf("binary")
         def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            encoder = Encoder(*vocabulary.value)
+            encoder = encoder_of(vocabulary.value)
             for texts in batches:
                 yield pd.Series([encoder.encode(t) if t else b"" for t in texts], dtype=object)
 

@@ -36,6 +36,12 @@ def test_merges_need_no_more_than_a_heap():
     assert merge_bytes(piece, RANKS, max(map(len, TOKENS))) == KNOWN.encode_ordinary(piece.decode())
 
 
+def test_long_texts_in_parts(encoder, monkeypatch):
+    monkeypatch.setattr("sievetally.llm.bpe.LONG_TEXT", 16)
+    text = "eins zwei  drei\n\nvier fünf " * 20
+    assert encoder.encode(text) == np.array(KNOWN.encode_ordinary(text), "<u4").tobytes()
+
+
 def test_memory_of_pre_tokens_starts_anew(encoder, monkeypatch):
     monkeypatch.setattr("sievetally.llm.bpe.MEMO", 3)
     text = "eins zwei drei vier fünf sechs eins zwei"

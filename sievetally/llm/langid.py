@@ -17,17 +17,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievetally.llm.common import sample_of, slices
+
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
 DIMENSIONS = 16
 ORDERS = (1, 2, 3, 4)
-# Labelled rows to learn from at most, and characters of each of them.
-TRAIN_ROWS = 6000
-TRAIN_CHARS = 4000
+# Labelled rows to learn from, about, where there are more, and characters of each of them.
+TRAIN_ROWS = 4000
+TRAIN_CHARS = 2500
 # Share of the correctly labelled calibration rows that the rejection may lose.
 REJECTED_SHARE = 0.0005
-# Characters of a text that are held as n-grams at a time.
-CHUNK = 1 << 18
 _GOLD = 0x9E3779B97F4A7C15
 
 
@@ -81,24 +81,13 @@ class LanguageModel:
     accuracy: float = field(default=float("nan"))
 
     def logits(self, text: str) -> np.ndarray | None:
-        """None for a text without a letter. Long texts are summed in chunks of whole words' n-grams."""
-        points = code_points(text)
-        if not len(points):
-            return None
-        total, n, start = np.zeros(len(self.languages)), 0, 0
-        while start < len(points):
-            # A chunk ends at a word's edge, unless a single word is longer than a chunk; its n-grams then go on from the last edge seen.
-            stop = min(len(points), start + CHUNK)
-            if stop < len(points):
-                edges = np.flatnonzero(points[start:stop] == 0)
-                stop = start + int(edges[-1]) + 1 if len(edges) > 1 else stop
-            grams = ngrams(points[start:stop], len(self.table))
+        """None for a text without a letter. No n-gram reaches over a word's edge, so long texts are summed in slices."""
+        total, n = np.zeros(len(self.languages)), 0
+        for part in slices(text):
+            grams = ngrams(code_points(part), len(self.table))
             total += self.table[grams].sum(axis=0)
             n += len(grams)
-            if stop >= len(points):
-                break
-            start = stop - 1
-        return total / max(n, 1) + self.bias
+        return total / n + self.bias if n else None
 
     def score(self, text: str | None) -> tuple[str, float]:
         """(language, calibrated probability); (und, 0) for a null text and one without a letter."""
@@ -122,7 +111,8 @@ def train(texts: list[str], labels: list[str], epochs: int = 3, rate: float = 20
     grams, kept = [], []
     for text, label in zip(texts, labels, strict=True):
         if text and len(g := ngrams(code_points(text), BUCKETS)):
-            grams.append(np.unique(g, return_counts=True))
+            found, counts = np.unique(g, return_counts=True)
+            grams.append((found.astype(np.int32), (counts / counts.sum()).astype(np.float32)))
             kept.append(label)
     languages = sorted(set(kept))
     if not languages:
@@ -140,7 +130,7 @@ def train(texts: list[str], labels: list[str], epochs: int = 3, rate: float = 20
             now = rate * (1 - step / steps)
             step += 1
             ids = np.concatenate([grams[i][0] for i in part])
-            weights = np.concatenate([grams[i][1] / grams[i][1].sum() for i in part])
+            weights = np.concatenate([grams[i][1] for i in part])
             doc = np.repeat(np.arange(len(part)), [len(grams[i][0]) for i in part])
             starts = np.flatnonzero(np.diff(doc, prepend=-1))
             hidden = np.add.reduceat(table[ids] * weights[:, None], starts)
@@ -159,7 +149,7 @@ def train(texts: list[str], labels: list[str], epochs: int = 3, rate: float = 20
 
 def _calibrate(model: LanguageModel, grams: list, y: np.ndarray, rejected_share: float) -> None:
     """The temperature of least cross-entropy on held-out rows; a score that all but a small share of their right answers reach."""
-    logits = np.array([(model.table[g] * (c / c.sum())[:, None]).sum(axis=0) for g, c in grams]) + model.bias
+    logits = np.array([(model.table[g] * w[:, None]).sum(axis=0) for g, w in grams]) + model.bias
     loss = {t: -np.log(np.maximum(_softmax(logits / t)[np.arange(len(y)), y], 1e-12)).mean() for t in np.geomspace(0.05, 20, 121)}
     model.temperature = float(min(loss, key=loss.get))
     p = _softmax(logits / model.temperature)
@@ -170,14 +160,14 @@ def _calibrate(model: LanguageModel, grams: list, y: np.ndarray, rejected_share:
 
 
 def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", train_rows: int = TRAIN_ROWS, train_chars: int = TRAIN_CHARS) -> LanguageModel:
-    """A model of rows with text and label, from the train_rows of them that come first by a hash of the id.
+    """A model of rows with text and label, from about train_rows of them chosen by a hash of the id.
 
-    The driver holds at most train_rows texts of train_chars characters.
+    The driver holds that many texts of train_chars characters.
     """
     known = rows.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull())
-    known = known.select(F.xxhash64(F.col(id_col)).alias("h"), F.substring(F.col(text_col), 1, train_chars).alias("t"), F.col(label_col).alias("y"))
-    sample = known.orderBy("h", "t", "y").limit(train_rows).collect()
-    return train([r["t"] for r in sample], [r["y"] for r in sample])
+    known = known.select(F.col(id_col).alias("id"), F.substring(F.col(text_col), 1, train_chars).alias("t"), F.col(label_col).alias("y"))
+    sample = sorted((r["t"], r["y"]) for r in sample_of(known, "id", train_rows).collect())
+    return train([t for t, _ in sample], [y for _, y in sample])
 
 
 def language(model: LanguageModel, df: DataFrame, text: Column) -> Column:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievetally.llm.common import sample_of
+from sievetally.llm.common import sample_of, slices
 
 BUCKETS = 1 << 20
 # Lengths of word beginnings that are features beside the whole word.
@@ -65,7 +65,7 @@ def features_of(words: set[str]) -> np.ndarray:
 
 def words_of(text: str | None) -> set[str]:
     """Distinct lower-case words; none for a null text."""
-    return set(_words((text or "").lower()))
+    return set().union(*(_words(part.lower()) for part in slices(text or "")))
 
 
 def swapped(words: set[str], groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> set[str] | None:
@@ -124,10 +124,11 @@ class _Rows:
 
 def telling_features(features: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """Buckets in at least LEAST_TEXTS texts whose share of label 1 is LEAST_DEVIATIONS standard deviations from that of all texts."""
-    own = [np.unique(f) for f in features]
-    columns = np.concatenate([np.zeros(0, np.int64), *own]).astype(np.int64)
-    texts = np.bincount(columns, minlength=BUCKETS)
-    ones = np.bincount(columns, np.repeat(y, [len(f) for f in own]), BUCKETS)
+    texts, ones = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for feature, label in zip(features, y, strict=True):
+        own = np.unique(feature)
+        texts[own] += 1
+        ones[own] += label
     share = y.mean()
     away = np.abs(ones - texts * share) / np.sqrt(np.maximum(texts, 1) * share * (1 - share))
     return np.flatnonzero((texts >= LEAST_TEXTS) & (away >= LEAST_DEVIATIONS))

@@ -74,6 +74,11 @@ def task_count(spark: SparkSession) -> int:
     return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def release_memory() -> None:
+    """At the end of a task: give Arrow's unused memory back, as workers stay and executors count theirs too."""
+    pa.default_memory_pool().release_unused()
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """path with the scheme that Spark would give it, so that executors and Spark mean the same place."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

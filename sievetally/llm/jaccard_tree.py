@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievetally.llm.common import slices, task_count
+from sievetally.llm.common import release_memory, slices, task_count
 from sievetally.llm.components import connected_components
 from sievetally.llm.near_vectors import roots
 from sievetally.session import cut_lineage
@@ -44,9 +44,9 @@ SKETCH_FAN = 256
 MEMO = 500_000
 MARK_BITS = 1 << 23
 # Postings that a task gathers before it sends them.
-FLUSH = 1 << 20
+FLUSH = 1 << 18
 # Bitmaps, and sets, of one block of a large cluster; for either, shingles at most.
-BLOCK_BITMAPS = 2048
+BLOCK_BITMAPS = 1024
 BLOCK_SETS = 512
 BLOCK_SHINGLES = 1 << 21
 FAN_OUT = 8
@@ -168,6 +168,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
             packed = [np.minimum(p, 2**16 - 1).astype("<u2").tobytes() for p in parts]
             none = [pa.nulls(len(parts), t) for t in (kind, pa.int64(), pa.binary(), pa.int64(), pa.binary())]
             yield pa.RecordBatch.from_arrays([*none, pa.array(range(len(parts)), pa.int32()), pa.array(packed, pa.binary())], names=schema.names)
+        release_memory()
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(describe, schema)
 
@@ -237,6 +238,8 @@ def _postings(docs: DataFrame, text_col: str, words: int, percent: int, rarity,
                     keys, codes, waiting = [], [], 0
         if waiting:
             yield flush()
+        keys.clear()
+        release_memory()
 
     return docs.select(F.col(text_col)).mapInArrow(emit, "part int, keys binary, codes binary")
 
@@ -489,6 +492,7 @@ def _gathered(docs: DataFrame, text_col: str, words: int, wanted: DataFrame) ->
             columns = list(zip(*rows, strict=True)) or [()] * 3
             types = [pa.binary(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["digest", "n", "hashes"])
+        release_memory()
 
     sets = docs.select(F.col(text_col)).mapInArrow(sift, "digest binary, n long, hashes binary")
     return sets.join(wanted.select("digest", "class", "cluster"), "digest").dropDuplicates(["digest"]).select("cluster", "class", "n", "hashes")

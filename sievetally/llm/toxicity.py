@@ -32,7 +32,7 @@ TRAIN_ROWS = 8000
 LEAST_TEXTS = 4
 LEAST_DEVIATIONS = 3.5
 PENALTY = 1.0
-MEMO = 200_000
+MEMO = 100_000
 
 # Words that name groups of people. A term is swapped for another of its own row.
 IDENTITY_TERMS = (

@@ -54,3 +54,11 @@ def test_held_out_accuracy(spark):
     rows = op6_langid(spark, sf_dir).where("held_out").join(docs, "doc_id").select("lang", "lang_pred", "rejected").collect()
     assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.98
     assert np.mean([r["rejected"] for r in rows]) < 0.01
+
+
+def test_learns_from_whole_documents(spark):
+    own = {"en": "the cat and the dog with those things ", "de": "der hund und die katze mit einer maus "}
+    docs = [(i, "lorem ipsum dolor sit amet " * 200 + own[y] * 150, y) for i, y in enumerate(["en", "de"] * 400)]
+    m = fit(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    assert {m.score(text)[0] for text in [own["en"] * 5, docs[0][1]]} == {"en"}
+    assert {m.score(text)[0] for text in [own["de"] * 5, docs[1][1]]} == {"de"}

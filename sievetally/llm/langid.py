@@ -16,8 +16,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from sievetally.llm.common import sample_of, slices
+from sievetally.llm.common import slices
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
@@ -25,6 +26,8 @@ DIMENSIONS = 16
 ORDERS = (1, 2, 3, 4)
 # Labelled rows to learn from, about, where there are more; whole texts.
 TRAIN_ROWS = 6000
+# Rows of each language, about, where its part of those is less; all where it has fewer.
+LANGUAGE_ROWS = 200
 # Share of the correctly labelled calibration rows that the rejection may lose.
 REJECTED_SHARE = 0.0005
 _GOLD = 0x9E3779B97F4A7C15
@@ -117,7 +120,7 @@ def train(texts: list[str], labels: list[str], **options) -> LanguageModel:
     return train_features([x for x, _ in rows], [y for _, y in rows], **options)
 
 
-def train_features(grams: list[tuple[np.ndarray, np.ndarray]], kept: list[str], epochs: int = 3, rate: float = 20.0, batch: int = 32, seed: int = 0, rejected_share: float = REJECTED_SHARE) -> LanguageModel:
+def train_features(grams: list[tuple[np.ndarray, np.ndarray]], kept: list[str], epochs: int = 3, rate: float = 20.0, batch: int = 32, seed: int = 0, rejected_share: float = REJECTED_SHARE, language_rows: int = LANGUAGE_ROWS) -> LanguageModel:
     """Fits the model on three quarters of the rows, features with their label, and calibrates temperature and rejection on the rest.
 
     With no row, the model knows no language and calls all texts und.
@@ -128,8 +131,15 @@ def train_features(grams: list[tuple[np.ndarray, np.ndarray]], kept: list[str],
     y = np.array([languages.index(x) for x in kept])
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(y))
-    held = order[: len(y) // 4]
-    own = order[len(y) // 4 :]
+    # One row of each language, the last in this order, is always learned from.
+    sure = np.isin(order, [order[np.flatnonzero(y[order] == k)[-1]] for k in range(len(languages))])
+    first = np.arange(len(y)) < len(y) // 4
+    held = order[first & ~sure]
+    own = order[~first | sure]
+    # Rows of a rare language are repeated, or the others would outweigh them.
+    counts = np.bincount(y[own], minlength=len(languages))
+    least = min(language_rows, counts.max())
+    own = np.concatenate([own, *(np.resize(own[y[own] == k], least - n) for k, n in enumerate(counts) if n < least)])
     table = rng.normal(0, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS))
     layer, bias = np.zeros((DIMENSIONS, len(languages))), np.zeros(len(languages))
     steps, step = epochs * -(-len(own) // batch), 0
@@ -167,10 +177,24 @@ def _calibrate(model: LanguageModel, grams: list, y: np.ndarray, rejected_share:
     model.least_score = float(min(0.5, np.quantile(p.max(axis=1)[right], rejected_share))) if right.any() else 0.0
 
 
-def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", train_rows: int = TRAIN_ROWS) -> LanguageModel:
-    """A model of rows with text and label, from about train_rows of them chosen by a hash of the id; whole texts.
+def with_chosen(known: DataFrame, train_rows: int, language_rows: int) -> DataFrame:
+    """known (id, y and others) with `chosen`: whether to learn from the row, by a hash of its id.
+
+    Every language has its part of train_rows, or about language_rows where that is more, or all its rows where it has fewer.
+    The driver holds one number for each language.
+    """
+    counts = known.groupBy("y").agg(F.approx_count_distinct("id", 0.01)).collect()
+    total = sum(n for _, n in counts)
+    below = [(y, int((1 << 30) * min(1.0, max(language_rows, train_rows * n / total) / max(n, 1)))) for y, n in counts]
+    limits = known.sparkSession.createDataFrame(below, StructType([known.schema["y"], StructField("below", LongType())]))
+    return known.join(F.broadcast(limits), "y").withColumn("chosen", F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.col("below")).drop("below")
+
+
+def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", train_rows: int = TRAIN_ROWS, language_rows: int = LANGUAGE_ROWS) -> LanguageModel:
+    """A model of rows with text and label, from about train_rows of them, but language_rows of each language, chosen by a hash of the id; whole texts.
 
     Tasks send the n-gram shares of those to the driver, not the texts: at most 6 bytes for each of BUCKETS a row.
+    Of repeated ids the least beginning, label and shares count.
     """
 
     @F.pandas_udf("found binary, shares binary")
@@ -180,12 +204,14 @@ def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
             yield pd.DataFrame([[None if a is None else a.tobytes() for a in row] for row in rows], columns=["found", "shares"])
 
     known = rows.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull())
+    known = known.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.col(label_col).alias("y"))
+    known = with_chosen(known, train_rows, language_rows)
     # Beginnings only put the rows in a fixed order for the driver, that of their texts.
-    known = known.select(F.col(id_col).alias("id"), F.substring(text_col, 1, 64).alias("begins"), F.col(label_col).alias("y"), grams(F.col(text_col)).alias("x"))
-    sample = sample_of(known, "id", train_rows).where("x.found IS NOT NULL").select("begins", "y", "x.found", "x.shares").collect()
+    sample = known.where("chosen").select("id", F.struct(F.substring("t", 1, 64).alias("begins"), "y", grams("t").alias("x")).alias("row"))
+    sample = sample.groupBy("id").agg(F.min("row").alias("row")).where("row.x.found IS NOT NULL").select("row.begins", "row.y", "row.x.found", "row.x.shares").collect()
     sample.sort(key=lambda r: (r["begins"], r["y"], bytes(r["found"]), bytes(r["shares"])))
     own = [(np.frombuffer(r["found"], np.uint16), np.frombuffer(r["shares"], np.float32)) for r in sample]
-    return train_features(own, [r["y"] for r in sample])
+    return train_features(own, [r["y"] for r in sample], language_rows=language_rows)
 
 
 def language(model: LanguageModel, df: DataFrame, text: Column) -> Column:

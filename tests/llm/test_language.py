@@ -62,3 +62,11 @@ def test_learns_from_whole_documents(spark):
     m = fit(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
     assert {m.score(text)[0] for text in [own["en"] * 5, docs[0][1]]} == {"en"}
     assert {m.score(text)[0] for text in [own["de"] * 5, docs[1][1]]} == {"de"}
+
+
+def test_learns_rare_languages(spark):
+    docs = [(i, f"{t} {i}", y) for i, (t, y) in enumerate([*TEXTS[:2]] * 10_000 + [TEXTS[2]] * 20)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(4)
+    m = fit(df, train_rows=2000)
+    assert m.languages == ["de", "en", "fr"]
+    assert [m.score(t)[0] for t, _ in TEXTS[:3]] == ["en", "de", "fr"]

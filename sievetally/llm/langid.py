@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -30,6 +30,8 @@ TRAIN_ROWS = 6000
 LANGUAGE_ROWS = 200
 # Share of the correctly labelled calibration rows that the rejection may lose.
 REJECTED_SHARE = 0.0005
+# No score from here on is rejected: an answer likelier than all others together stays.
+MOST_REJECTED = 0.5
 _GOLD = 0x9E3779B97F4A7C15
 
 
@@ -82,7 +84,10 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
 
 @dataclass
 class LanguageModel:
-    """languages, the product of both layers by bucket, the bias, the temperature and the score below which a text is rejected."""
+    """languages, the product of both layers by bucket, the bias, the temperature and the score below which a text is rejected.
+
+    accuracy and right_scores, the scores of right answers, are of the held-out rows of the sample.
+    """
 
     languages: list[str]
     table: np.ndarray
@@ -90,6 +95,7 @@ class LanguageModel:
     temperature: float = 1.0
     least_score: float = 0.0
     accuracy: float = field(default=float("nan"))
+    right_scores: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def logits(self, text: str) -> np.ndarray | None:
         """None for a text without a letter. No n-gram reaches over a word's edge, so long texts are summed in slices."""
@@ -173,8 +179,8 @@ def _calibrate(model: LanguageModel, grams: list, y: np.ndarray, rejected_share:
     p = _softmax(logits / model.temperature)
     right = p.argmax(axis=1) == y
     model.accuracy = float(right.mean())
-    # Never above one half: an answer likelier than all others together stays.
-    model.least_score = float(min(0.5, np.quantile(p.max(axis=1)[right], rejected_share))) if right.any() else 0.0
+    model.right_scores = p.max(axis=1)[right]
+    model.least_score = float(min(MOST_REJECTED, np.quantile(model.right_scores, rejected_share))) if right.any() else 0.0
 
 
 def with_chosen(known: DataFrame, train_rows: int, language_rows: int) -> DataFrame:
@@ -194,7 +200,7 @@ def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
     """A model of rows with text and label, from about train_rows of them, but language_rows of each language, chosen by a hash of the id; whole texts.
 
     Tasks send the n-gram shares of those to the driver, not the texts: at most 6 bytes for each of BUCKETS a row.
-    Of repeated ids the least beginning, label and shares count.
+    Of repeated ids the least beginning, label and shares count. All labelled rows that it does not learn from calibrate the rejection.
     """
 
     @F.pandas_udf("found binary, shares binary")
@@ -211,7 +217,19 @@ def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
     sample = sample.groupBy("id").agg(F.min("row").alias("row")).where("row.x.found IS NOT NULL").select("row.begins", "row.y", "row.x.found", "row.x.shares").collect()
     sample.sort(key=lambda r: (r["begins"], r["y"], bytes(r["found"]), bytes(r["shares"])))
     own = [(np.frombuffer(r["found"], np.uint16), np.frombuffer(r["shares"], np.float32)) for r in sample]
-    return train_features(own, [r["y"] for r in sample], language_rows=language_rows)
+    model = train_features(own, [r["y"] for r in sample], language_rows=language_rows)
+    others = known.where("NOT chosen")
+    return _reject_by(others, model) if model.languages != [UNDETERMINED] else model
+
+
+def _reject_by(others: DataFrame, model: LanguageModel) -> LanguageModel:
+    """model with the rejection fitted on the right answers of all rows that it did not learn from: the others (t, y), and those held out of the sample."""
+    # Not a filter, which would be pushed below the scores and have them computed twice. Percentiles leave nulls out.
+    scored = others.select("y", language(model, others, F.col("t")).alias("found")).select(F.when(F.expr("found.lang = y"), F.col("found.score")).alias("score"))
+    held = others.sparkSession.createDataFrame([(float(x),) for x in model.right_scores], "score double")
+    # Percentiles are of ranks within 1 / 200,000 of all rows.
+    least = scored.union(held).agg(F.percentile_approx("score", REJECTED_SHARE, 200_000)).first()[0]
+    return replace(model, least_score=0.0 if least is None else min(MOST_REJECTED, least))
 
 
 def language(model: LanguageModel, df: DataFrame, text: Column) -> Column:

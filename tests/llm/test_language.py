@@ -70,3 +70,17 @@ def test_learns_rare_languages(spark):
     m = fit(df, train_rows=2000)
     assert m.languages == ["de", "en", "fr"]
     assert [m.score(t)[0] for t, _ in TEXTS[:3]] == ["en", "de", "fr"]
+
+
+def test_rejection_follows_all_labelled_rows(spark):
+    rng = np.random.default_rng(0)
+    docs = []
+    for i in range(12_000):
+        most = int(rng.integers(3))
+        words = [rng.choice(TEXTS[most if rng.random() < 0.5 else int(rng.integers(3))][0].split()) for _ in range(6)]
+        docs.append((i, " ".join(words), TEXTS[most][1]))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(4)
+    m = fit(df, train_rows=600)
+    right = [score for _, text, label in docs for lang, score in [m.score(text)] if lang == label]
+    lost = sum(score < m.least_score for score in right)
+    assert m.least_score < 0.5 and 0.0003 <= lost / len(right) <= 0.0007

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievetally.llm import bpe, jaccard_tree, langid, near_vectors, packing, pii, token_scan, topk, toxicity, vocabulary, warc_zip
+from sievetally.llm import bpe, jaccard_tree, langid, near_vectors, packing, pii, ranking, secret_scan, sources, token_scan, topk, toxicity, vocabulary, warc_zip
 from sievetally.llm.common import fold, table
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -87,6 +87,23 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return ranking.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the words of every source differ from those of the other sources of its language."""
+    return sources.divergence(table(spark, sf_dir, "documents"), least_docs=10, top=10)
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    found = secret_scan.secrets(table(spark, sf_dir, "documents"))
+    counts = [secret_scan.of_kind(F.col("base"), k).alias(f"n_{rule.name}") for k, rule in enumerate(secret_scan.BASE)]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.span_text(F.col("base")), 256).alias("base_sha256"), secret_scan.span_text(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_topk": op2_topk,
@@ -98,4 +115,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_jaccard": op10_jaccard,
+    "op11_ranking": op11_ranking,
+    "op12_sources": op12_sources,
+    "op13_secrets": op13_secrets,
 }

@@ -24,6 +24,9 @@ TYPES = {
     "op8_packing": {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "sequence_id": "bigint", "offset": "bigint"},
     "op9_warc": {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"},
     "op10_jaccard": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
+    "op11_ranking": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
+    "op12_sources": {"lang": "string", "source": "string", "part": "string", "item": "string", "value": "bigint", "rank": "int"},
+    "op13_secrets": {"doc_id": "bigint", "n_assign": "bigint", "n_access": "bigint", "n_hex": "bigint", "base_sha256": "string", "spans": "string"},
 }
 
 
@@ -40,7 +43,7 @@ def test_all_are_registered():
 @pytest.mark.parametrize("name", ORACLES)
 def test_rows_match_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     assert dict(df.dtypes) == TYPES[name]

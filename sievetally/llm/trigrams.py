@@ -90,6 +90,12 @@ def _query(parts) -> list[Clause]:
         if longer is not None:
             run = longer
             continue
+        once = _all(value[2]) if op in REPEATS and value[0] >= 1 else None
+        if once is not None:
+            # However often it repeats, the first time follows what came before, and the last is followed by what comes next.
+            clauses += _clause(_joined(run, once) or run)
+            run = once
+            continue
         clauses += _clause(run)
         if own is None:
             clauses += _inside(op, value)

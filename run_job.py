@@ -5,12 +5,14 @@ from __future__ import annotations
 import argparse
 import json
 import os
+from datetime import timedelta
 from functools import partial
 
 from pyspark.sql import functions as F
 
 from sievetally.plans import employees, transactions
 from sievetally.session import build_session
+from sievetally.sinks import managed
 from sievetally.sinks.files import write_csv, write_parquet
 from sievetally.sinks.managed import default_format
 from sievetally.sinks.serving import CqlStore
@@ -71,6 +73,10 @@ def run_daily(spark, args):
     return transactions.run_daily(spark, args.root, _store(args), args.writers, fmt=default_format(spark))
 
 
+def remove_old_versions(spark, args):
+    return {"removed": managed.remove_old_versions(spark, args.table, args.root, timedelta(hours=args.hours))}
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(description=__doc__)
     jobs = top.add_subparsers(dest="job", required=True)
@@ -107,6 +113,10 @@ def parser() -> argparse.ArgumentParser:
     job("check-source", check_source, root)
     job("load-serving", load_serving, root, *store)
     job("run-daily", run_daily, root, *store)
+    job(
+        "remove-old-versions", remove_old_versions, root, ("--table", needed),
+        ("--hours", {"type": float, "default": 168.0, "help": "age from which replaced versions go; longer than any reader works on one"}),
+    )
     return top
 
 

@@ -36,11 +36,11 @@ from sievetally.schemas import (
 )
 from sievetally.session import cut_lineage, scratch_dir
 from sievetally.sinks.files import write_csv, write_parquet
-from sievetally.sinks.managed import publish, register_table
+from sievetally.sinks.managed import publish, register_table, unregister_table
 from sievetally.sinks.relational import create_table, run_in_transaction, staging_types
 from sievetally.sinks.serving import SERVED, serving_layout, serving_rows, upsert_served
 from sievetally.sources.files import read_csv_text, read_employees, read_parquet
-from sievetally.sources.managed import catalog_name, history, read_managed, source_available
+from sievetally.sources.managed import history, read_managed, source_available
 from sievetally.sources.relational import read_table
 from sievetally.sources.synthetic import synth_employees, synth_transactions
 
@@ -103,13 +103,6 @@ def serving_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving_rows(daily_totals(spark, sf_dir))
 
 
-def _released(spark: SparkSession, name: str, root: str) -> DataFrame:
-    """The managed table, its name taken from the catalog; the files stay."""
-    df = read_managed(spark, name, root)
-    spark.sql(f"DROP TABLE {catalog_name(spark, name, root)}")
-    return df
-
-
 def serving_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Ranges are found by sampling, so the totals are computed once and read back.
     totals = cut_lineage(daily_totals(spark, sf_dir), "totals")
@@ -122,18 +115,29 @@ def serving_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = filters.keep_positive_amounts(transactions(spark, sf_dir)).withColumn(
         "transaction_date", transaction_date(F.col("timestamp"))
     )
-    upsert_served(transaction_plans.total_by_customer_day(dated), root)
-    upsert_served(daily_totals(spark, sf_dir), root)
-    return _released(spark, SERVED, root)
+    upsert_served(cut_lineage(transaction_plans.total_by_customer_day(dated), "totals"), root)
+    upsert_served(cut_lineage(daily_totals(spark, sf_dir), "totals"), root)
+    return read_managed(spark, SERVED, root)
+
+
+def serving_upsert_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days served without deduplication, then the last seven of them corrected; the files of the others stay."""
+    root = scratch_dir(spark, "lake")
+    dated = filters.keep_positive_amounts(transactions(spark, sf_dir)).withColumn(
+        "transaction_date", transaction_date(F.col("timestamp"))
+    )
+    upsert_served(cut_lineage(transaction_plans.total_by_customer_day(dated), "totals"), root)
+    totals = cut_lineage(daily_totals(spark, sf_dir), "totals")
+    last = totals.agg(F.max("transaction_date")).head()[0]
+    upsert_served(totals.where(F.date_diff(F.lit(last), "transaction_date") < 7), root)
+    return read_managed(spark, SERVED, root)
 
 
 def run_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "lake")
     publish(transactions(spark, sf_dir), transaction_plans.TRANSACTIONS, root)
     transaction_plans.run_daily(spark, root)
-    for name in (transaction_plans.TRANSACTIONS, transaction_plans.DAILY_TOTALS):
-        _released(spark, name, root)
-    return _released(spark, SERVED, root)
+    return read_managed(spark, SERVED, root)
 
 
 # --- employees ----------------------------------------------------------------------------------
@@ -300,7 +304,7 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def managed_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "lake")
     publish(transactions(spark, sf_dir), transaction_plans.TRANSACTIONS, root)
-    return _released(spark, transaction_plans.TRANSACTIONS, root)
+    return read_managed(spark, transaction_plans.TRANSACTIONS, root)
 
 
 def managed_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,15 +313,14 @@ def managed_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_parquet(transactions(spark, sf_dir), raw)
     transaction_plans.publish_transactions(spark, raw, root)
     publish(filters.keep_positive_amounts(read_managed(spark, name, root)), name, root)
-    return _released(spark, name, root)
+    return read_managed(spark, name, root)
 
 
 def register(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, name = scratch_dir(spark, "lake"), f"daily_totals_{uuid.uuid4().hex}"
     register_table(spark, name, publish(daily_totals(spark, sf_dir), name, root))
     df = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")
-    _released(spark, name, root)
+    unregister_table(spark, name)
     return df
 
 
@@ -325,7 +328,6 @@ def publish_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, name = scratch_dir(spark, "lake"), transaction_plans.TRANSACTIONS
     publish(transactions(spark, sf_dir), name, root, run_id="run-1", run_ts=RUN_TS)
     publish(dedupe_transactions(spark, sf_dir), name, root, run_id="run-2", run_ts=RUN_TS)
-    _released(spark, name, root)
     return history(spark, name, root).select("run_id", "table_name", "operation", "mode", "num_output_rows")
 
 
@@ -383,6 +385,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "serving_projection": serving_projection,
     "serving_layout": serving_order,
     "serving_upsert": serving_upsert,
+    "serving_upsert_days": serving_upsert_days,
     "run_daily": run_daily,
     "dedupe_transactions": dedupe_transactions,
     "positive_amounts": positive_amounts,

@@ -288,6 +288,16 @@ FROM daily d FULL JOIN (
   SELECT customer_id, CAST("timestamp" AS DATE) AS transaction_date,
          CAST(sum(amount) AS DOUBLE) AS total_amount, count(*) AS transaction_count
   FROM txn WHERE amount > 0 GROUP BY 1, 2) f
+ON d.customer_id = f.customer_id AND d.transaction_date = f.transaction_date""",
+    "serving_upsert_days": _with(TXN, TXN_FIRST, DAILY)
+    + """SELECT coalesce(d.customer_id, f.customer_id) AS customer_id,
+       coalesce(d.transaction_date, f.transaction_date) AS transaction_date,
+       coalesce(d.total_amount, f.total_amount) AS total_amount,
+       CAST(coalesce(d.transaction_count, f.transaction_count) AS INT) AS transaction_count
+FROM (SELECT * FROM daily WHERE transaction_date > (SELECT max(transaction_date) FROM daily) - 7) d FULL JOIN (
+  SELECT customer_id, CAST("timestamp" AS DATE) AS transaction_date,
+         CAST(sum(amount) AS DOUBLE) AS total_amount, count(*) AS transaction_count
+  FROM txn WHERE amount > 0 GROUP BY 1, 2) f
 ON d.customer_id = f.customer_id AND d.transaction_date = f.transaction_date""",
     "daily_totals_float": _with(TXN_FLOAT, TXN_FLOAT_FIRST, DAILY_FLOAT) + "SELECT * FROM daily",
     "stage_counts_float": _with(TXN_FLOAT, TXN_FLOAT_FIRST, DAILY_FLOAT)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    ArrayType,
     DateType,
     DecimalType,
     DoubleType,
@@ -87,15 +88,18 @@ SERVING_ROW = _struct(
     transaction_count=IntegerType(),
 )
 
-# One line per publish of a managed table, for reports.
+# One record per publish of a managed table; folders are those that hold the table from then on.
 RUN_LOG = _struct(
+    version=LongType(),
     run_id=StringType(),
     table_name=StringType(),
     operation=StringType(),
     mode=StringType(),
     num_output_rows=LongType(),
-    location=StringType(),
     committed_at=TimestampType(),
+    format=StringType(),
+    partition_by=ArrayType(StringType()),
+    folders=ArrayType(StringType()),
 )
 
 # The columns that an employee must have.

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import sys
 import time
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievetally.schemas import DAILY_KEY, SERVING_ROW
-from sievetally.sinks.managed import publish
-from sievetally.sources.managed import is_published, read_managed
+from sievetally.sinks.managed import upsert
 
 SERVED = "customer_daily_served"
 
@@ -40,24 +39,12 @@ def serving_layout(df: DataFrame, writers: int) -> DataFrame:
     return df.repartitionByRange(writers, *order).sortWithinPartitions(*order)
 
 
-def merge_upsert(held: DataFrame, load: DataFrame, key: Sequence[str]) -> DataFrame:
-    """held with the rows of load: a key of both takes the row of load, keys of one side stay, nothing is deleted.
+def upsert_served(totals: DataFrame, root: str, fmt: str = "parquet") -> None:
+    """Upsert daily totals by (customer_id, transaction_date) into the served table below root, a managed table with a folder per day.
 
-    Both sides have the same columns and unique keys. One aggregation, reduced before its shuffle, so
-    that it makes no difference how many rows a customer has.
+    Days that are not in totals keep their files. Totals are computed twice: pass a written table.
     """
-    values = [c for c in held.columns if c not in key]
-    both = held.withColumn("_load", F.lit(0)).unionByName(load.withColumn("_load", F.lit(1)))
-    newest = both.groupBy(*key).agg(F.max(F.struct("_load", *values)).alias("_row"))
-    return newest.select(*[F.col(c) if c in key else F.col(f"_row.{c}") for c in held.columns])
-
-
-def upsert_served(totals: DataFrame, root: str, fmt: str = "parquet") -> None:
-    """Upsert daily totals by (customer_id, transaction_date) into the served table below root, a managed table."""
-    spark, rows = totals.sparkSession, serving_rows(totals)
-    if is_published(spark, SERVED, root, fmt):
-        rows = merge_upsert(read_managed(spark, SERVED, root, fmt), rows, DAILY_KEY)
-    publish(rows, SERVED, root, fmt, SERVING_ROW)
+    upsert(serving_rows(totals), SERVED, root, DAILY_KEY, "transaction_date", fmt, SERVING_ROW)
 
 
 def open_store(connect: Callable[[], object], tries: int, wait_seconds: float):

@@ -1,10 +1,17 @@
 """The commands, one after the other, as a user would run them."""
 
+import json
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from folder_store import FolderStore, read_folder_store
 
 import run_job
 from sievetally.plans.catalog import CLEAN_TABLE, DERBY_DRIVER, STAGING_TYPES
+from sievetally.sinks.managed import unregister_table
 from sievetally.sinks.relational import run_in_transaction
 
 
@@ -24,7 +31,7 @@ def test_transaction_commands(spark, scratch, monkeypatch):
     assert read_folder_store(spark, f"{scratch}/store").count() == groups
     assert run_job.main(["run-daily", "--root", root]) == {"daily_totals": groups, "served": groups}
     for name in ("cli_transactions", "cli_totals", "cli_totals_by_day"):
-        spark.sql(f"DROP TABLE {name}")
+        unregister_table(spark, name)
 
 
 def test_employee_commands(spark, scratch, tmp_path):
@@ -37,3 +44,24 @@ def test_employee_commands(spark, scratch, tmp_path):
     command = ["clean-employees", "--input", f"{scratch}/csv", "--url", url, "--driver", DERBY_DRIVER, "--as-of", "2024-01-01"]
     result = run_job.main([*command, "--column-types", STAGING_TYPES, "--quarantine", f"{scratch}/rejected"])
     assert result["raw"] == 300 and result["added"] == result["accepted"] > 0
+
+
+def test_commands_in_processes_of_their_own(tmp_path):
+    """Each command sees what the one before has published: they share nothing but the folder."""
+    repo, raw, root = Path(run_job.__file__).parent, f"{tmp_path}/raw", f"{tmp_path}/lake"
+    env = os.environ | {"PYTHONPATH": str(repo), "PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.sql.shuffle.partitions=2 pyspark-shell"}
+
+    def run(*args):
+        done = subprocess.run([sys.executable, repo / "run_job.py", *args], env=env, cwd=tmp_path, capture_output=True, text=True)
+        assert done.returncode == 0, done.stderr[-2000:]
+        return json.loads(done.stdout.splitlines()[-1])
+
+    run("generate-transactions", "--rows", "600", "--out", raw, "--base-time", "2024-01-07 12:00:00")
+    run("publish-transactions", "--raw", raw, "--root", root)
+    assert run("check-source", "--root", root)["has_rows"] is True
+    run("daily-totals", "--root", root)
+    served = run("load-serving", "--root", root)["served"]
+    assert served > 300 and run("run-daily", "--root", root) == {"daily_totals": served, "served": served}
+    removed = run("remove-old-versions", "--root", root, "--table", "customer_daily_aggregates", "--hours", "0")
+    assert len(removed["removed"]) == 1
+    assert run("load-serving", "--root", root)["served"] == served

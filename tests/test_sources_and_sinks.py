@@ -1,5 +1,5 @@
 import threading
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from functools import partial
 from pathlib import Path
 
@@ -16,19 +16,26 @@ from sievetally.plans.catalog import CLEAN_TABLE, DERBY_DRIVER, STAGING_TYPES
 from sievetally.plans.employees import CORRUPT, load_employees, quarantine_delivered
 from sievetally.schemas import DAILY_KEY, DAILY_TOTAL, EMPLOYEE_TEXT, SERVING_ROW, TRANSACTION
 from sievetally.sinks.files import sized, write_csv, write_parquet
-from sievetally.sinks.managed import default_format, publish, register_table
+from sievetally.sinks.managed import (
+    default_format,
+    merge_upsert,
+    publish,
+    register_table,
+    remove_old_versions,
+    unregister_table,
+    upsert,
+)
 from sievetally.sinks.relational import append_rows, run_in_transaction
 from sievetally.sinks.serving import (
     SERVED,
     load_serving,
-    merge_upsert,
     open_store,
     serving_layout,
     serving_rows,
     upsert_served,
 )
 from sievetally.sources.files import read_csv_text, read_employees, read_parquet, type_columns
-from sievetally.sources.managed import current_location, history, read_managed, source_available
+from sievetally.sources.managed import history, newest_version, read_managed, source_available, version_numbers
 from sievetally.sources.relational import read_table
 from sievetally.sources.synthetic import row_ids, synth_employees, synth_transactions
 
@@ -143,7 +150,7 @@ def test_publish_replaces_and_logs(spark, scratch):
     first = publish(spark.range(10), "t", scratch, run_ts=datetime(2024, 1, 1, 1), run_id="a")
     second = publish(read_managed(spark, "t", scratch).filter("id < 4"), "t", scratch, run_ts=datetime(2024, 1, 1, 2), run_id="b")
     publish(spark.range(3), "other", scratch)
-    assert first != second and current_location(spark, "t", scratch) == f"file:{second}"
+    assert first != second and newest_version(spark, "t", scratch)["folders"] == [second.rpartition("/")[2]]
     assert read_managed(spark, "t", scratch).count() == 4
     log = history(spark, "t", scratch).collect()
     assert [(r["run_id"], r["num_output_rows"], r["mode"], r["operation"]) for r in log] == [
@@ -179,7 +186,36 @@ def test_register_follows_the_newest_publish(spark, scratch):
     register_table(spark, name, publish(spark.range(10), "t", scratch))
     register_table(spark, name, publish(spark.range(7), "t", scratch))
     assert spark.table(name).count() == 7
-    spark.sql(f"DROP TABLE {name}")
+    unregister_table(spark, name)
+    assert spark.sql(f"SHOW TABLES LIKE '{name}*'").count() == 0
+    spark.catalog.createTable(name, path=publish(spark.range(2), "t", scratch), source="parquet", schema=spark.range(1).schema)
+    register_table(spark, name, publish(spark.range(3), "t", scratch))
+    assert spark.table(name).count() == 3
+    unregister_table(spark, name)
+
+
+def test_a_reader_never_misses_a_name_whose_schema_changes(spark, scratch):
+    name, done, counts, errors = "changing", threading.Event(), [], []
+    register_table(spark, name, publish(spark.range(1), "t", scratch))
+
+    def read():
+        while not done.is_set():
+            try:
+                counts.append(spark.table(name).count())
+            except Exception as error:
+                errors.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(2, 10):
+        df = spark.range(n) if n % 2 else spark.range(n).withColumn(f"x{n}", F.lit("a"))
+        register_table(spark, name, publish(df, "t", scratch, fmt="orc" if n % 3 else "parquet"), "orc" if n % 3 else "parquet")
+    done.set()
+    reader.join()
+    assert not errors, str(errors[0])[:800]
+    assert counts == sorted(counts) and len(set(counts)) > 1
+    assert spark.table(name).columns == ["id"] and spark.table(name).count() == 9
+    unregister_table(spark, name)
 
 
 def test_partitioned_publish(spark, scratch):
@@ -192,7 +228,7 @@ def test_partitioned_publish(spark, scratch):
         assert back.filter("day = '03'").count() == rows_in // 4 and back.count() == rows_in
         assert spark.table(name).filter("day = '03'").count() == rows_in // 4
         assert spark.table(name).count() == rows_in
-    spark.sql(f"DROP TABLE {name}")
+    unregister_table(spark, name)
 
 
 def test_empty_partitioned_table_reads_as_empty(spark, scratch):
@@ -229,7 +265,6 @@ def test_the_publish_that_ends_last_is_read(spark, scratch):
     publish(spark.range(3), "t", scratch, run_id="z")
     worker.join()
     assert read_managed(spark, "t", scratch).count() == 7
-    assert current_location(spark, "t", scratch).endswith("/a")
     assert history(spark, "t", scratch).head()["run_id"] == "a"
 
 
@@ -244,7 +279,113 @@ def test_unpublished_table(spark, scratch):
     with pytest.raises(FileNotFoundError, match="never published"):
         read_managed(spark, "t", scratch)
     with pytest.raises(FileNotFoundError, match="never published"):
-        current_location(spark, "t", scratch)
+        history(spark, "t", scratch)
+
+
+def test_earlier_versions_stay_readable(spark, scratch):
+    publish(spark.range(4), "t", scratch, run_ts=datetime(2024, 1, 1))
+    opened = read_managed(spark, "t", scratch)
+    publish(spark.range(9).withColumn("x", F.lit(1)), "t", scratch, run_ts=datetime(2024, 1, 3))
+    assert opened.count() == 4
+    assert read_managed(spark, "t", scratch, as_of=datetime(2024, 1, 2, tzinfo=timezone.utc)).columns == ["id"]
+    assert read_managed(spark, "t", scratch).count() == 9
+    with pytest.raises(FileNotFoundError, match="up to"):
+        read_managed(spark, "t", scratch, as_of=datetime(2023, 1, 1, tzinfo=timezone.utc))
+
+
+def test_a_version_is_not_taken_twice(spark, scratch):
+    assert publish(spark.range(1), "t", scratch, after=0)
+    assert publish(spark.range(2), "t", scratch, after=0) is None
+    assert publish(spark.range(3), "t", scratch, after=1)
+    assert version_numbers(spark, "t", scratch) == [1, 2] and read_managed(spark, "t", scratch).count() == 3
+
+
+def test_folder_column_is_refused(spark, scratch):
+    with pytest.raises(ValueError, match="version_run"):
+        publish(spark.range(1).withColumn("version_run", F.lit(1)), "t", scratch)
+
+
+# --- upserts and removal of versions --------------------------------------------------------------
+
+
+def keyed(spark, *parts):
+    """Rows (k, day, v) for each (keys, day, v)."""
+    rows_in = [(k, day, v) for keys, day, v in parts for k in keys]
+    return spark.createDataFrame(rows_in, "k long, day string, v string")
+
+
+def data_files(scratch, table="t"):
+    return {str(p.relative_to(scratch)): p.stat().st_mtime_ns for p in Path(scratch, table).glob("version_run=*/**/part-*")}
+
+
+def test_upsert_writes_only_the_days_of_the_load(spark, scratch):
+    upsert(keyed(spark, (range(5), "01", "a"), (range(5), "02", "a"), (range(5), None, "a")), "t", scratch, ["k", "day"], "day")
+    before = data_files(scratch)
+    upsert(keyed(spark, ([3, 9], "02", "b"), ([1], "03", "b")), "t", scratch, ["k", "day"], "day")
+    after = data_files(scratch)
+    assert before.items() <= after.items() and all("day=02" in f or "day=03" in f for f in after.keys() - before.keys())
+    upsert(keyed(spark, ([0], None, "c")), "t", scratch, ["k", "day"], "day")
+    held = sorted((r["day"] or "-", r["k"], r["v"]) for r in read_managed(spark, "t", scratch).collect())
+    assert held == [("-", 0, "c"), *(("-", k, "a") for k in range(1, 5)), *(("01", k, "a") for k in range(5)), ("02", 0, "a"), ("02", 1, "a"), ("02", 2, "a"), ("02", 3, "b"), ("02", 4, "a"), ("02", 9, "b"), ("03", 1, "b")]
+    log = history(spark, "t", scratch).collect()
+    assert [(r["operation"], r["num_output_rows"]) for r in log] == [("MERGE", 5), ("MERGE", 7), ("WRITE", 15)]
+    upsert(keyed(spark), "t", scratch, ["k", "day"], "day")
+    assert read_managed(spark, "t", scratch).count() == len(held)
+
+
+def test_upsert_into_a_table_without_folders(spark, scratch):
+    publish(keyed(spark, (range(3), "01", "a"), (range(3), "02", "a")), "t", scratch)
+    for _ in range(2):
+        upsert(keyed(spark, ([1], "02", "b")), "t", scratch, ["k", "day"], "day")
+    assert rows(read_managed(spark, "t", scratch).select("k", "day", "v")) == rows(keyed(spark, (range(3), "01", "a"), ([0, 2], "02", "a"), ([1], "02", "b")))
+
+
+def test_upserts_at_the_same_time_lose_nothing(spark, scratch):
+    loads = [keyed(spark, (range(n, n + 3), f"{n % 2}", f"v{n}")) for n in range(0, 9, 3)]
+    errors = []
+
+    def work(load):
+        try:
+            upsert(load, "t", scratch, ["k", "day"], "day")
+        except Exception as error:
+            errors.append(error)
+
+    threads = [threading.Thread(target=work, args=(load,)) for load in loads]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not errors and sorted(r["k"] for r in read_managed(spark, "t", scratch).collect()) == list(range(9))
+
+
+def test_old_versions_are_removed(spark, scratch):
+    old = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    first = publish(spark.range(1), "t", scratch, run_ts=old)
+    named = publish(spark.range(2), "t", scratch, run_ts=old)
+    register_table(spark, "kept_name", first)
+    register_table(spark, "kept_name", named)
+    recent = publish(spark.range(3), "t", scratch)
+    newest = publish(spark.range(4), "t", scratch)
+    reader = read_managed(spark, "t", scratch)
+    unfinished = Path(scratch, "t", "version_run=unfinished")
+    unfinished.mkdir()
+    tomorrow = datetime.now(timezone.utc) + timedelta(days=1)
+    assert remove_old_versions(spark, "t", scratch, timedelta(days=2), now=tomorrow) == []
+    assert version_numbers(spark, "t", scratch) == [3, 4]
+    assert unfinished.exists() and Path(first).exists()
+    gone = remove_old_versions(spark, "t", scratch, timedelta(hours=1), now=tomorrow)
+    assert gone == sorted(Path(x).name for x in (first, recent, unfinished))
+    assert reader.count() == 4 and spark.table("kept_name").count() == 2 and Path(newest).exists()
+    assert spark.sql("SHOW TABLES LIKE 'kept_name*'").count() == 2 and version_numbers(spark, "t", scratch) == [4]
+    unregister_table(spark, "kept_name")
+
+
+def test_replaced_days_are_removed(spark, scratch):
+    for v in "abc":
+        upsert(keyed(spark, (range(2), "01", v), *([(range(2), "02", v)] if v == "a" else [])), "t", scratch, ["k", "day"], "day")
+    gone = remove_old_versions(spark, "t", scratch, timedelta(0), now=datetime.now(timezone.utc) + timedelta(minutes=1))
+    assert len(gone) == 2 and {x.partition("/")[2] for x in gone} == {"day=01", ""}
+    assert rows(read_managed(spark, "t", scratch).select("k", "day", "v")) == rows(keyed(spark, (range(2), "01", "c"), (range(2), "02", "a")))
 
 
 def test_daily_totals_by_day(spark, scratch):

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievetally.llm.common import release_memory
-from sievetally.llm.terms import LETTERS, mark_table, marked, term_counts, with_marks
+from sievetally.llm.terms import LETTERS, mark_table, marked, term_counts, term_runs, with_marks
 from sievetally.session import cut_lineage
 
 # Bits of the marks of texts that occur more than once: 4 MB. With more such texts than an eighth of that, more single ones are
@@ -36,15 +36,20 @@ class Sums:
         self.n: dict[tuple, Counter] = defaultdict(Counter)
         self.size = 0
 
-    def add(self, lang: str, source: str, counts: dict[bytes, int], copies: int = 1) -> None:
+    def add(self, lang: str, source: str, counts: dict[bytes, int], copies: int) -> None:
         docs, n = self.docs[lang, source], self.n[lang, source]
         before = len(n)
-        if copies == 1:
-            docs.update(counts.keys())
-            n.update(counts)
-        else:
-            docs.update(dict.fromkeys(counts, copies))
-            n.update({t: copies * c for t, c in counts.items()})
+        docs.update(dict.fromkeys(counts, copies))
+        n.update({t: copies * c for t, c in counts.items()})
+        self.size += len(n) - before
+
+    def add_text(self, lang: str, source: str, text: bytes) -> None:
+        docs, n = self.docs[lang, source], self.n[lang, source]
+        before, own = len(n), set()
+        for terms in term_runs(text, LETTERS):
+            n.update(terms)
+            own.update(terms)
+        docs.update(own)
         self.size += len(n) - before
 
     def batches(self) -> Iterator[pa.RecordBatch]:
@@ -64,7 +69,7 @@ def _single_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums = Sums()
     for batch in batches:
         for lang, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            sums.add(lang, source, term_counts(text, LETTERS))
+            sums.add_text(lang, source, text)
             if sums.size >= FLUSH_SUMS:
                 yield from sums.batches()
     yield from sums.batches()
@@ -108,7 +113,9 @@ def term_sums(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     copies = again.groupBy("lang", "key", "source").agg(F.count(F.lit(1)).alias("copies"))
     bags = again.groupBy("lang", "key").agg(F.any_value(F.col("text").cast("binary")).alias("text")).mapInArrow(_split, "lang string, key string, terms array<binary>, counts array<long>")
     copied = copies.join(bags, ["lang", "key"]).select("lang", "source", "copies", "terms", "counts").mapInArrow(_copied_sums, SUMS)
-    return single.unionByName(copied).groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    # Tasks have added up what they could, so sums are shuffled as they are; all that is known of a term meets in one task, a row for each task and source.
+    parts = single.unionByName(copied).repartition("lang", "term")
+    return parts.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
 
 
 def _share(count: Column, total: Column, kept: Column) -> Column:
@@ -133,11 +140,12 @@ def divergence(docs: DataFrame, least_docs: int = 10, top: int = 10, text_col: s
     part, by value descending, then item in the order of its UTF-8. Null texts, languages and sources are empty ones; every
     row counts, repeated ones too; an empty table has no rows.
     """
-    sums = cut_lineage(term_sums(docs, text_col, lang_col, source_col), "term_sums")
+    sums = term_sums(docs, text_col, lang_col, source_col)
     groups = docs.select(F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.coalesce(F.col(source_col), F.lit("")).alias("source")).distinct()
-    kept = sums.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).where(F.col("docs") >= least_docs)
-    counts = cut_lineage(sums.join(kept.select("lang", "term", "lang_n"), ["lang", "term"]).select("lang", "source", "term", "n", "lang_n"), "kept_terms")
-    # A term of the language counts once, at its least source.
+    # One entry for each source that has the term.
+    terms = sums.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n"), F.collect_list(F.struct("source", "n")).alias("by_source"))
+    counts = terms.where(F.col("docs") >= least_docs).select("lang", "term", "lang_n", F.explode("by_source").alias("of")).select("lang", "of.source", "term", "of.n", "lang_n")
+    counts = cut_lineage(counts, "kept_terms")
     langs = counts.groupBy("lang", "term").agg(F.any_value("lang_n").alias("lang_n")).groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("lang_n").alias("lang_total"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = groups.join(langs, "lang", "left").join(totals, ["lang", "source"], "left").fillna(0, ["kept", "lang_total", "total"])

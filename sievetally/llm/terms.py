@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,18 +16,25 @@ LETTERS_AND_DIGITS = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 LETTERS = re.compile(rb"[A-Za-z\x80-\xff]+")
 
 
-def term_counts(text: bytes | None, terms: re.Pattern) -> Counter:
-    """How often each maximal run of `terms` stands in a text, A-Z in lower case; none for a null text.
+def term_runs(text: bytes | None, terms: re.Pattern) -> Iterator[list[bytes]]:
+    """All maximal runs of `terms` in a text, A-Z in lower case; none for a null text.
 
     A very long text is read in slices that end where a run ends.
     """
-    counts, start = Counter(), 0
+    start = 0
     while text and start < len(text):
         stop = start + SLICE_CHARS
         if stop < len(text) and (run := terms.match(text, stop)):
             stop = run.end()
-        counts.update(terms.findall(text[start:stop].lower()))
+        yield terms.findall(text[start:stop].lower())
         start = stop
+
+
+def term_counts(text: bytes | None, terms: re.Pattern) -> Counter:
+    """How often each run stands in a text."""
+    counts = Counter()
+    for runs in term_runs(text, terms):
+        counts.update(runs)
     return counts
 
 

@@ -30,7 +30,7 @@ def clean_employees(spark, args):
     password = os.environ.get(args.password_env, "") if args.password_env else ""
     return employees.load_employees(
         spark, args.input, args.url, args.table, args.driver, args.as_of, args.user, password,
-        column_types=args.column_types, quarantine_path=args.quarantine, writers=args.writers,
+        column_types=args.column_types, quarantine_path=args.quarantine, writers=args.writers, escaped=args.escaped,
     )
 
 
@@ -102,6 +102,7 @@ def parser() -> argparse.ArgumentParser:
         ("--table", {"default": "employees_clean"}), ("--driver", {"default": "org.postgresql.Driver"}),
         ("--user", {"default": ""}), ("--password-env", optional), ("--as-of", optional), ("--quarantine", optional),
         ("--writers", {"type": int, "default": 8}),
+        ("--escaped", {"action": "store_true", "help": "the file was written by this library: line breaks within texts come back"}),
         ("--column-types", {"default": None, "help": "column types of the staging table, as in Spark's createTableColumnTypes"}),
     )
     job(

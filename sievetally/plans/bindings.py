@@ -67,7 +67,8 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
                   || LPAD(CAST(FLOOR(ABS(c_acctbal)) % 1000 AS STRING), 3, '0')
                 ELSE CAST(FLOOR(ABS(c_acctbal) * 10) AS STRING) END AS salary""",
         "CAST(IF(c_custkey % 2 = 0, 5000 + c_custkey % 201, NULL) AS INT) AS manager_id",
-        """c_custkey % 999 || ', "Lake View" Road, Block ' || c_nationkey AS address""",
+        """c_custkey % 999 || ', "Lake View" Road,' || CASE c_custkey % 11 WHEN 0 THEN '\\n' WHEN 1 THEN '\\r\\n' WHEN 2 THEN ' 5%0A ' ELSE ' ' END
+             || 'Block ' || c_nationkey AS address""",
         f"{entry(CITIES)} AS city",
         f"{entry(STATES)} AS state",
         "LPAD(CAST(c_custkey % 1000000 AS STRING), 6, '0') AS zip_code",
@@ -82,6 +83,7 @@ def employee_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     They go by the last digits of the zip code, which are those of the customer key.
     """
     text, key = employees_text(spark, sf_dir), F.col("zip_code").cast("int")
+    text = text.withColumn("address", F.regexp_replace("address", r"\r?\n", " "))
     text = text.withColumn("hire_date", F.when(key % 29 == 3, "notadate").otherwise(F.col("hire_date")))
     text = text.withColumn("employee_id", F.when(key % 31 == 4, F.concat(F.lit("x"), "employee_id")).otherwise(F.col("employee_id")))
     line = F.to_csv(F.struct(*EMPLOYEE_TEXT.names), {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sievetally.functions import employees as fn
 from sievetally.functions.transactions import transaction_date
 from sievetally.operators import contracts, filters
+from sievetally.operators.cells import cell_readers, cell_report, unreadable_cells
 from sievetally.operators.rejects import quarantine, reject_funnel
 from sievetally.plans import employees as employee_plans
 from sievetally.plans import transactions as transaction_plans
@@ -39,7 +40,7 @@ from sievetally.sinks.files import write_csv, write_parquet
 from sievetally.sinks.managed import publish, register_table, unregister_table
 from sievetally.sinks.relational import create_table, run_in_transaction, staging_types
 from sievetally.sinks.serving import SERVED, serving_layout, serving_rows, upsert_served
-from sievetally.sources.files import read_csv_text, read_employees, read_parquet
+from sievetally.sources.files import read_csv_text, read_employees, read_parquet, type_columns
 from sievetally.sources.managed import history, read_managed, source_available
 from sievetally.sources.relational import read_table
 from sievetally.sources.synthetic import synth_employees, synth_transactions
@@ -289,10 +290,27 @@ def csv_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("corrupt_line", F.col("corrupt_line").isNotNull())
 
 
+def _lines_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "employees-csv")
+    employee_lines(spark, sf_dir).write.text(path)
+    text = read_csv_text(spark, path, corrupt=employee_plans.CORRUPT, header=False)
+    return type_columns(text, unreadable=unreadable_cells())
+
+
+def unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text that could not be read as its column's type, with its number of rows."""
+    return cell_report(_lines_read(spark, sf_dir))
+
+
+def funnel_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reject funnel of delivered lines, with malformed lines and unreadable cells, in one pass."""
+    return reject_funnel(_lines_read(spark, sf_dir), AS_OF, employee_plans.CORRUPT, list(cell_readers()))
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "employees-csv")
     write_csv(employees_text(spark, sf_dir), path)
-    return read_csv_text(spark, path)
+    return read_csv_text(spark, path, escaped=True)
 
 
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,7 +367,7 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_csv(employees_text(spark, sf_dir), path)
     for _ in range(2):
         employee_plans.load_employees(
-            spark, path, url, "employees_clean", DERBY_DRIVER, AS_OF, column_types=STAGING_TYPES
+            spark, path, url, "employees_clean", DERBY_DRIVER, AS_OF, column_types=STAGING_TYPES, escaped=True
         )
     stored = read_table(spark, url, "employees_clean", "EMPLOYEE_ID", driver=DERBY_DRIVER)
     return stored.select(*CLEAN_EMPLOYEE.names)
@@ -413,6 +431,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_schema": check_schema,
     "audit_columns": audit_columns,
     "reject_funnel": employee_funnel,
+    "reject_funnel_lines": funnel_of_lines,
+    "unreadable_cells": unreadable,
     "reject_quarantine": employee_quarantine,
     "synth_transactions": synthetic_transactions,
     "synth_employees": synthetic_employees,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sievetally.functions import employees as fn
 from sievetally.operators import contracts
+from sievetally.operators.cells import cell_readers, unreadable_cells
 from sievetally.operators.dedupe import keep_first
 from sievetally.operators.filters import drop_future_hires, drop_null_required, keep_valid_email
 from sievetally.operators.rejects import quarantine, reject_funnel
@@ -70,10 +71,11 @@ def clean_employees(df: DataFrame, as_of=None) -> DataFrame:
 
 
 def quarantine_delivered(text: DataFrame, as_of) -> DataFrame:
-    """The rejected rows of read_csv_text as delivered: every cell as text, and the whole line where it was malformed."""
+    """The rejected rows of read_csv_text as delivered: every cell as text, the whole line where it was malformed, and which cells could not be read."""
     columns = text.columns
     typed = type_columns(text.withColumn("delivered", F.struct(*columns)).drop(CORRUPT))
-    return quarantine(typed, as_of).select("delivered.*", "reject_reason", "copies")
+    rejected = quarantine(typed, as_of).select("delivered.*", "reject_reason", "copies")
+    return rejected.withColumn("unreadable", F.transform(unreadable_cells(), lambda x: x["column_name"]))
 
 
 def check_clean_employees(df: DataFrame) -> DataFrame:
@@ -94,21 +96,22 @@ def load_employees(
     column_types: str | None = None,
     quarantine_path: str | None = None,
     writers: int = 8,
+    escaped: bool = False,
 ) -> dict[str, int]:
     """CSV to relational table; nothing is written unless the clean rows keep the table's contract.
 
-    Returns the reject funnel with the number of malformed lines, how many accepted rows have no readable
-    salary (they are Senior), and how many rows were new to the table.
+    Returns the reject funnel with the numbers of malformed lines and, by column, of unreadable cells, how many accepted rows have no readable
+    salary (they are Senior), and how many rows were new to the table. `escaped` is for files of write_csv().
     """
     pin_settings(spark)
     as_of = as_of or datetime.now(timezone.utc).date()
     # CSV is parsed once, as text; the steps below then read only the columns they need.
-    with scratch_table(read_csv_text(spark, csv_path, corrupt=CORRUPT), "employees-raw") as text, sized_for(spark, text):
+    with scratch_table(read_csv_text(spark, csv_path, corrupt=CORRUPT, escaped=escaped), "employees-raw") as text, sized_for(spark, text):
         raw = type_columns(text.drop(CORRUPT))
         with scratch_table(clean_employees(raw, as_of), "employees-clean") as clean:
             contracts.require(check_clean_employees(contracts.enforce_schema(clean, CLEAN_EMPLOYEE)))
             if quarantine_path:
                 write_parquet(quarantine_delivered(text, as_of), quarantine_path)
             added = append_rows(clean, url, table, ["employee_id"], driver, user, password, column_types, writers)
-            counts = {r["stage"]: r["rows"] for r in reject_funnel(type_columns(text), as_of, CORRUPT).collect()}
+            counts = {r["stage"]: r["rows"] for r in reject_funnel(type_columns(text, unreadable=unreadable_cells()), as_of, CORRUPT, list(cell_readers())).collect()}
             return {**counts, "salary_missing": clean.filter("salary IS NULL").count(), "added": added}

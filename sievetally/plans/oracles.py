@@ -83,7 +83,9 @@ EMP = f"""emp AS (
                 || lpad(CAST(CAST(floor(abs(c_acctbal)) AS BIGINT) % 1000 AS VARCHAR), 3, '0')
               ELSE CAST(CAST(floor(abs(c_acctbal) * 10) AS BIGINT) AS VARCHAR) END AS salary,
          CAST(CASE WHEN c_custkey % 2 = 0 THEN 5000 + c_custkey % 201 END AS INT) AS manager_id,
-         CAST(c_custkey % 999 AS VARCHAR) || ', "Lake View" Road, Block ' || CAST(c_nationkey AS VARCHAR) AS address,
+         CAST(c_custkey % 999 AS VARCHAR) || ', "Lake View" Road,'
+           || CASE c_custkey % 11 WHEN 0 THEN chr(10) WHEN 1 THEN chr(13) || chr(10) WHEN 2 THEN ' 5%0A ' ELSE ' ' END
+           || 'Block ' || CAST(c_nationkey AS VARCHAR) AS address,
          {_entry(CITIES)} AS city,
          {_entry(STATES)} AS state,
          lpad(CAST(c_custkey % 1000000 AS VARCHAR), 6, '0') AS zip_code,
@@ -272,6 +274,18 @@ _FOUND = {
 
 # Cells that do not parse, by the number in the zip code; lines cut after five cells have no others.
 _BAD = {"employee_id": "k % 31 = 4", "hire_date": "k % 29 = 3"}
+LINE_IS_BAD = "(k % 43 = 5 OR k % 47 = 6)"
+# The employees as they were before they became lines, and as they come back from lines.
+EMP_LINES = EMP.replace("emp AS (", "delivered AS (", 1) + ", lines AS (SELECT *, CAST(zip_code AS INT) AS k FROM delivered)"
+
+
+def _from_line(column: str) -> str:
+    lost = _BAD.get(column, "FALSE") + ("" if column in EMPLOYEE.names[:5] else " OR k % 43 = 5")
+    value = "regexp_replace(address, '\\r?\\n', ' ', 'g')" if column == "address" else column
+    return f"CASE WHEN {lost} THEN NULL ELSE {value} END AS {column}"
+
+
+EMP_AS_LINES = EMP_LINES + f", emp AS (SELECT {', '.join(map(_from_line, EMPLOYEE.names))}, k FROM lines)"
 
 ORACLES: dict[str, str] = {
     "daily_totals": DAILY_ALL + "SELECT * FROM daily",
@@ -350,12 +364,21 @@ UNION ALL SELECT 'run-2', 'customer_transactions', 'WRITE', 'Overwrite', count(*
     "normalize_status": EMP_ALL + f"SELECT zip_code, status AS status_text, {STATUS} AS status FROM emp",
     "sql_count": CLEAN_ALL + "SELECT count(*) AS employees FROM clean",
     "sql_sample": CLEAN_ALL + "SELECT employee_id, full_name, salary FROM clean ORDER BY employee_id LIMIT 5",
-    "csv_scan_typed": EMP_ALL
-    + "SELECT "
-    + ", ".join(
-        f"CASE WHEN {_BAD.get(c, 'FALSE')}{'' if c in EMPLOYEE.names[:5] else ' OR k % 43 = 5'} THEN NULL ELSE {c} END AS {c}" for c in EMPLOYEE.names
-    )
-    + ", k % 43 = 5 OR k % 47 = 6 AS corrupt_line FROM (SELECT *, CAST(zip_code AS INT) AS k FROM emp)",
+    "csv_scan_typed": _with(EMP_AS_LINES) + f"SELECT {', '.join(EMPLOYEE.names)}, {LINE_IS_BAD} AS corrupt_line FROM emp",
+    "unreadable_cells": _with(EMP_LINES)
+    + """SELECT column_name, cell, count(*) AS rows FROM (
+  SELECT 'employee_id' AS column_name, 'x' || CAST(employee_id AS VARCHAR) AS cell FROM lines WHERE k % 31 = 4
+  UNION ALL SELECT 'hire_date', 'notadate' FROM lines WHERE k % 29 = 3
+  UNION ALL SELECT 'salary', salary FROM lines WHERE salary IS NOT NULL AND k % 43 <> 5 AND """
+    + f"{SALARY} IS NULL) GROUP BY ALL",
+    "reject_funnel_lines": _with(EMP_AS_LINES, JUDGED)
+    + _union(
+        ["SELECT 'raw' AS stage, count(*) AS rows FROM judged"]
+        + [f"SELECT '{v}', count(*) FROM judged WHERE verdict = '{v}'" for v in VERDICTS]
+        + [f"SELECT 'corrupt_line', count(*) FROM lines WHERE {LINE_IS_BAD}"]
+        + [f"SELECT 'unreadable_{c}', count(*) FROM lines WHERE {_BAD.get(c, 'FALSE')}" for c in ["employee_id", "hire_date", "manager_id", "birth_date"]]
+        + [f"SELECT 'unreadable_salary', count(*) FROM lines WHERE salary IS NOT NULL AND k % 43 <> 5 AND {SALARY} IS NULL"]
+    ),
     "csv_roundtrip": EMP_ALL
     + "SELECT "
     + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in EMPLOYEE.names)

@@ -1,4 +1,5 @@
 import threading
+import time
 from datetime import date, datetime, timedelta, timezone
 from functools import partial
 from pathlib import Path
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from sievetally import session
 from sievetally.operators.contracts import ContractViolation, enforce_schema
+from sievetally.operators.cells import cell_report, unreadable_cells
 from sievetally.operators.rejects import reject_funnel
 from sievetally.plans import transactions as plans
 from sievetally.plans.catalog import CLEAN_TABLE, DERBY_DRIVER, STAGING_TYPES
@@ -25,7 +27,7 @@ from sievetally.sinks.managed import (
     unregister_table,
     upsert,
 )
-from sievetally.sinks.relational import append_rows, run_in_transaction
+from sievetally.sinks.relational import append_rows, run_in_transaction, staging_tables, sweep_staging
 from sievetally.sinks.serving import (
     SERVED,
     load_serving,
@@ -138,8 +140,18 @@ def test_csv_never_has_more_rows_than_it_got(spark, scratch):
     df = spark.createDataFrame([(t,) for t in texts], "address string").select(*[(F.col(c) if c == "address" else F.lit("x")).alias(c) for c in EMPLOYEE_TEXT.names])
     write_csv(df, f"{scratch}/csv")
     back = read_csv_text(spark, f"{scratch}/csv", corrupt="bad").cache()
-    assert sorted(r["address"] for r in back.collect()) == ['" "', "a b", "c d", "e f", "g"]
-    assert back.filter("bad IS NOT NULL").count() == 0
+    assert len(back.collect()) == len(texts) and back.filter("bad IS NOT NULL").count() == 0
+    assert {r["address"] for r in read_csv_text(spark, f"{scratch}/csv", escaped=True).collect()} == set(texts)
+
+
+def test_line_breaks_come_back(spark, scratch):
+    texts = ["a\nb", "\r\n", "5%", "%0A", "%250A", "%%0D\r", "%25", "%2\n5", "%\n", "%%25", "\n%0a", 'x"\n"y,', "%0\nA"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    write_csv(df, f"{scratch}/csv")
+    files = [p.read_text() for p in Path(f"{scratch}/csv").glob("part-*")]
+    assert sum(f.count("\n") for f in files) == len(texts) + len([f for f in files if f])
+    back = read_csv_text(spark, f"{scratch}/csv", T.StructType.fromDDL("id string, t string"), escaped=True)
+    assert {int(r["id"]): r["t"] for r in back.collect()} == dict(enumerate(texts))
 
 
 # --- managed tables -----------------------------------------------------------------------------
@@ -443,6 +455,47 @@ def test_append_is_repeatable_and_all_or_nothing(spark, derby):
     assert stored() == before
 
 
+PEOPLE = "CREATE TABLE people (id INTEGER NOT NULL PRIMARY KEY, email VARCHAR(20) NOT NULL UNIQUE)"
+
+
+def append_people(spark, derby, pairs):
+    df = spark.createDataFrame(pairs, "id int, email string").repartition(2)
+    return append_rows(df, derby, "people", ["id"], DERBY_DRIVER, column_types="email VARCHAR(20)")
+
+
+def test_loads_at_the_same_time_all_add_their_rows(spark, derby):
+    """Their keys overlap, so that a row is in two loads at once."""
+    run_in_transaction(spark, derby, [PEOPLE], DERBY_DRIVER)
+    added, errors = {}, []
+
+    def load(n):
+        try:
+            added[n] = append_people(spark, derby, [(i, f"u{i}@x.co") for i in range(10 * n, 10 * n + 15)])
+        except Exception as error:
+            errors.append(error)
+
+    threads = [threading.Thread(target=load, args=(n,)) for n in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not errors and sum(added.values()) == 45
+    assert sorted(r["id"] for r in read_table(spark, derby, "people", "ID", driver=DERBY_DRIVER).collect()) == list(range(45))
+    assert staging_tables(spark, derby, "people", DERBY_DRIVER) == {}
+
+
+def test_a_failed_load_leaves_no_staging_table(spark, derby):
+    run_in_transaction(spark, derby, [PEOPLE], DERBY_DRIVER)
+    with pytest.raises(Exception, match="(?i)unique|duplicate"):
+        append_people(spark, derby, [(1, "same@x.co"), (2, "same@x.co")])
+    assert staging_tables(spark, derby, "people", DERBY_DRIVER) == {}
+    dead, live = (f"people_staging_{int(t):x}_0" for t in (1, time.time()))
+    run_in_transaction(spark, derby, [f"CREATE TABLE {t} (x INTEGER)" for t in (dead, live)], DERBY_DRIVER)
+    assert [n.lower() for n in sweep_staging(spark, derby, "people", DERBY_DRIVER)] == [dead]
+    assert [n.lower() for n in staging_tables(spark, derby, "people", DERBY_DRIVER)] == [live]
+    assert append_people(spark, derby, [(3, "c@x.co")]) == 1
+
+
 def test_read_of_an_empty_table(spark, derby):
     run_in_transaction(spark, derby, ["CREATE TABLE nothing (id INTEGER)"], DERBY_DRIVER)
     assert read_table(spark, derby, "nothing", "ID", driver=DERBY_DRIVER).count() == 0
@@ -474,8 +527,18 @@ def test_quarantine_keeps_what_was_delivered(spark, scratch, tmp_path):
     assert set(lost) == {"a@x.co", "b@x.co"}
     assert (lost["a@x.co"]["hire_date"], lost["a@x.co"]["reject_reason"], lost["a@x.co"]["copies"]) == ("notadate", "null_required", 2)
     assert (lost["b@x.co"]["employee_id"], lost["b@x.co"][CORRUPT]) == ("x2", lines[1])
-    funnel = {r["stage"]: r["rows"] for r in reject_funnel(type_columns(text), AS_OF, CORRUPT).collect()}
+    assert lost["a@x.co"]["unreadable"] == ["hire_date"] and lost["b@x.co"]["unreadable"] == ["employee_id"]
+    typed = type_columns(text, unreadable=unreadable_cells())
+    funnel = {r["stage"]: r["rows"] for r in reject_funnel(typed, AS_OF, CORRUPT, ["employee_id", "hire_date", "salary"]).collect()}
     assert (funnel["raw"], funnel["null_required"], funnel["accepted"], funnel["corrupt_line"]) == (4, 3, 1, 2)
+    assert [funnel[f"unreadable_{c}"] for c in ("employee_id", "hire_date", "salary")] == [1, 2, 0]
+    assert sorted(map(tuple, cell_report(typed).collect())) == [("employee_id", "x2", 1), ("hire_date", "notadate", 2)]
+
+
+def test_cells_that_are_empty_or_blank(spark):
+    row = {"employee_id": None, "hire_date": " ", "salary": "Rs. 5", "manager_id": "7", "birth_date": " 1990-01-01 "}
+    df = spark.range(1).select(*[F.lit(row.get(c)).cast("string").alias(c) for c in EMPLOYEE_TEXT.names])
+    assert [(x["column_name"], x["cell"]) for x in df.select(unreadable_cells().alias("x")).head()["x"]] == [("hire_date", " "), ("salary", "Rs. 5")]
 
 
 def test_employee_job_stops_at_a_broken_contract(spark, derby, scratch):

@@ -1,23 +1,25 @@
+import math
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sievetally.llm.topk import SlicedBlock, kth_largest, signed_digits, top_k
+from sievetally.llm.topk import SlicedBlock, integers, kth_largest, quantise, signed_digits, top_k
 
 SCHEMA = "vec_id long, embedding array<float>, score string, row string, block string, rank string"
 
 
 def brute(rows, k, scale=256.0, every=50):
     """Rows of (id, vector); every row whose id divides by `every` against all other rows."""
-    good = [(i, np.floor(scale * np.array(v, float))) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    good = [(i, np.array([math.floor(scale * float(np.float32(x))) for x in v], object)) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
     width = max((len(v) for _, v in good), default=0)
-    grid = [(i, np.pad(v, (0, width - len(v)))) for i, v in good]
+    grid = [(i, [*v, *[0] * (width - len(v))]) for i, v in good]
     out = []
     for q, (i, v) in enumerate(grid):
         if i is None or i % every:
             continue
-        others = sorted(((-int(v @ w), j is None, j) for c, (j, w) in enumerate(grid) if c != q))[:k]
+        others = sorted(((-sum(a * b for a, b in zip(v, w, strict=True)), j is None, j) for c, (j, w) in enumerate(grid) if c != q))[:k]
         out += [(i, rank + 1, j, -s) for rank, (s, _, j) in enumerate(others)]
     return sorted(out, key=str)
 
@@ -40,15 +42,16 @@ def test_block_agrees_with_products(seed, drop_bits, k, n):
     rng = np.random.default_rng(seed)
     values = rng.integers(-300, 300, (n, 7)) * rng.integers(0, 2, (n, 1))
     weights = rng.integers(-300, 300, 7)
-    block = SlicedBlock(values, drop_bits)
+    block = SlicedBlock.build(values, drop_bits)
+    block = SlicedBlock.unpacked(n, drop_bits, **block.packed())
     order = rng.permutation(n)
     scores = values @ weights
     but = int(rng.integers(0, n))
     want = [i for i in np.lexsort((order, -scores)) if i != but][:k]
-    rows, got = block.top(weights, k, but, order)
-    assert rows.tolist() == want and got.tolist() == scores[want].tolist()
+    rows, got = block.top(weights.tolist(), k, but, order)
+    assert rows == want and got == scores[want].tolist()
     if drop_bits == 0:
-        sums = block.sums(weights)
+        sums = block.sums(weights.tolist())
         assert kth_largest(sums, block.rows, 1) == max(kth_largest(sums, block.rows, j) for j in range(1, n + 1))
 
 
@@ -78,6 +81,30 @@ def test_few_rows_and_none(spark):
     assert found(spark, []) == []
 
 
-def test_huge_components_stay_in_range(spark):
-    rows = found(spark, [(0, [1e30, 1.0]), (1, [1e30, -1.0]), (2, [-1e30, 1.0])], k=2)
-    assert [r[2] for r in rows] == [1, 2]
+def test_huge_components_are_not_cut(spark):
+    """Scores fit a long, components are beyond any narrower type."""
+    rows = [(0, [1.0, 0.0]), (1, [3e5, 1.0]), (2, [9e5, 1.0]), (3, [-1e13, 5.0]), (4, [1e13, 7.0]), (5, [1e12, -1e16]), (6, [0.0, 1e30])]
+    assert found(spark, rows) == brute(rows, 5)
+    assert [r[2] for r in brute(rows, 5)] == [4, 5, 2, 1, 6]
+
+
+def test_products_beyond_64_bits_rank_right(spark):
+    """Sums that overflow on the way, or are worst, must not disturb the best: the bound of a block is checked, not the luck of a sum."""
+    rng = np.random.default_rng(4)
+    wide = [(i, (1e6 * rng.normal(size=2048)).astype(np.float32).tolist()) for i in range(120)]
+    assert found(spark, wide) == brute(wide, 5)
+    opposite = [(0, [9e5] * 2048), (1, [-9e5] * 2048), (2, [1.0] * 2048), (3, [9e5, -9e5] * 1024)]
+    assert found(spark, opposite, k=2) == brute(opposite, 2) == found(spark, opposite, k=2, block_rows=1)
+    far = [(0, [1e18, 1e18, 0.0]), (1, [1e18, -1e18, 5.0]), (2, [0.0, 1e-3, 9.0]), (3, [-1e20, 0.0, 1.0])]
+    assert found(spark, far, k=2) == brute(far, 2)
+
+
+def test_a_score_beyond_a_long_is_an_error(spark):
+    with pytest.raises(Exception, match="(?i)overflow"):
+        found(spark, [(0, [1e30]), (1, [1e30])])
+
+
+@pytest.mark.parametrize("most, kind", [(100, np.int8), (300, np.int16), (40_000, np.int32), (3e9, np.int64), (1e19, np.float64)])
+def test_values_travel_in_their_narrowest_type(most, kind):
+    values = quantise([[most, -1.5], [2.0]], 1.0)
+    assert values.dtype == kind and integers(values).tolist() == [[int(most), -2], [2, 0]]

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievetally.llm.terms import mark_table, marked, with_marks
 from sievetally.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -29,11 +30,10 @@ PATTERNS = {
 }
 # A text without these has no find of the kind.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": "+"}
-# Runs of words with a digit or an @: what a base find, or an unseen identifier, stands in.
-CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?:\x20[^\s0-9@]*+[0-9@]\S*+)*+"
+# What a base find, or an unseen identifier, stands in: a word with an @, a run of words of digits and signs, or a word of letters and digits.
+CANDIDATE = r"(?<!\S)(?:[^\s@]*+@\S*+|[^\s@\p{L}0-9]*+[0-9][^\s@\p{L}]*+(?!\S)(?:\x20[^\s@\p{L}0-9]*+[0-9][^\s@\p{L}]*+(?!\S))*+|[^\s@0-9]*+[0-9][^\s@]*+(?!\S))"
 # What of a candidate is the identifier: from its first to its last letter, digit or opening sign.
 CORE = r"[\p{L}\p{N}+(](?s:.*[\p{L}\p{N})])?"
-CORE_CHARS = (6, 64)
 # Candidates that may be personal data of a kind at all.
 SHAPES = {
     "email": r"^[^\s@]+@[^\s@]+$",
@@ -41,11 +41,15 @@ SHAPES = {
     "card": r"^(?=(\D*[0-9]){12,19}\D*$)[0-9][0-9 .-]+[0-9]$",
     "phone": r"^(?=(\D*[0-9]){7,15}\D*$)[+(]?[0-9][0-9 ().-]+[0-9]$",
 }
-CONTEXT_CHARS = 80
 ROUNDS = 3
 LEAST_SCORE = 0.8
 LEAST_SEEDS = 5
 _BLOCK = 256
+# Bits of the marks of texts with discovered identifiers: 2 MB. With more such texts than an eighth of that, others are joined with them in vain.
+MARK_BITS = 1 << 24
+# Parts of the copies of one text where they are joined.
+SALT = 16
+SPANS = "array<struct<kind:int,start:int,stop:int>>"
 
 
 def _starts(steps: Column) -> Column:
@@ -77,29 +81,34 @@ def _valid(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
-def find(df: DataFrame, text: str, pattern: str, hint: str, out: str) -> DataFrame:
-    """df with `out`: array<struct<start, stop, found, before, after>> of the leftmost finds of pattern that do not overlap.
+def find(df: DataFrame, text: str, pattern: str, hint: str, out: str, context: bool = False) -> DataFrame:
+    """df with `out`: array<struct<start, stop, found>> of the leftmost finds of pattern that do not overlap.
 
-    start and stop count code points, stop exclusive; before and after are up to CONTEXT_CHARS characters between the
-    find and its neighbours. Temporary columns begin with `out`.
+    start and stop count code points, stop exclusive. With `context`, for patterns that find whole words, also before, the two words before the find, the
+    nearest first, and after, the word after it; empty where there is none. Temporary columns begin with `out`.
     """
     hits, gaps, ends = f"{out}_hits", f"{out}_gaps", f"{out}_ends"
     near = _hint(F.col(text), hint)
     df = df.withColumn(hits, F.when(near, F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))))
     df = df.withColumn(gaps, F.when(F.size(hits) > 0, F.split(F.col(text), pattern, -1)))
     df = df.withColumn(ends, F.when(F.col(gaps).isNotNull(), _starts(F.zip_with(hits, F.slice(gaps, 1, F.size(hits)), lambda h, g: F.length(h) + F.length(g)))))
-    found = F.transform(
-        hits,
-        lambda h, i: F.struct(
-            (F.get(ends, i) - F.length(h)).alias("start"),
-            F.get(ends, i).alias("stop"),
-            h.alias("found"),
-            F.right(F.get(gaps, i), F.lit(CONTEXT_CHARS)).alias("before"),
-            F.left(F.get(gaps, i + 1), F.lit(CONTEXT_CHARS)).alias("after"),
-        ),
-    )
-    empty = F.array().cast("array<struct<start:int,stop:int,found:string,before:string,after:string>>")
-    return df.withColumn(out, F.when(F.col(gaps).isNotNull(), found).otherwise(empty)).drop(hits, gaps, ends)
+
+    def at(column: str, i: Column) -> Column:
+        return F.when(i >= 0, F.get(column, i)).otherwise(F.lit(""))
+
+    def described(h: Column, i: Column) -> Column:
+        fields = [(F.get(ends, i) - F.length(h)).alias("start"), F.get(ends, i).alias("stop"), h.alias("found")]
+        if context:
+            # A find has a word at least, so two finds back and one ahead hold all the words asked for.
+            back = F.reverse(F.concat(F.when(i < 2, at(gaps, i - 2)).otherwise(F.lit("")), at(hits, i - 2), at(gaps, i - 1), at(hits, i - 1), F.get(gaps, i)))
+            words = [F.reverse(F.regexp_extract(back, r"^\s*(\S+)(?:\s+(\S+))?", k)) for k in (1, 2)]
+            ahead = F.concat(F.get(gaps, i + 1), F.coalesce(F.get(hits, i + 1), F.lit("")))
+            fields += [F.array(*words).alias("before"), F.regexp_extract(ahead, r"^\s*(\S+)", 1).alias("after")]
+        return F.struct(*fields)
+
+    more = ",before:array<string>,after:string" if context else ""
+    empty = F.array().cast(f"array<struct<start:int,stop:int,found:string{more}>>")
+    return df.withColumn(out, F.when(F.col(gaps).isNotNull(), F.transform(hits, described)).otherwise(empty)).drop(hits, gaps, ends)
 
 
 def _kept(k: int, finds: Column) -> Column:
@@ -121,10 +130,9 @@ def base_spans(df: DataFrame, text: str, out: str) -> DataFrame:
     return df.withColumn(out, F.concat(*parts)).drop(*parts)
 
 
-def _word(text: Column, pattern: str, edge: str) -> Column:
-    """The word that pattern takes from a context, in lower case with digits as 0; edge where there is none."""
-    word = F.regexp_replace(F.lower(F.regexp_extract(text, pattern, 1)), "[0-9]", "0")
-    return F.when(word == "", F.lit(edge)).otherwise(word)
+def _word(word: Column, edge: str) -> Column:
+    """A word of a context, in lower case with digits as 0; edge where there is none."""
+    return F.when(word == "", F.lit(edge)).otherwise(F.regexp_replace(F.lower(word), "[0-9]", "0"))
 
 
 def _occurrences(scanned: DataFrame) -> DataFrame:
@@ -135,11 +143,10 @@ def _occurrences(scanned: DataFrame) -> DataFrame:
     rows = scanned.select("key", "base", F.explode("candidates").alias("c"))
     core = F.regexp_extract("c.found", CORE, 0)
     rows = rows.select("key", "base", "c", core.alias("value"), (F.instr("c.found", core) - 1 + F.col("c.start")).alias("start"))
-    rows = rows.withColumn("stop", F.col("start") + F.length("value")).where(F.length("value").between(*CORE_CHARS))
+    rows = rows.withColumn("stop", F.col("start") + F.length("value")).where("value <> ''")
     inside = F.filter("base", lambda b: (b["start"] < F.col("c.stop")) & (b["stop"] > F.col("c.start")))
-    first, second = _word(F.col("c.before"), r"(\S+)\s*$", "<start>"), _word(F.col("c.before"), r"(\S+)\s+\S+\s*$", "<start>")
-    after = _word(F.col("c.after"), r"^\s*(\S+)", "<end>")
-    patterns = F.array(F.concat_ws(" ", F.lit("<<"), second, first), F.concat_ws(" ", F.lit("<>"), first, after))
+    first, second = (_word(F.col("c.before")[k], "<start>") for k in (0, 1))
+    patterns = F.array(F.concat_ws(" ", F.lit("<<"), second, first), F.concat_ws(" ", F.lit("<>"), first, _word(F.col("c.after"), "<end>")))
     return rows.select("key", "start", "stop", "value", F.get(inside, F.lit(0))["kind"].alias("seed"), F.explode(patterns).alias("pattern"))
 
 
@@ -166,16 +173,20 @@ def _sure_patterns(seen: DataFrame, rounds: int, least_score: float, least_seeds
         patterns = cut_lineage(patterns.where(F.col("score") >= least_score).select("pattern", "kind", "score"), "sure_patterns")
         if turn < rounds - 1:
             new = edges.where("seed IS NULL").join(patterns, "pattern").where(_shaped())
-            known = seeds.unionByName(new.groupBy("value", "kind").agg(F.max("score").alias("sure")))
+            known = seeds.unionByName(new.select("value", "kind", F.col("score").alias("sure"))).groupBy("value", "kind").agg(F.max("sure").alias("sure"))
     return patterns
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, key, base, candidates) of every row, written; key is a digest of the text, which alone decides all finds."""
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_rows: bool = False) -> DataFrame:
+    """(doc_id, key, base, candidates) of every row, written; key is a digest of the text, which alone decides all finds.
+
+    With keep_rows also the row itself, as a struct `row`, so that whole rows go on from what is written without being shuffled.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("key", F.md5(F.col("text").cast("binary")))
-    rows = find(base_spans(rows, "text", "base"), "text", CANDIDATE, "[0-9@]", "candidates")
-    return cut_lineage(rows.select("doc_id", "key", "base", "candidates"), "scanned")
+    rows = docs.select(*([F.struct(*docs.columns).alias("row")] if keep_rows else []), F.col(id_col).alias("doc_id"), text.alias("text"))
+    rows = rows.withColumn("key", F.md5(F.col("text").cast("binary")))
+    rows = find(base_spans(rows, "text", "base"), "text", CANDIDATE, "[0-9@]", "candidates", context=True)
+    return cut_lineage(rows.drop("text"), "scanned")
 
 
 def discovered(scanned: DataFrame, rounds: int = ROUNDS, least_score: float = LEAST_SCORE, least_seeds: int = LEAST_SEEDS) -> DataFrame:
@@ -188,15 +199,29 @@ def discovered(scanned: DataFrame, rounds: int = ROUNDS, least_score: float = LE
     return new.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "stop"))).alias("added"))
 
 
-def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _with_added(scanned: DataFrame, mark_bits: int) -> DataFrame:
+    """scanned with `spans`: the base finds and the discovered ones, by kind, then start.
+
+    Rows are looked up in the discovered finds only where a mark of bounded size says that their text may have some; all others stay
+    where they are. Copies of one text are dealt over SALT parts.
+    """
+    added = cut_lineage(discovered(scanned), "added")
+    marks = cut_lineage(mark_table(added.select(F.xxhash64("key").alias("hash")), mark_bits, may_have="TRUE"), "marks")
+    rows = with_marks(scanned.withColumn("hash", F.xxhash64("key")), marks, mark_bits)
+    plain = rows.where(~marked("may_have")).withColumn("spans", F.col("base"))
+    salted = added.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    looked = rows.where(marked("may_have")).withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALT)).cast("int")).join(salted, ["key", "salt"], "left")
+    looked = looked.withColumn("spans", F.array_sort(F.concat("base", F.coalesce("added", F.array().cast(SPANS)))))
+    return plain.select(*scanned.columns, "spans").unionByName(looked.select(*scanned.columns, "spans"))
+
+
+def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark_bits: int = MARK_BITS) -> DataFrame:
     """(doc_id, base, spans) of every row: array<struct<kind, start, stop>>, by kind as in KINDS, then start.
 
     spans holds the base finds and the discovered ones. A null text is an empty one and has none; repeated rows and null
     ids stay as they are. Equal texts have equal finds, and count once as evidence.
     """
-    scanned = scan(docs, id_col, text_col)
-    rows = scanned.select("doc_id", "key", "base").join(discovered(scanned), "key", "left")
-    return rows.select("doc_id", "base", F.array_sort(F.concat("base", F.coalesce("added", F.array().cast("array<struct<kind:int,start:int,stop:int>>")))).alias("spans"))
+    return _with_added(scan(docs, id_col, text_col), mark_bits).select("doc_id", "base", "spans")
 
 
 def span_text(spans: Column) -> Column:
@@ -205,21 +230,25 @@ def span_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """docs with every span in text_col replaced by its kind, as in [EMAIL]; overlapping spans by the kind of the first, up to the end of the last. Null texts stay null."""
-    own = docs.columns
-    key = "__key"
-    added = discovered(scan(docs, id_col, text_col)).select(F.col("key").alias(key), F.col("added").alias("__added"))
-    rows = docs.withColumn(key, F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))).join(added, key, "left")
-    rows = base_spans(rows.withColumn("__text", F.coalesce(F.col(text_col), F.lit(""))), "__text", "__spans")
-    spans = F.array_sort(F.transform(F.concat("__spans", F.coalesce("__added", F.array().cast("array<struct<kind:int,start:int,stop:int>>"))), lambda s: F.struct(s["start"].alias("start"), (-s["stop"]).alias("last"), s["kind"].alias("kind"))))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+def _redacted(text: Column, spans: Column) -> Column:
+    """The text with every span replaced by its kind; spans are sorted by start, those of one start by falling stop."""
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def replace(done: Column, s: Column) -> Column:
-        piece = F.concat(F.substring("__text", done["at"] + 1, s["start"] - done["at"]), F.get(names, s["kind"]))
+        piece = F.concat(F.substring(text, done["at"] + 1, s["start"] - done["at"]), F.get(names, s["kind"]))
         return F.struct(F.greatest(done["at"], -s["last"]).alias("at"), F.when(s["start"] < done["at"], done["parts"]).otherwise(F.concat(done["parts"], F.array(piece))).alias("parts"))
 
-    text = F.aggregate("__sorted", start, replace, lambda done: F.concat(F.array_join(done["parts"], ""), F.substring("__text", done["at"] + 1, F.length("__text"))))
-    rows = rows.withColumn("__sorted", spans).withColumn(text_col, F.when(F.size("__sorted") > 0, text).otherwise(F.col(text_col)))
-    return rows.select(own)
+    return F.aggregate(spans, start, replace, lambda done: F.concat(F.array_join(done["parts"], ""), F.substring(text, done["at"] + 1, F.length(text))))
+
+
+def redact(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", mark_bits: int = MARK_BITS) -> DataFrame:
+    """docs with every span in text_col replaced by its kind, as in [EMAIL]; overlapping spans by the kind of the first, up to the end of the last.
+
+    Null texts stay null, and all other columns, whatever their names, stay as they are.
+    """
+    rows = _with_added(scan(docs, id_col, text_col, keep_rows=True), mark_bits)
+    order = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), (-s["stop"]).alias("last"), s["kind"].alias("kind"))))
+    text = F.col("row").getField(text_col)
+    rows = rows.withColumn("spans", order).withColumn("redacted", F.when(F.size("spans") > 0, _redacted(text, F.col("spans"))).otherwise(text))
+    return rows.select(*(F.col("redacted").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns))

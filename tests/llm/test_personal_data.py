@@ -84,6 +84,130 @@ def test_contexts_of_seeds_discover_unseen_identifiers(spark):
     assert all(rows[i]["spans"] == rows[i]["base"] == "phone:15:30" for i in range(12))
 
 
+SHAPES = {
+    "email": lambda v: re.fullmatch(r"[^ \t\n\x0b\f\r@]+@[^ \t\n\x0b\f\r@]+", v),
+    "ip": lambda v: re.fullmatch(r"[0-9]{1,4}(\.[0-9]{1,4}){3,}", v),
+    "card": lambda v: re.fullmatch(r"[0-9][0-9 .-]+[0-9]", v) and 12 <= len(re.sub("[^0-9]", "", v)) <= 19,
+    "phone": lambda v: re.fullmatch(r"[+(]?[0-9][0-9 ().-]+[0-9]", v) and 7 <= len(re.sub("[^0-9]", "", v)) <= 15,
+}
+
+
+def occurrences(text):
+    """(start, stop, value, seed, patterns) of a text's candidates, word by word."""
+    words = [(m.start(), m.end(), m[0]) for m in re.finditer(r"[^ \t\n\x0b\f\r]+", text)]
+    numeric = [bool(re.search("[0-9]", w)) and "@" not in w and not any(c.isalpha() for c in w) for _, _, w in words]
+    base = [(int(a), int(b), KINDS.index(kind)) for kind, a, b in (x.split(":") for x in brute(text).split(",") if x)]
+    spans, i = [], 0
+    while i < len(words):
+        j = i
+        while numeric[i] and j + 1 < len(words) and numeric[j + 1] and text[words[j][1] : words[j + 1][0]] == " ":
+            j += 1
+        if re.search("[0-9@]", words[i][2]):
+            spans.append((i, j))
+        i = j + 1
+    near = lambda k, edge: re.sub("[0-9]", "0", words[k][2].lower()) if 0 <= k < len(words) else edge
+    for i, j in spans:
+        whole = text[words[i][0] : words[j][1]]
+        letters = [k for k, c in enumerate(whole) if c.isalnum()]
+        first = next((k for k, c in enumerate(whole) if c.isalnum() or c in "+("), None)
+        if first is None:
+            continue
+        last = letters[-1] if letters and letters[-1] >= first else first
+        start, value = words[i][0] + first, whole[first : last + 1]
+        seeds = [k for a, b, k in base if a < words[j][1] and b > words[i][0]]
+        seeds = [k for k in sorted(seeds)]
+        yield start, start + len(value), value, seeds[0] if seeds else None, (f"<< {near(i - 2, '<start>')} {near(i - 1, '<start>')}", f"<> {near(i - 1, '<start>')} {near(j + 1, '<end>')}")
+
+
+def brute_discovered(texts, rounds=3, least_score=0.8, least_seeds=5):
+    """{text: spans beyond the base}, by plain loops over all distinct texts."""
+    seen = [(text, *o) for text in {t or "" for t in texts} for o in occurrences(text)]
+    edges = {}
+    for _, _, _, value, seed, patterns in seen:
+        for p in patterns:
+            old = edges.get((p, value))
+            edges[p, value] = seed if old is None else old if seed is None else max(old, seed)
+    seeds = {(v, s): 1.0 for (_, v), s in edges.items() if s is not None}
+    known, sure = dict(seeds), {}
+    for turn in range(rounds):
+        sure = {}
+        for p in {p for p, _ in edges}:
+            values = [v for q, v in edges if q == p]
+            for k in range(len(KINDS)):
+                scores = [known[v, k] for v in values if (v, k) in known]
+                if len(scores) >= least_seeds and len(values) >= least_seeds and sum(scores) / (len(values) + 1) >= least_score:
+                    sure[p, k] = sum(scores) / (len(values) + 1)
+        known = dict(seeds)
+        for (p, v), s in edges.items():
+            for k in range(len(KINDS)):
+                if s is None and (p, k) in sure and SHAPES[KINDS[k]](v):
+                    known[v, k] = max(known.get((v, k), 0.0), sure[p, k])
+    out = {}
+    for text, start, stop, value, seed, patterns in seen:
+        kinds = [k for p in patterns for k in range(len(KINDS)) if seed is None and (p, k) in sure and SHAPES[KINDS[k]](value)]
+        if kinds:
+            out.setdefault(text, set()).add((min(kinds), start, stop))
+    return {t: sorted(x) for t, x in out.items()}
+
+
+def found_beyond_base(spark, texts, **options):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = personal_data(df, **options).collect()
+    return {texts[r["doc_id"]] or "": [tuple(s) for s in r["spans"] if s not in r["base"]] for r in rows if r["spans"] != r["base"]}
+
+
+def mails(name, n=60):
+    return [f"mail to {name}{i}@x{i}.org today" for i in range(n)]
+
+
+@pytest.mark.parametrize("identifier", ["bob@local", "b@l", "x" * 70 + "@local", "a" * 5000 + "@" + "b" * 5000])
+def test_identifiers_of_any_length(spark, identifier):
+    texts = [*mails("ann"), f"mail to {identifier} today", f"please mail to {identifier}"]
+    got = found_beyond_base(spark, texts)
+    assert got == brute_discovered(texts)
+    assert got[texts[60]] == [(0, 8, 8 + len(identifier))] and got[texts[61]] == [(0, 15, 15 + len(identifier))]
+
+
+def test_identifiers_among_numbers_and_long_words(spark):
+    long = "w" * 200
+    texts = [*mails("ann"), *(f"{long} {long}s u{i}@y{i}.org" for i in range(20))]
+    texts += ["mail to bob@local 17 2024", "mail to bob@local 12 ab3 x", "12 mail to bob@local, 5", f"{long} {long}s eve@host 9", f"{long} {long}z eve@host"]
+    got = found_beyond_base(spark, texts)
+    assert got == brute_discovered(texts)
+    assert [got.get(t) for t in texts[-5:]] == [[(0, 8, 17)], [(0, 8, 17)], [(0, 11, 20)], [(0, 403, 411)], None]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_discoveries_agree_with_plain_loops(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    fillers = ["call", "me", "at", "now", "the", "order", "x1", "7", "2024,", "so-so", "é", "(", "+", "\n", "ip"]
+
+    def identifier():
+        kind = rng.randrange(6)
+        digits = "".join(rng.choices("0123456789", k=10))
+        return [f"u{digits[:3]}@h{digits[3:5]}.org", f"u{digits[:2]}@host", f"+49 170 {digits[:6]}", f"0170 {digits[:6]}", f"10.0.{digits[0]}.{digits[1:3]}", f"300.1.{digits[0]}.{digits[1:3]}"][kind]
+
+    texts = []
+    for _ in range(500):
+        lead = rng.choice(["write to", "call me at", "host is", "room"])
+        parts = [*rng.choices(fillers, k=rng.randrange(4)), lead, identifier(), *rng.choices(fillers, k=rng.randrange(4))]
+        texts.append(" ".join(parts))
+    texts += texts[:50] + [None, ""]
+    options = {"rounds": 3, "least_score": 0.3, "least_seeds": 3}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    scanned = scan(df)
+    key = {r["key"]: texts[r["doc_id"]] or "" for r in scanned.select("key", "doc_id").collect()}
+    got = {key[r["key"]]: [tuple(s) for s in r["added"]] for r in discovered(scanned, **options).collect()}
+    assert got == brute_discovered(texts, **options) and len(got) > 20
+
+
+def test_crowded_marks_change_nothing(spark):
+    texts = [t for _, t in contexts()] * 3
+    assert found_beyond_base(spark, texts, mark_bits=8) == found_beyond_base(spark, texts) == brute_discovered(texts)
+
+
 def test_few_or_doubtful_seeds_discover_nothing(spark):
     few = spark.createDataFrame(contexts()[9:], "doc_id long, text string")
     assert discovered(scan(few)).collect() == []

@@ -34,6 +34,16 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def as_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that no name of theirs can clash with those of an operator; see from_row()."""
+    return F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in df.columns))
+
+
+def from_row(rows: DataFrame, columns: list[str], **replaced: Column) -> DataFrame:
+    """The struct `row` of rows as columns again, some of them replaced."""
+    return rows.select(*(replaced.get(c, F.col("row").getField(c)).alias(c) for c in columns))
+
+
 def fold(id_col: str, folds: int) -> Column:
     """crc32 of the id as text, modulo folds; null for a null id."""
     return F.crc32(F.col(id_col).cast("string")) % folds

@@ -27,9 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievetally.llm.common import release_memory, slices, task_count
+from sievetally.llm.common import as_row, from_row, release_memory, slices, task_count
 from sievetally.llm.components import connected_components
 from sievetally.llm.near_vectors import roots
+from sievetally.llm.terms import mark_table, marked, with_marks
 from sievetally.session import cut_lineage
 
 WORDS = 5
@@ -43,6 +44,8 @@ SKETCH_FAN = 256
 # Sets that a task remembers, so as to send equal ones once; the mark of all sets to be gathered has so many bits.
 MEMO = 500_000
 MARK_BITS = 1 << 23
+# Bits of the marks of rows that stay, and of those that do not: 4 MB each.
+KEPT_BITS = 1 << 25
 # Postings that a task gathers before it sends them.
 FLUSH = 1 << 18
 # Bitmaps, and sets, of one block of a large cluster; for either, shingles at most.
@@ -541,16 +544,25 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return filled.unionByName(empty)
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, mark_bits: int = KEPT_BITS) -> DataFrame:
     """The rows of docs that stay when each component of jaccard_join() keeps one: that of the smallest id, a null id last.
 
-    Ids that repeat are told apart by their texts; of rows equal in both one stays. Rows without words all stay.
+    Ids that repeat are told apart by their texts; of rows equal in both one stays. Rows without words all stay. Columns may have any names.
+
+    Rows are looked up by their key only where marks of bounded size leave their fate open; a row that is surely kept, or surely not, does
+    not move.
     """
-    own = docs.columns
     text = F.coalesce(F.col(text_col), F.lit(""))
-    named = docs.withColumn("__id", F.struct(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"), F.md5(text.cast("binary")).alias("text")))
-    found = jaccard_join(named.select("__id", text_col), "__id", text_col, words, percent)
-    first = found.where("component IS NULL OR doc_id = component_id").groupBy(F.col("doc_id").alias("__id"))
-    first = cut_lineage(first.agg(F.when(F.max("component").isNull(), 1).otherwise(F.count(F.lit(1))).alias("__n")), "kept")
-    rows = named.join(first, "__id")
-    return rows.where("__n = 1").unionByName(rows.where("__n > 1").dropDuplicates(["__id"])).select(own)
+    key = F.struct(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"), F.md5(text.cast("binary")).alias("text"))
+    found = jaccard_join(docs.select(key.alias("key"), F.col(text_col).alias("text")), "key", "text", words, percent)
+    stays = F.col("component").isNull() | (F.col("doc_id") == F.col("component_id"))
+    fates = found.groupBy(F.col("doc_id").alias("key")).agg(F.bool_or(stays).alias("stays"), F.when(F.max("component").isNull(), 1).otherwise(F.count(F.lit(1))).alias("n"))
+    fates = cut_lineage(fates.withColumn("hash", F.xxhash64("key")), "fates")
+    marks = cut_lineage(mark_table(fates, mark_bits, special="NOT stays OR n > 1", staying="stays"), "marks")
+    rows = docs.select(as_row(docs).alias("row"), key.alias("key"))
+    rows = with_marks(rows.withColumn("hash", F.xxhash64("key")), marks, mark_bits)
+    plain = rows.where(~marked("special")).select("row")
+    # Marked as special, and perhaps as staying: by chance, or because it repeats.
+    open_ = rows.where(marked("special") & marked("staying")).select("row", "key").join(fates.where("stays").select("key", "n"), "key")
+    again = open_.where("n > 1").groupBy("key").agg(F.any_value("row").alias("row")).select("row")
+    return from_row(plain.unionByName(open_.where("n = 1").select("row")).unionByName(again), docs.columns)

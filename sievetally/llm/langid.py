@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from sievetally.llm.common import slices
+from sievetally.llm.common import as_row, slices
+from sievetally.session import cut_lineage
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
@@ -28,6 +29,8 @@ ORDERS = (1, 2, 3, 4)
 TRAIN_ROWS = 6000
 # Rows of each language, about, where its part of those is less; all where it has fewer.
 LANGUAGE_ROWS = 200
+# Different labels at most: the table of a model has BUCKETS * 4 bytes for each, and every task holds it.
+MOST_LANGUAGES = 400
 # Share of the correctly labelled calibration rows that the rejection may lose.
 REJECTED_SHARE = 0.0005
 # No score from here on is rejected: an answer likelier than all others together stays.
@@ -183,53 +186,81 @@ def _calibrate(model: LanguageModel, grams: list, y: np.ndarray, rejected_share:
     model.least_score = float(min(MOST_REJECTED, np.quantile(model.right_scores, rejected_share))) if right.any() else 0.0
 
 
-def with_chosen(known: DataFrame, train_rows: int, language_rows: int) -> DataFrame:
-    """known (id, y and others) with `chosen`: whether to learn from the row, by a hash of its id.
+def chosen_below(known: DataFrame, train_rows: int, language_rows: int, most_languages: int) -> DataFrame:
+    """(y, below) for rows (id, y): a row of label y is learned from if choice("id") is below.
 
     Every language has its part of train_rows, or about language_rows where that is more, or all its rows where it has fewer.
-    The driver holds one number for each language.
+    The driver holds one number for each language; more than most_languages of them are an error.
     """
-    counts = known.groupBy("y").agg(F.approx_count_distinct("id", 0.01)).collect()
+    counts = known.groupBy("y").agg(F.approx_count_distinct("id", 0.01)).limit(most_languages + 1).collect()
+    if len(counts) > most_languages:
+        raise ValueError(f"more than {most_languages} different labels: their model would not fit the tasks")
     total = sum(n for _, n in counts)
     below = [(y, int((1 << 30) * min(1.0, max(language_rows, train_rows * n / total) / max(n, 1)))) for y, n in counts]
-    limits = known.sparkSession.createDataFrame(below, StructType([known.schema["y"], StructField("below", LongType())]))
-    return known.join(F.broadcast(limits), "y").withColumn("chosen", F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.col("below")).drop("below")
+    return known.sparkSession.createDataFrame(below, StructType([known.schema["y"], StructField("below", LongType())]))
 
 
-def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", train_rows: int = TRAIN_ROWS, language_rows: int = LANGUAGE_ROWS) -> LanguageModel:
+def choice(id_col: str) -> Column:
+    return F.pmod(F.xxhash64(id_col), F.lit(1 << 30))
+
+
+def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", train_rows: int = TRAIN_ROWS, language_rows: int = LANGUAGE_ROWS, most_languages: int = MOST_LANGUAGES) -> LanguageModel:
     """A model of rows with text and label, from about train_rows of them, but language_rows of each language, chosen by a hash of the id; whole texts.
 
     Tasks send the n-gram shares of those to the driver, not the texts: at most 6 bytes for each of BUCKETS a row.
-    Of repeated ids the least beginning, label and shares count. All labelled rows that it does not learn from calibrate the rejection.
+    Of repeated ids the least beginning, label and shares count. The rejection is calibrated on a quarter of the chosen rows.
     """
+    known = _known(rows, F.lit(True), id_col, text_col, label_col).where("y IS NOT NULL")
+    return _fit_chosen(_with_chosen(known, train_rows, language_rows, most_languages), language_rows)
+
+
+def _known(rows: DataFrame, learnable: Column, id_col: str, text_col: str, label_col: str, *more: Column) -> DataFrame:
+    """(id, t, y and more): y is null where a row is not to be learned from."""
+    known = learnable & F.col(text_col).isNotNull()
+    return rows.select(*more, F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.when(known, F.col(label_col)).alias("y"))
+
 
+def _with_chosen(known: DataFrame, train_rows: int, language_rows: int, most_languages: int) -> DataFrame:
+    below = chosen_below(known.where("y IS NOT NULL").select("id", "y"), train_rows, language_rows, most_languages)
+    joined = known.join(F.broadcast(below), "y", "left")
+    return joined.withColumn("chosen", F.coalesce(choice("id") < F.col("below"), F.lit(False))).drop("below")
+
+
+def _fit_chosen(known: DataFrame, language_rows: int) -> LanguageModel:
     @F.pandas_udf("found binary, shares binary")
     def grams(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = [features(t) or (None, None) for t in texts]
             yield pd.DataFrame([[None if a is None else a.tobytes() for a in row] for row in rows], columns=["found", "shares"])
 
-    known = rows.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull())
-    known = known.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.col(label_col).alias("y"))
-    known = with_chosen(known, train_rows, language_rows)
     # Beginnings only put the rows in a fixed order for the driver, that of their texts.
     sample = known.where("chosen").select("id", F.struct(F.substring("t", 1, 64).alias("begins"), "y", grams("t").alias("x")).alias("row"))
     sample = sample.groupBy("id").agg(F.min("row").alias("row")).where("row.x.found IS NOT NULL").select("row.begins", "row.y", "row.x.found", "row.x.shares").collect()
     sample.sort(key=lambda r: (r["begins"], r["y"], bytes(r["found"]), bytes(r["shares"])))
     own = [(np.frombuffer(r["found"], np.uint16), np.frombuffer(r["shares"], np.float32)) for r in sample]
-    model = train_features(own, [r["y"] for r in sample], language_rows=language_rows)
-    others = known.where("NOT chosen")
-    return _reject_by(others, model) if model.languages != [UNDETERMINED] else model
+    return train_features(own, [r["y"] for r in sample], language_rows=language_rows)
 
 
-def _reject_by(others: DataFrame, model: LanguageModel) -> LanguageModel:
-    """model with the rejection fitted on the right answers of all rows that it did not learn from: the others (t, y), and those held out of the sample."""
-    # Not a filter, which would be pushed below the scores and have them computed twice. Percentiles leave nulls out.
-    scored = others.select("y", language(model, others, F.col("t")).alias("found")).select(F.when(F.expr("found.lang = y"), F.col("found.score")).alias("score"))
-    held = others.sparkSession.createDataFrame([(float(x),) for x in model.right_scores], "score double")
+def learn_and_identify(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", train_rows: int = TRAIN_ROWS, language_rows: int = LANGUAGE_ROWS, most_languages: int = MOST_LANGUAGES, keep_rows: bool = False) -> DataFrame:
+    """(doc_id, lang_pred, score, rejected), with keep_rows also the row itself as a struct `row`, of every row, whole texts.
+
+    A model is fitted as by fit() on the learnable rows that have text and label. Every text is scored once, into a written table; the
+    rejection is the REJECTED_SHARE percentile of the right answers among all learnable rows that were not learned from, and so
+    behaves alike at every size. A null text and one without a letter are und with score 0 and rejected; repeated rows and null ids
+    stay as they are. Without a learnable row all are und.
+    """
+    row = [as_row(docs).alias("row")] if keep_rows else []
+    known = _with_chosen(_known(docs, learnable, id_col, text_col, label_col, *row), train_rows, language_rows, most_languages)
+    model = _fit_chosen(known, language_rows)
+    scored = known.select(*(["row"] if keep_rows else []), "id", "y", "chosen", language(model, docs, F.col("t")).alias("found"))
+    scored = cut_lineage(scored, "languages")
+    right = scored.where("NOT chosen AND found.lang = y").select("found.score")
+    held = docs.sparkSession.createDataFrame([(float(x),) for x in model.right_scores], "score double")
     # Percentiles are of ranks within 1 / 200,000 of all rows.
-    least = scored.union(held).agg(F.percentile_approx("score", REJECTED_SHARE, 200_000)).first()[0]
-    return replace(model, least_score=0.0 if least is None else min(MOST_REJECTED, least))
+    least = right.union(held).agg(F.percentile_approx("score", REJECTED_SHARE, 200_000)).first()[0]
+    least = 0.0 if least is None else min(MOST_REJECTED, least)
+    rejected = (F.col("found.lang") == UNDETERMINED) | (F.col("found.score") < least)
+    return scored.select(*(["row"] if keep_rows else []), F.col("id").alias("doc_id"), F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"), rejected.alias("rejected"))
 
 
 def language(model: LanguageModel, df: DataFrame, text: Column) -> Column:

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievetally.llm.common import as_row, from_row
 from sievetally.llm.terms import mark_table, marked, with_marks
 from sievetally.session import cut_lineage
 
@@ -183,7 +184,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_r
     With keep_rows also the row itself, as a struct `row`, so that whole rows go on from what is written without being shuffled.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(*([F.struct(*docs.columns).alias("row")] if keep_rows else []), F.col(id_col).alias("doc_id"), text.alias("text"))
+    rows = docs.select(*([as_row(docs).alias("row")] if keep_rows else []), F.col(id_col).alias("doc_id"), text.alias("text"))
     rows = rows.withColumn("key", F.md5(F.col("text").cast("binary")))
     rows = find(base_spans(rows, "text", "base"), "text", CANDIDATE, "[0-9@]", "candidates", context=True)
     return cut_lineage(rows.drop("text"), "scanned")
@@ -251,4 +252,4 @@ def redact(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", mark
     order = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), (-s["stop"]).alias("last"), s["kind"].alias("kind"))))
     text = F.col("row").getField(text_col)
     rows = rows.withColumn("spans", order).withColumn("redacted", F.when(F.size("spans") > 0, _redacted(text, F.col("spans"))).otherwise(text))
-    return rows.select(*(F.col("redacted").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns))
+    return from_row(rows, docs.columns, **{text_col: F.col("redacted")})

@@ -53,13 +53,12 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by a model of three quarters of them."""
-    docs = table(spark, sf_dir, "documents")
-    found = langid.identify(docs, language_model(docs))
+    found = identify_languages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
-def language_model(docs: DataFrame) -> langid.LanguageModel:
-    return langid.fit(docs.where(fold("doc_id", 4) != 2))
+def identify_languages(docs: DataFrame, keep_rows: bool = False) -> DataFrame:
+    return langid.learn_and_identify(docs, fold("doc_id", 4) != 2, keep_rows=keep_rows)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,8 @@ def edge_docs(spark):
     """Awkward texts, repeated rows, a null id, and columns named as the operators name theirs."""
     rows = [(i, t, "en", "s", 0) for i, t in enumerate(EDGE_TEXTS)]
     rows += [(0, EDGE_TEXTS[0], "en", "s", 0), (None, EDGE_TEXTS[0], None, None, None), (None, None, None, None, None)]
-    clash = ["ids", "score", "key", "n", "digest", "item", "row", "length", "code", "class", "component", "file", "base", "hashes", "found", "chunk"]
+    clash = ["ids", "score", "key", "n", "digest", "item", "row", "length", "code", "class", "component", "file", "base", "hashes", "found", "chunk",
+        "__added", "__spans_0", "__key", "__text", "__spans", "__sorted", "__n", "__id", "__language", "__toxicity", "id", "t", "y", "x", "terms", "counts", "stays", "hash", "bucket", "place", "again", "spans", "redacted", "salt", "may_have", "special", "staying", "chosen", "below", "x.y"]
     fields = [("doc_id", T.LongType()), ("text", T.StringType()), ("lang", T.StringType()), ("source", T.StringType()), ("n_chars", T.LongType()), *((c, T.StringType()) for c in clash)]
     schema = T.StructType([T.StructField(n, t) for n, t in fields])
     return spark.createDataFrame([(*r, *("x" for _ in clash)) for r in rows], schema).repartition(3)

@@ -1,8 +1,9 @@
 import numpy as np
 import pytest
+from pyspark.sql.functions import col, lit
 
 from sievetally.llm.common import SLICE_CHARS, slices
-from sievetally.llm.langid import code_points, fit, identify, ngrams, train
+from sievetally.llm.langid import code_points, fit, identify, learn_and_identify, ngrams, train
 from sievetally.llm.queries import op6_langid
 
 TEXTS = [("the cat and the dog with those things", "en"), ("der hund und die katze mit einer maus", "de"), ("le chien et la souris dans une maison", "fr")] * 40
@@ -80,7 +81,24 @@ def test_rejection_follows_all_labelled_rows(spark):
         words = [rng.choice(TEXTS[most if rng.random() < 0.5 else int(rng.integers(3))][0].split()) for _ in range(6)]
         docs.append((i, " ".join(words), TEXTS[most][1]))
     df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(4)
-    m = fit(df, train_rows=600)
-    right = [score for _, text, label in docs for lang, score in [m.score(text)] if lang == label]
-    lost = sum(score < m.least_score for score in right)
-    assert m.least_score < 0.5 and 0.0003 <= lost / len(right) <= 0.0007
+    rows = learn_and_identify(df, lit(True), train_rows=600).join(df, "doc_id").collect()
+    right = [r["rejected"] for r in rows if r["lang_pred"] == r["lang"]]
+    assert len(rows) == 12_000 and 0.0003 <= sum(right) / len(right) <= 0.0007
+
+
+def test_learns_only_from_learnable_rows_and_keeps_rows(spark, edge_docs, no_docs):
+    docs = [(i, f"{t} {i}", y if i % 2 else "xx", "v") for i, (t, y) in enumerate(TEXTS)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, found string")
+    rows = learn_and_identify(df, col("doc_id") % 2 == 1, keep_rows=True).collect()
+    assert {r["lang_pred"] for r in rows} == {"en", "de", "fr"}
+    assert sorted(tuple(r["row"]) for r in rows) == sorted(docs)
+    assert len(learn_and_identify(edge_docs, col("doc_id") > 2).collect()) == edge_docs.count()
+    assert {r["lang_pred"] for r in learn_and_identify(edge_docs, lit(False)).collect()} == {"und"}
+    assert learn_and_identify(no_docs, lit(True)).collect() == []
+
+
+def test_too_many_labels_are_an_error(spark):
+    df = spark.createDataFrame([(i, f"text {i}", f"l{i}") for i in range(30)], "doc_id long, text string, lang string")
+    assert len(fit(df, most_languages=30).languages) == 30
+    with pytest.raises(ValueError, match="more than 29"):
+        fit(df, most_languages=29)

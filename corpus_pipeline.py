@@ -11,23 +11,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievetally.llm import jaccard_tree, langid, packing, pii, toxicity
-from sievetally.llm.common import small_batches, table
-from sievetally.llm.queries import PACK_FILE, language_model, toxicity_model
+from sievetally.llm import jaccard_tree, packing, pii, toxicity
+from sievetally.llm.common import as_row, from_row, small_batches, table
+from sievetally.llm.queries import PACK_FILE, identify_languages, toxicity_model
 from sievetally.session import cut_lineage, pin_settings
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language of the corpus: those whose language is undetermined or too unsure go."""
     small_batches(pin_settings(spark))
-    found = docs.withColumn("__language", langid.language(language_model(docs), docs, F.col("text")))
-    return found.where("NOT __language.rejected").drop("__language")
+    return from_row(identify_languages(docs, keep_rows=True).where("NOT rejected"), docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below one half."""
     model = toxicity_model(docs, table(spark, sf_dir, "labels"))
-    return docs.withColumn("__toxicity", toxicity.toxicity(model, docs, F.col("text"))).where("__toxicity < 0.5").drop("__toxicity")
+    scored = docs.select(as_row(docs).alias("row"), toxicity.toxicity(model, docs, F.col("text")).alias("score"))
+    return from_row(scored.where("score < 0.5"), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from sievetally.llm.near_vectors import encode, linked_pairs, near_duplicates, roots
+from sievetally.llm.near_vectors import balanced, cosines, encode, judged_pairs, near_duplicates, roots
 
 SCHEMA = "vec_id long, embedding array<float>, label int, kept string, class string, n string, tile string, ok string"
 
@@ -62,13 +62,28 @@ def test_bound_holds_and_loses_no_pair():
     b = np.concatenate([a[:100] + rng.normal(size=(100, 64)) * np.abs(a[:100]).mean() * 0.1, rng.normal(size=(50, 64))])
     unit = [x / np.linalg.norm(x, axis=1)[:, None] for x in (a, b)]
     exact = unit[0] @ unit[1].T
-    (ca, sa, ea), (cb, sb, eb) = (encode(u) for u in unit)
+    (ca, sa, ea), (cb, sb, eb) = (encode(x) for x in (a, b))
     about = (ca.astype(int) @ cb.astype(int).T) * sa[:, None] * sb
     assert (np.abs(exact - about) <= (1 + ea[:, None]) * eb + ea[:, None] + 1e-9).all()
     for threshold in (0.5, 0.9, 0.98):
-        i, j = linked_pairs(a, b, threshold, False)
-        near = np.abs(exact - threshold) < 1e-12
-        assert set(zip(i.tolist(), j.tolist(), strict=True)) ^ set(zip(*np.nonzero(exact >= threshold), strict=True)) <= set(zip(*np.nonzero(near), strict=True))
+        i, j, sure = (np.concatenate(x) for x in zip(*judged_pairs((ca, sa, ea), (cb, sb, eb), threshold, False), strict=True))
+        above = exact >= threshold
+        assert above[i[sure], j[sure]].all() and above.sum() == above[i, j].sum()
+        assert np.allclose(cosines(a, b, i, j), exact[i, j], atol=1e-12)
+
+
+def test_change_of_scale_is_exact():
+    v = np.array([[1e200, -3e200], [1e-310, 2e-308], [5.0, 0.3]])
+    small = balanced(v)
+    assert (np.abs(small).max(axis=1) < 1).all() and (np.abs(small).max(axis=1) >= 0.5).all()
+    assert (small[2] == v[2] / 8).all()
+
+
+def test_very_large_and_small_components_link(spark):
+    rows = [(1, [1e200, 1e200], 1), (2, [1e-200, 1e-200], 1), (3, [1e308, 1e308], 1), (4, [1.0, -1.0], 1), (5, [5e-324, 5e-324], 1), (6, [-1e-200, 1e-200], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_duplicates(df).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 5: (3, 1), 4: (0, 4), 6: (0, 6)}
 
 
 def test_roots_of_a_chain():
@@ -92,5 +107,15 @@ def test_large_group_of_near_copies_stays_linear(spark):
     assert {r[1:3] for r in got} == {(699, 0)} and sum(r[3] for r in got) == 1
 
 
+def test_pairs_near_the_threshold_are_settled_by_the_vectors(spark):
+    """A group whose cosines lie about the threshold, so that nearly all its pairs are in doubt."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=64)
+    rows = [(i, (base + rng.normal(size=64) * 0.142).astype(np.float32).tolist(), 1) for i in range(120)]
+    want = brute(rows)
+    assert 20 < np.mean([r[1] for r in want]) < 100
+    assert found(spark, rows, tile_rows=30) == want == found(spark, rows)
+
+
 def test_empty_table(spark):
     assert found(spark, []) == []

@@ -12,7 +12,10 @@ Documents are sets of word shingles; two link when their Jaccard similarity reac
    overlap is too small. Pairs of leaves that remain make the smaller clusters that may hold links.
 4. Only for those the sets themselves are gathered, and the pairs that a traversal leaves are compared exactly.
 
-Large clusters are cut into blocks, and every pair of blocks is a traversal of its own.
+Large clusters are cut into blocks. Each block is joined in itself first, then one set of every component that this has
+made stands for it in further rounds of blocks; what these rounds have not connected is compared across blocks, but never
+two blocks of one component. A group of near copies, however large, so takes work in proportion to its size. Where the number of
+links is asked for, every pair of blocks is joined.
 """
 
 from __future__ import annotations
@@ -404,14 +407,15 @@ def tree_pairs(sizes: np.ndarray, packed: list[bytes], left: np.ndarray, right:
     return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
 
 
-def join_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None, percent: int = PERCENT) -> list[tuple[int, int]]:
+def join_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None, percent: int = PERCENT, known: list | None = None) -> list[tuple[int, int]]:
     """Links that connect whatever sets are connected by links of left to right, or within left if right is None.
 
-    Pairs that are connected already are not compared.
+    Pairs that are connected already, or have equal values in known, are not compared.
     """
     sizes = np.array([len(s) for s in sets], np.int64)
     i, j = tree_pairs(sizes, [signature(s) for s in sets], left, right, percent)
-    parent = list(range(len(sets)))
+    first = {c: k for k, c in reversed(list(enumerate(known)))} if known else {}
+    parent = [first[c] for c in known] if known else list(range(len(sets)))
 
     def root(k: int) -> int:
         while parent[k] != k:
@@ -428,27 +432,108 @@ def join_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | Non
     return links
 
 
-def _blocks(members: DataFrame, payload: str, block_sets: int) -> DataFrame:
-    """members (cluster, class, n, payload) with lo, hi, block: every pair of blocks of a cluster gets the rows of both."""
-    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("n"))
-    cut = sizes.select("cluster", F.ceil(F.greatest(F.col("sets") / block_sets, F.col("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+def block_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None, copies: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """(links, root) of each set: how many rows link to it across left and right, or within left, and the smallest place that it is connected to."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    i, j = tree_pairs(sizes, [signature(s) for s in sets], left, right, percent)
+    good = np.fromiter((linked(sets[a], sets[b], percent) for a, b in zip(i.tolist(), j.tolist(), strict=True)), bool, len(i))
+    i, j = i[good], j[good]
+    links = np.zeros(len(sets), np.int64)
+    np.add.at(links, i, copies[j])
+    np.add.at(links, j, copies[i])
+    return links, roots(len(sets), i, j)
+
+
+def _cut(members: DataFrame, block_sets: int, *keys: str) -> DataFrame:
+    """(keys, sets, blocks): how many blocks the members of each key fill."""
+    sizes = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("n"))
+    return sizes.select(*keys, "sets", F.ceil(F.greatest(F.col("sets") / block_sets, F.col("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+
+
+def _paired(rows: DataFrame) -> DataFrame:
+    """rows with `block` and `other` as the two blocks lo and hi. Else the blocks of one cluster would stay in the task to which a join brought the cluster."""
+    rows = rows.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other")
+    return rows.repartition(task_count(rows.sparkSession), "cluster", "lo", "hi")
+
+
+def _all_blocks(members: DataFrame, block_sets: int) -> DataFrame:
+    """members (cluster, class, n and more) with lo, hi, block: every pair of blocks of a cluster gets the rows of both."""
+    cut = _cut(members, block_sets, "cluster").drop("sets")
     # Only clusters of several blocks are looked up; all others are one.
     rows = members.join(cut.where("blocks > 1"), "cluster", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rows = rows.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "class", "n", payload)
-    # Else the pairs of blocks of one cluster would stay in the task to which the join brought the cluster.
-    return rows.repartition(task_count(members.sparkSession), "cluster", "lo", "hi")
+    rows = rows.withColumn("block", F.struct(F.lit(0).cast("long").alias("owner"), F.pmod(F.xxhash64("class"), "blocks").cast("int").alias("part")))
+    others = F.transform(F.expr("sequence(0, blocks - 1)"), lambda k: F.struct(F.lit(0).cast("long").alias("owner"), k.cast("int").alias("part")))
+    return _paired(rows.withColumn("other", F.explode(others)).drop("blocks"))
+
+
+def _own_blocks(members: DataFrame, block_sets: int) -> DataFrame:
+    """members with lo, hi, block: each block by itself."""
+    cut = _cut(members, block_sets, "cluster").drop("sets")
+    rows = members.join(cut.where("blocks > 1"), "cluster", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    rows = rows.withColumn("block", F.struct(F.lit(0).cast("long").alias("owner"), F.pmod(F.xxhash64("class"), "blocks").cast("int").alias("part")))
+    return _paired(rows.withColumn("other", F.col("block")).drop("blocks"))
+
+
+def _open_blocks(members: DataFrame, block_sets: int) -> DataFrame:
+    """members (cluster, class, component, n and more) with lo, hi, block: pairs of blocks that may hold links between two components.
+
+    A component of half a block or more has blocks of its own, which are not paired with each other; smaller ones of a cluster share blocks,
+    which are also paired with themselves.
+    """
+    sizes = _cut(members, block_sets, "cluster", "component").withColumn("large", (F.col("sets") * 2 >= block_sets) | (F.col("blocks") > 1))
+    small = members.join(sizes.where("NOT large").select("cluster", "component"), ["cluster", "component"])
+    pools = _cut(small, block_sets, "cluster").select("cluster", F.col("blocks").alias("pools"))
+    rows = members.join(sizes.select("cluster", "component", "blocks", "large"), ["cluster", "component"]).join(pools, "cluster", "left")
+    own = F.struct(F.col("component").alias("owner"), F.pmod(F.xxhash64("class"), "blocks").cast("int").alias("part"))
+    shared = F.struct(F.lit(-1).cast("long").alias("owner"), F.pmod(F.xxhash64("component"), "pools").cast("int").alias("part"))
+    rows = rows.withColumn("block", F.when(F.col("large"), own).otherwise(shared)).drop("blocks", "large", "pools")
+    known = rows.select("cluster", "block").distinct().groupBy("cluster").agg(F.collect_list("block").alias("known"))
+    rows = rows.join(known, "cluster")
+    others = F.filter("known", lambda b: (b["owner"] != F.col("block.owner")) | (b["owner"] == -1))
+    return _paired(rows.withColumn("other", F.explode(others)).drop("known"))
+
+
+def _connected(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """members with `component`: the smallest class that edges connect it to."""
+    found = connected_components(edges).select(F.col("node").alias("class"), "component")
+    return members.drop("component").join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
+
+
+def _spanning_links(members: DataFrame, block_sets: int, join) -> DataFrame:
+    """(a, b): edges that connect what is connected within the clusters of members (cluster, class, n and more).
+
+    join takes the rows of a pair of blocks, with lo, hi, block and component, and returns edges a, b of classes.
+    """
+    def joined(blocks: DataFrame) -> DataFrame:
+        return cut_lineage(blocks.groupBy("cluster", "lo", "hi").applyInArrow(join, "a long, b long"), "block_links")
+
+    members = members.withColumn("component", F.col("class"))
+    edges = joined(_own_blocks(members, block_sets))
+    several = _cut(members, block_sets, "cluster").where("blocks > 1").select("cluster")
+    if several.isEmpty():
+        return edges
+    large = cut_lineage(_connected(members.join(several, "cluster"), edges), "large_clusters")
+    before, now = None, large.count()
+    standing = large
+    while before is None or now * 2 <= before:
+        # The smallest class of every component stands for it.
+        standing = _connected(standing, edges).where("class = component")
+        standing = cut_lineage(standing, "standing")
+        before, now = now, standing.count()
+        edges = cut_lineage(edges.unionByName(joined(_own_blocks(standing, block_sets))), "block_links")
+    return edges.unionByName(joined(_open_blocks(cut_lineage(_connected(large, edges), "large_clusters"), block_sets)))
 
 
 def _sides(part: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray | None]:
     """The rows of a pair of blocks by class, and the places of either block; None for the second if it is the first."""
     part = part.sort_by("class")
-    block, lo, hi = part.column("block").to_numpy(), part.column("lo")[0].as_py(), part.column("hi")[0].as_py()
-    return part, np.flatnonzero(block == lo), None if lo == hi else np.flatnonzero(block == hi)
+    block, lo, hi = part.column("block").to_pylist(), part.column("lo")[0].as_py(), part.column("hi")[0].as_py()
+    first = np.array([b == lo for b in block], bool)
+    return part, np.flatnonzero(first), None if lo == hi else np.flatnonzero(~first)
 
 
-def _signature_links(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b): for members (cluster, class, n, bits), an edge of each class to the smallest one that trees join it to within a pair of blocks."""
+def _signature_links(members: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    """(a, b): for members (cluster, class, n, bits), edges of each class to the smallest one that trees join it to within a pair of blocks."""
 
     def join(part: pa.Table) -> pa.Table:
         part, left, right = _sides(part)
@@ -458,7 +543,9 @@ def _signature_links(members: DataFrame, percent: int) -> DataFrame:
         at = np.flatnonzero(root != np.arange(len(ids)))
         return pa.table({"a": pa.array(ids[at], pa.int64()), "b": pa.array(ids[root[at]], pa.int64())})
 
-    return _blocks(members, "bits", BLOCK_BITMAPS).groupBy("cluster", "lo", "hi").applyInArrow(join, "a long, b long")
+    if spanning:
+        return _spanning_links(members, BLOCK_BITMAPS, join)
+    return _all_blocks(members, BLOCK_BITMAPS).groupBy("cluster", "lo", "hi").applyInArrow(join, "a long, b long")
 
 
 # --- 4. Exact comparison ---
@@ -507,41 +594,67 @@ def _exact_links(members: DataFrame, percent: int) -> DataFrame:
     def join(part: pa.Table) -> pa.Table:
         part, left, right = _sides(part)
         ids = part.column("class").to_pylist()
-        found = join_block([np.frombuffer(h, np.uint64) for h in part.column("hashes").to_pylist()], left, right, percent)
+        sets = [np.frombuffer(h, np.uint64) for h in part.column("hashes").to_pylist()]
+        found = join_block(sets, left, right, percent, part.column("component").to_pylist())
         return pa.table({"a": pa.array([ids[i] for i, _ in found], pa.int64()), "b": pa.array([ids[j] for _, j in found], pa.int64())})
 
-    return _blocks(members, "hashes", BLOCK_SETS).groupBy("cluster", "lo", "hi").applyInArrow(join, "a long, b long")
+    return _spanning_links(members, BLOCK_SETS, join)
+
+
+def _counted_links(members: DataFrame, percent: int) -> DataFrame:
+    """(class, links, root): for members (cluster, class, n, copies, hashes), the rows that link to a class within a pair of blocks, and the smallest class connected there."""
+
+    def join(part: pa.Table) -> pa.Table:
+        part, left, right = _sides(part)
+        ids = part.column("class").to_numpy()
+        sets = [np.frombuffer(h, np.uint64) for h in part.column("hashes").to_pylist()]
+        links, root = block_links(sets, left, right, part.column("copies").to_numpy(), percent)
+        hit = np.flatnonzero(links)
+        return pa.table({"class": pa.array(ids[hit], pa.int64()), "links": pa.array(links[hit]), "root": pa.array(ids[root[hit]], pa.int64())})
+
+    found = _all_blocks(members, BLOCK_SETS).groupBy("cluster", "lo", "hi").applyInArrow(join, "class long, links long, root long")
+    return cut_lineage(found, "counted_links")
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, component) of every row.
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, count_links: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id, component) of every row; with count_links also n_links, the number of rows that link to it.
 
     Two rows link when 100 |A & B| >= percent |A | B| for their sets of shingles. A row whose text is null or
     without words has an empty set, links with nothing and is a component of its own. component_id is the
-    smallest doc_id reachable by links, null ids aside; repeated ids and rows are nodes by their own text.
+    smallest doc_id reachable by links, null ids aside; repeated ids and rows are nodes by their own text, and link with their copies.
     component numbers the component of a non-empty set, also where all its ids are null; null for an empty set.
 
-    All links count, none is capped: the clusters hold every pair that may link, and a block's traversal
-    leaves out only pairs that can't link or are connected already.
+    All links count, none is capped: the clusters hold every pair that may link, and pairs are left out only where they
+    can't link or, unless links are counted, are connected already. Counting compares all pairs that the trees leave, so that its work
+    grows with the number of links; components alone take work in proportion to the sets.
     """
     spark = docs.sparkSession
     described = cut_lineage(_sets(docs, id_col, text_col, words), "sets")
     rows = described.where("chunk IS NULL").select("doc_id", "n", "digest", "code", "bits")
     rarity = spark.sparkContext.broadcast(_rarity(described.where("chunk IS NOT NULL")))
-    classes = rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("least"), *(F.any_value(c).alias(c) for c in ("n", "code", "bits")))
+    classes = rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), *(F.any_value(c).alias(c) for c in ("n", "code", "bits")))
     classes = cut_lineage(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     clusters = _clusters(docs, text_col, words, percent, rarity)
-    near = connected_components(_signature_links(classes.join(clusters, "code").select("cluster", "class", "n", "bits"), percent))
+    near = connected_components(_signature_links(classes.join(clusters, "code").select("cluster", "class", "n", "bits"), percent, not count_links))
     wanted = cut_lineage(classes.select("code", "digest", "class").join(near.selectExpr("node AS class", "component AS cluster"), "class"), "wanted")
-    links = _exact_links(cut_lineage(_gathered(docs, text_col, words, wanted), "members"), percent)
+    members = cut_lineage(_gathered(docs, text_col, words, wanted), "members")
+    counted = classes.select("class", (F.col("copies") - 1).alias("links"))
+    if count_links:
+        found = _counted_links(members.join(classes.select("class", "copies"), "class"), percent)
+        links = found.select(F.col("class").alias("a"), F.col("root").alias("b"))
+        counted = counted.unionByName(found.select("class", "links")).groupBy("class").agg(F.sum("links").alias("links"))
+    else:
+        links = _exact_links(members, percent)
     groups = connected_components(links).withColumnRenamed("node", "class")
     groups = classes.select("class", "least").join(groups, "class")
     first = groups.groupBy("component").agg(F.min("least").alias("first"))
     groups = groups.join(first, "component").select("class", "component", "first")
-    named = classes.join(groups, "class", "left").select("digest", F.coalesce("component", "class").alias("component"), F.coalesce("first", "least").alias("first"))
-    filled = rows.where("n > 0").join(named, "digest").selectExpr("doc_id", "n AS n_shingles", "first AS component_id", "component")
-    empty = rows.where("n = 0").selectExpr("doc_id", "n AS n_shingles", "doc_id AS component_id", "CAST(NULL AS LONG) AS component")
-    return filled.unionByName(empty)
+    named = classes.join(groups, "class", "left").join(counted, "class")
+    named = named.select("digest", F.coalesce("component", "class").alias("component"), F.coalesce("first", "least").alias("first"), "links")
+    filled = rows.where("n > 0").join(named, "digest").selectExpr("doc_id", "n AS n_shingles", "first AS component_id", "component", "links AS n_links")
+    empty = rows.where("n = 0").selectExpr("doc_id", "n AS n_shingles", "doc_id AS component_id", "CAST(NULL AS LONG) AS component", "0L AS n_links")
+    found = filled.unionByName(empty)
+    return found if count_links else found.drop("n_links")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, mark_bits: int = KEPT_BITS) -> DataFrame:

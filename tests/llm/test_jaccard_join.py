@@ -139,6 +139,62 @@ def test_agrees_with_brute_force(spark, monkeypatch, seed, block_sets, paired_se
     assert found(spark, rows) == sorted((r[:3] for r in brute(rows)), key=str)
 
 
+@pytest.mark.parametrize("block_sets", [512, 5])
+def test_links_are_counted(spark, monkeypatch, block_sets):
+    monkeypatch.setattr(jaccard_tree, "BLOCK_SETS", block_sets)
+    monkeypatch.setattr(jaccard_tree, "BLOCK_BITMAPS", block_sets)
+    rows = corpus(4, 120)
+    rows += rows[:7] + [(None, ""), (None, rows[3][1])]
+    sets = [plain_set(t) for _, t in rows]
+    links = [sum(j != i and bool(a) and bool(b) and 100 * len(a & b) >= 75 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = jaccard_tree.jaccard_join(df, count_links=True).select("doc_id", "n_shingles", "component_id", "n_links").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((*r[:3], n) for r, n in zip(brute(rows), links, strict=True)), key=str)
+
+
+def copies(n, seed=0):
+    """Near copies of one text, all different and all linked with each other, and as many texts that link with nothing."""
+    rng = np.random.default_rng(seed)
+    base = [f"b{i}" for i in range(400)]
+    texts = []
+    for i in range(n):
+        words = base.copy()
+        words[int(rng.integers(400))] = f"own{i}"
+        texts.append(" ".join(words))
+    return texts + [" ".join(f"t{i}x{k}" for k in range(30)) for i in range(n // 10)]
+
+
+def test_a_large_group_of_near_copies_is_joined_in_proportion(spark, monkeypatch):
+    """Sets that are sent to pairs of blocks, by the rows that the joins are given."""
+    monkeypatch.setattr(jaccard_tree, "BLOCK_SETS", 32)
+    monkeypatch.setattr(jaccard_tree, "BLOCK_BITMAPS", 64)
+    paired, sent = jaccard_tree._paired, []
+
+    def counting(rows):
+        sent.append(rows.count())
+        return paired(rows)
+
+    monkeypatch.setattr(jaccard_tree, "_paired", counting)
+    given = []
+    for n in (400, 1600):
+        sent.clear()
+        rows = [(i, t) for i, t in enumerate(copies(n))]
+        got = found(spark, rows)
+        assert [r[2] for r in sorted(got, key=lambda r: r[0])] == [0] * n + list(range(n, n + n // 10))
+        given.append(sum(sent))
+    assert given[1] <= 5 * given[0] and given[1] < 6 * 1600
+
+
+def test_chains_across_blocks_are_followed(spark, monkeypatch):
+    """Each text links with the next one only, so that no set can stand for its component."""
+    monkeypatch.setattr(jaccard_tree, "BLOCK_SETS", 6)
+    monkeypatch.setattr(jaccard_tree, "BLOCK_BITMAPS", 6)
+    words = [f"c{i}" for i in range(300)]
+    rows = [(200 - i, " ".join(words[2 * i : 2 * i + 40])) for i in range(120)]
+    assert found(spark, rows) == sorted((r[:3] for r in brute(rows)), key=str)
+    assert {r[2] for r in found(spark, rows)} == {81}
+
+
 def test_small_buffers_change_nothing(spark, monkeypatch):
     rows = corpus(3, 80)
     for name, value in (("FLUSH", 50), ("MEMO", 2), ("SKETCH_FAN", 1)):

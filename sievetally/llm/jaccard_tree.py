@@ -493,35 +493,36 @@ def _open_blocks(members: DataFrame, block_sets: int) -> DataFrame:
     return _paired(rows.withColumn("other", F.explode(others)).drop("known"))
 
 
-def _connected(members: DataFrame, edges: DataFrame) -> DataFrame:
-    """members with `component`: the smallest class that edges connect it to."""
-    found = connected_components(edges).select(F.col("node").alias("class"), "component")
-    return members.drop("component").join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
+def _moved(rows: DataFrame, stars: DataFrame) -> DataFrame:
+    """rows with their component moved to the class b that stars (a, b) hang it on."""
+    hung = stars.select(F.col("a").alias("component"), F.col("b").alias("on"))
+    return rows.join(hung, "component", "left").withColumn("component", F.coalesce("on", "component")).drop("on")
 
 
 def _spanning_links(members: DataFrame, block_sets: int, join) -> DataFrame:
     """(a, b): edges that connect what is connected within the clusters of members (cluster, class, n and more).
 
-    join takes the rows of a pair of blocks, with lo, hi, block and component, and returns edges a, b of classes.
+    join takes the rows of a pair of blocks, with lo, hi, block and component, and returns stars: for each class a that is connected to a
+    smaller one the smallest, b.
     """
     def joined(blocks: DataFrame) -> DataFrame:
         return cut_lineage(blocks.groupBy("cluster", "lo", "hi").applyInArrow(join, "a long, b long"), "block_links")
 
     members = members.withColumn("component", F.col("class"))
-    edges = joined(_own_blocks(members, block_sets))
+    edges = stars = joined(_own_blocks(members, block_sets))
     several = _cut(members, block_sets, "cluster").where("blocks > 1").select("cluster")
     if several.isEmpty():
         return edges
-    large = cut_lineage(_connected(members.join(several, "cluster"), edges), "large_clusters")
+    large = cut_lineage(_moved(members.join(several, "cluster"), stars), "large_clusters")
     before, now = None, large.count()
-    standing = large
     while before is None or now * 2 <= before:
-        # The smallest class of every component stands for it.
-        standing = _connected(standing, edges).where("class = component")
-        standing = cut_lineage(standing, "standing")
+        # The smallest class of every component stands for it; each is in one block, so that a round's stars tell where its component moves.
+        standing = large.where("class = component")
         before, now = now, standing.count()
-        edges = cut_lineage(edges.unionByName(joined(_own_blocks(standing, block_sets))), "block_links")
-    return edges.unionByName(joined(_open_blocks(cut_lineage(_connected(large, edges), "large_clusters"), block_sets)))
+        stars = joined(_own_blocks(standing, block_sets))
+        edges = edges.unionByName(stars)
+        large = cut_lineage(_moved(large, stars), "large_clusters")
+    return edges.unionByName(joined(_open_blocks(large, block_sets)))
 
 
 def _sides(part: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray | None]:
@@ -532,16 +533,20 @@ def _sides(part: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray | None]:
     return part, np.flatnonzero(first), None if lo == hi else np.flatnonzero(~first)
 
 
+def _stars(part: pa.Table, i: np.ndarray, j: np.ndarray) -> pa.Table:
+    """(a, b): each class of part, sorted by class, that links between places i and j connect to a smaller one, with the smallest."""
+    ids = part.column("class").to_numpy()
+    root = roots(len(ids), i, j)
+    at = np.flatnonzero(root != np.arange(len(ids)))
+    return pa.table({"a": pa.array(ids[at], pa.int64()), "b": pa.array(ids[root[at]], pa.int64())})
+
+
 def _signature_links(members: DataFrame, percent: int, spanning: bool) -> DataFrame:
     """(a, b): for members (cluster, class, n, bits), edges of each class to the smallest one that trees join it to within a pair of blocks."""
 
     def join(part: pa.Table) -> pa.Table:
         part, left, right = _sides(part)
-        ids = part.column("class").to_numpy()
-        i, j = tree_pairs(part.column("n").to_numpy(), part.column("bits").to_pylist(), left, right, percent)
-        root = roots(len(ids), i, j)
-        at = np.flatnonzero(root != np.arange(len(ids)))
-        return pa.table({"a": pa.array(ids[at], pa.int64()), "b": pa.array(ids[root[at]], pa.int64())})
+        return _stars(part, *tree_pairs(part.column("n").to_numpy(), part.column("bits").to_pylist(), left, right, percent))
 
     if spanning:
         return _spanning_links(members, BLOCK_BITMAPS, join)
@@ -593,10 +598,9 @@ def _exact_links(members: DataFrame, percent: int) -> DataFrame:
 
     def join(part: pa.Table) -> pa.Table:
         part, left, right = _sides(part)
-        ids = part.column("class").to_pylist()
         sets = [np.frombuffer(h, np.uint64) for h in part.column("hashes").to_pylist()]
-        found = join_block(sets, left, right, percent, part.column("component").to_pylist())
-        return pa.table({"a": pa.array([ids[i] for i, _ in found], pa.int64()), "b": pa.array([ids[j] for _, j in found], pa.int64())})
+        found = np.array(join_block(sets, left, right, percent, part.column("component").to_pylist()), np.int64).reshape(-1, 2)
+        return _stars(part, found[:, 0], found[:, 1])
 
     return _spanning_links(members, BLOCK_SETS, join)
 

@@ -154,7 +154,7 @@ def _query_terms(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
         return pd.Series([sorted(term_counts(t, LETTERS_AND_DIGITS)) for t in texts], dtype=object)
 
     rows = items.select(F.col(item_col).alias("item"), terms(F.col(text_col).cast("binary")).alias("terms")).where(F.size("terms") > 0)
-    return rows.withColumn("key", F.md5(F.array_join(F.transform("terms", F.hex), " ").cast("binary"))).withColumn("item_row", F.monotonically_increasing_id())
+    return rows.withColumn("key", F.md5(F.array_join(F.transform("terms", F.hex), " ").cast("binary")))
 
 
 def _postings(docs: DataFrame, id_col: str, text_col: str, numbers) -> DataFrame:

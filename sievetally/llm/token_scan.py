@@ -75,11 +75,13 @@ def _blocks(files: DataFrame, separator: int, item_bytes: int, block_bytes: int)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at, row in enumerate(batch.to_pylist()):
                 with open_range(row["file"]) as file:
                     packed = file.read_at(row["items"] * item_bytes, row["first"] * item_bytes)
                 ends = np.flatnonzero(np.frombuffer(packed, f"<u{item_bytes}") == separator) + row["first"]
-                yield pa.RecordBatch.from_pylist([row | {"ends": ends.tolist()}], schema=pa.schema([("file", pa.string()), ("block", pa.int64()), ("first", pa.int64()), ("items", pa.int64()), ("ends", pa.list_(pa.int64()))]))
+                # A block of empty documents is all separators: they go to Arrow as they are.
+                found = pa.ListArray.from_arrays(pa.array([0, len(ends)], pa.int32()), pa.array(ends, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(at, 1).columns, found], names=["file", "block", "first", "items", "ends"])
 
     sized = files.select("file").mapInArrow(sizes, "file string, bytes long")
     whole = sized.withColumn("n", F.when(F.col("bytes") % item_bytes == 0, F.col("bytes") / item_bytes).otherwise(F.raise_error(F.concat(F.lit("cut item at the end of "), F.col("file")))).cast("long"))

@@ -60,17 +60,23 @@ def _create(spark: SparkSession, path: str, text: str) -> bool:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
-    rename = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
-    none = spark._sc._gateway.new_array(rename, 0)
+    full = fs.makeQualified(draft), fs.makeQualified(place)
     try:
-        context.rename(fs.makeQualified(draft), fs.makeQualified(place), none)
+        if fs.getUri().getScheme() == "file":
+            # A rename on a local disk may replace a file; a second name for a file never does.
+            names = [spark._jvm.java.nio.file.Paths.get(p.toUri()) for p in full]
+            spark._jvm.java.nio.file.Files.createLink(names[1], names[0])
+        else:
+            context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+            rename = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+            context.rename(*full, spark._sc._gateway.new_array(rename, 0))
         return True
     except Exception:
-        fs.delete(draft, False)
         if fs.exists(place):
             return False
         raise
+    finally:
+        fs.delete(draft, False)
 
 
 def _commit(spark: SparkSession, table: str, root: str, record: dict, after: int | None = None) -> bool:

@@ -312,6 +312,18 @@ def test_a_version_is_not_taken_twice(spark, scratch):
     assert version_numbers(spark, "t", scratch) == [1, 2] and read_managed(spark, "t", scratch).count() == 3
 
 
+def test_publishes_of_one_table_at_the_same_time_all_get_a_version(spark, scratch):
+    threads = [threading.Thread(target=publish, args=(spark.range(n + 1), "t", scratch)) for n in range(6)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    log = history(spark, "t", scratch).collect()
+    assert [r["version"] for r in log] == [6, 5, 4, 3, 2, 1] and sorted(r["num_output_rows"] for r in log) == list(range(1, 7))
+    assert read_managed(spark, "t", scratch).count() == log[0]["num_output_rows"]
+    assert not [p for p in Path(scratch, "t", "versions").iterdir() if not p.name.endswith(".json")]
+
+
 def test_folder_column_is_refused(spark, scratch):
     with pytest.raises(ValueError, match="version_run"):
         publish(spark.range(1).withColumn("version_run", F.lit(1)), "t", scratch)

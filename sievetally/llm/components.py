@@ -13,10 +13,9 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Every node hangs its larger neighbours on its smallest neighbour."""
-    both = _both_ways(edges)
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root"))
-    return both.where("b > a").join(least, "a").selectExpr("b AS a", "root AS b").where("a > b")
+    """Every node hangs its larger neighbours on its smallest neighbour. Of each edge, a is the larger node."""
+    least = _both_ways(edges).groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root"))
+    return edges.join(least.withColumnRenamed("a", "b"), "b").selectExpr("a", "root AS b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

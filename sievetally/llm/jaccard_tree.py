@@ -499,30 +499,38 @@ def _moved(rows: DataFrame, stars: DataFrame) -> DataFrame:
     return rows.join(hung, "component", "left").withColumn("component", F.coalesce("on", "component")).drop("on")
 
 
-def _spanning_links(members: DataFrame, block_sets: int, join) -> DataFrame:
-    """(a, b): edges that connect what is connected within the clusters of members (cluster, class, n and more).
+def _rooted(stars: DataFrame) -> DataFrame:
+    """(node, component) of every node of stars (a, b), where each a has one b and no b is an a."""
+    return stars.selectExpr("a AS node", "b AS component").unionByName(stars.selectExpr("b AS node", "b AS component").distinct())
+
+
+def _spanning_groups(members: DataFrame, block_sets: int, join) -> DataFrame:
+    """(node, component) of every class that is connected to another one within the clusters of members (cluster, class, n and more); component is the smallest class reachable.
 
     join takes the rows of a pair of blocks, with lo, hi, block and component, and returns stars: for each class a that is connected to a
-    smaller one the smallest, b.
+    smaller one the smallest, b. The stars of a cluster of one block are its components. For larger ones, the last joins link components, and only these
+    links are followed further.
     """
     def joined(blocks: DataFrame) -> DataFrame:
         return cut_lineage(blocks.groupBy("cluster", "lo", "hi").applyInArrow(join, "a long, b long"), "block_links")
 
     members = members.withColumn("component", F.col("class"))
-    edges = stars = joined(_own_blocks(members, block_sets))
+    stars = joined(_own_blocks(members, block_sets))
     several = _cut(members, block_sets, "cluster").where("blocks > 1").select("cluster")
     if several.isEmpty():
-        return edges
-    large = cut_lineage(_moved(members.join(several, "cluster"), stars), "large_clusters")
+        return _rooted(stars)
+    large = first = cut_lineage(_moved(members.join(several, "cluster"), stars), "large_clusters")
     before, now = None, large.count()
     while before is None or now * 2 <= before:
         # The smallest class of every component stands for it; each is in one block, so that a round's stars tell where its component moves.
         standing = large.where("class = component")
         before, now = now, standing.count()
-        stars = joined(_own_blocks(standing, block_sets))
-        edges = edges.unionByName(stars)
-        large = cut_lineage(_moved(large, stars), "large_clusters")
-    return edges.unionByName(joined(_open_blocks(large, block_sets)))
+        large = cut_lineage(_moved(large, joined(_own_blocks(standing, block_sets))), "large_clusters")
+    # Every set goes by its component here, so that links within one say nothing.
+    between = connected_components(joined(_open_blocks(large, block_sets).withColumn("class", F.col("component"))))
+    hung = _moved(large, between.where("node > component").selectExpr("node AS a", "component AS b")).where("class > component")
+    small = stars.join(first.select(F.col("class").alias("a")), "a", "left_anti")
+    return _rooted(cut_lineage(small.unionByName(hung.selectExpr("class AS a", "component AS b")), "stars"))
 
 
 def _sides(part: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray | None]:
@@ -541,16 +549,16 @@ def _stars(part: pa.Table, i: np.ndarray, j: np.ndarray) -> pa.Table:
     return pa.table({"a": pa.array(ids[at], pa.int64()), "b": pa.array(ids[root[at]], pa.int64())})
 
 
-def _signature_links(members: DataFrame, percent: int, spanning: bool) -> DataFrame:
-    """(a, b): for members (cluster, class, n, bits), edges of each class to the smallest one that trees join it to within a pair of blocks."""
+def _signature_groups(members: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    """(node, component) of the classes of members (cluster, class, n, bits) that trees join to another one; all pairs of blocks are joined unless spanning."""
 
     def join(part: pa.Table) -> pa.Table:
         part, left, right = _sides(part)
         return _stars(part, *tree_pairs(part.column("n").to_numpy(), part.column("bits").to_pylist(), left, right, percent))
 
     if spanning:
-        return _spanning_links(members, BLOCK_BITMAPS, join)
-    return _all_blocks(members, BLOCK_BITMAPS).groupBy("cluster", "lo", "hi").applyInArrow(join, "a long, b long")
+        return _spanning_groups(members, BLOCK_BITMAPS, join)
+    return connected_components(_all_blocks(members, BLOCK_BITMAPS).groupBy("cluster", "lo", "hi").applyInArrow(join, "a long, b long"))
 
 
 # --- 4. Exact comparison ---
@@ -593,8 +601,8 @@ def _gathered(docs: DataFrame, text_col: str, words: int, wanted: DataFrame) ->
     return sets.join(wanted.select("digest", "class", "cluster"), "digest").dropDuplicates(["digest"]).select("cluster", "class", "n", "hashes")
 
 
-def _exact_links(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links of the classes of members (cluster, class, n, hashes) that connect what is connected."""
+def _exact_groups(members: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of the classes of members (cluster, class, n, hashes) that links connect to another one."""
 
     def join(part: pa.Table) -> pa.Table:
         part, left, right = _sides(part)
@@ -602,7 +610,7 @@ def _exact_links(members: DataFrame, percent: int) -> DataFrame:
         found = np.array(join_block(sets, left, right, percent, part.column("component").to_pylist()), np.int64).reshape(-1, 2)
         return _stars(part, found[:, 0], found[:, 1])
 
-    return _spanning_links(members, BLOCK_SETS, join)
+    return _spanning_groups(members, BLOCK_SETS, join)
 
 
 def _counted_links(members: DataFrame, percent: int) -> DataFrame:
@@ -639,18 +647,17 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     classes = rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), *(F.any_value(c).alias(c) for c in ("n", "code", "bits")))
     classes = cut_lineage(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     clusters = _clusters(docs, text_col, words, percent, rarity)
-    near = connected_components(_signature_links(classes.join(clusters, "code").select("cluster", "class", "n", "bits"), percent, not count_links))
+    near = _signature_groups(classes.join(clusters, "code").select("cluster", "class", "n", "bits"), percent, not count_links)
     wanted = cut_lineage(classes.select("code", "digest", "class").join(near.selectExpr("node AS class", "component AS cluster"), "class"), "wanted")
     members = cut_lineage(_gathered(docs, text_col, words, wanted), "members")
     counted = classes.select("class", (F.col("copies") - 1).alias("links"))
     if count_links:
         found = _counted_links(members.join(classes.select("class", "copies"), "class"), percent)
-        links = found.select(F.col("class").alias("a"), F.col("root").alias("b"))
+        groups = connected_components(found.select(F.col("class").alias("a"), F.col("root").alias("b")))
         counted = counted.unionByName(found.select("class", "links")).groupBy("class").agg(F.sum("links").alias("links"))
     else:
-        links = _exact_links(members, percent)
-    groups = connected_components(links).withColumnRenamed("node", "class")
-    groups = classes.select("class", "least").join(groups, "class")
+        groups = _exact_groups(members, percent)
+    groups = classes.select("class", "least").join(groups.withColumnRenamed("node", "class"), "class")
     first = groups.groupBy("component").agg(F.min("least").alias("first"))
     groups = groups.join(first, "component").select("class", "component", "first")
     named = classes.join(groups, "class", "left").join(counted, "class")

@@ -184,6 +184,29 @@ def test_a_large_group_of_near_copies_is_joined_in_proportion(spark, monkeypatch
     assert given[1] <= 5 * given[0] and given[1] < 6 * 1600
 
 
+def test_only_links_across_blocks_are_followed_further(spark, monkeypatch):
+    """Links that components are sought for after the first time, by clusters that fill one block, then several that stay apart or chain."""
+    components, given = jaccard_tree.connected_components, []
+
+    def counting(links):
+        given.append(links.where("a != b").count())
+        return components(links)
+
+    monkeypatch.setattr(jaccard_tree, "connected_components", counting)
+    words = [f"c{i}" for i in range(200)]
+    chain = [(5000 + i, " ".join(words[2 * i : 2 * i + 40])) for i in range(60)]
+    rows = [(i, t) for i, t in enumerate(copies(100))]
+    want = sorted([(i, r[1], 0 if i < 100 else i) for i, r in enumerate(brute(rows))], key=str)
+    assert found(spark, rows) == want and len(given) == 1
+    monkeypatch.setattr(jaccard_tree, "BLOCK_SETS", 16)
+    monkeypatch.setattr(jaccard_tree, "BLOCK_BITMAPS", 16)
+    given.clear()
+    assert found(spark, rows) == want and given[1:] == [0, 0]
+    given.clear()
+    got = found(spark, rows + chain)
+    assert got == sorted((r[:3] for r in brute(rows + chain)), key=str) and len(given) == 3 and 0 < given[2] < 60
+
+
 def test_chains_across_blocks_are_followed(spark, monkeypatch):
     """Each text links with the next one only, so that no set can stand for its component."""
     monkeypatch.setattr(jaccard_tree, "BLOCK_SETS", 6)

@@ -4,9 +4,10 @@ Documents are sets of word shingles; two link when their Jaccard similarity reac
 
 1. Equal sets become one class. A sketch of fixed size counts how common shingles are.
 2. Sets that reach the threshold share a shingle among the rarest of each: with n shingles, the
-   rarest n - ceil(t n) + 1; sets of like size share a tenth of n there. Shared rare shingles are counted by pairs where
-   few sets have one, and pairs with too few are dropped; where more sets have one, all that fit in size stay
-   together. What is left connects sets to clusters, and whatever links lies within a cluster.
+   rarest n - ceil(t n) + 1. A twentieth of n more is taken, so that they share a fifteenth of n at least, and sets of like size more. Shared
+   rare shingles are counted by pairs where few sets have one. Where more sets have one, each knows how many shingles of that
+   kind it has that still more sets have: two sets are joined there only if both have as many as they must share. Pairs that can't share enough are
+   dropped; what is left connects sets to clusters, and whatever links lies within a cluster.
 3. Each cluster is joined by signature trees: leaves are bitmaps of sets, nodes hold the OR of their
    bitmaps and the range of their sizes. A dual traversal drops pairs of nodes whose largest possible
    overlap is too small. Pairs of leaves that remain make the smaller clusters that may hold links.
@@ -58,8 +59,12 @@ BLOCK_SHINGLES = 1 << 21
 FAN_OUT = 8
 # Bitmaps have two to four bits for each shingle, and so many at least.
 LEAST_BITS = 64
-# A rare shingle that more sets share is not counted by pairs.
+# Of so many shingles, a set's rarest hold one more than those of which one is shared with every set that links.
+SPARE_SHARE = 20
+# A rare shingle that more sets share is hot: it is not counted by pairs.
 PAIRED_SETS = 16
+# Sets that may be joined by a hot shingle are compared by pairs where there are so many at most.
+COMPARED_SETS = 512
 # Steps of the size class that a set's code carries in its last SIZE_BITS bits.
 SIZE_STEP = 1.02
 SIZE_BITS = 10
@@ -139,16 +144,29 @@ def fewest_shared(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """How many of their rarest shingles sets of codes a and b share at least, if they link.
 
     Of two sets, take that whose rarest shingles end first in the order. Those of them that the other set has are among its
-    rarest too, so at most ceil(t n) - 1 further ones are shared; a link needs t / (1 + t) of both sizes in all. Sizes are
-    known by class, so the least sum and the largest size are taken.
+    rarest too, so at most the n - rarest_count(n) others are shared besides, fewer than t n - n / SPARE_SHARE + 1; a link
+    needs t / (1 + t) of both sizes in all. Sizes are known by class, so the least sum and the largest size are taken.
     """
     mask = (1 << SIZE_BITS) - 1
     small, large = np.minimum(a & mask, b & mask).astype(float), np.maximum(a & mask, b & mask).astype(float)
     both = np.ceil((SIZE_STEP**small + SIZE_STEP**large) * (1 - 1e-9) * percent / (100 + percent))
-    rest = np.ceil(np.ceil(SIZE_STEP ** (large + 1)) * percent / 100)
+    rest = np.ceil(np.ceil(SIZE_STEP ** (large + 1)) * max(0.0, percent / 100 - 1 / SPARE_SHARE))
     return np.maximum(1, both - rest).astype(np.int64)
 
 
+def fewest_table(percent: int) -> np.ndarray:
+    """fewest_shared() by the smaller size class and the difference of the larger one, for sets that may link."""
+    small, apart = np.arange(1 << SIZE_BITS)[:, None], np.arange(_size_gap(percent) + 1)
+    return fewest_shared(small, np.minimum(small + apart, (1 << SIZE_BITS) - 1), percent)
+
+
+def least_shared(percent: int) -> np.ndarray:
+    """By size class, the least of fewest_shared() with any set that may link, whether that is larger or smaller."""
+    table = fewest_table(percent)
+    smaller = [[table[max(0, s - d), min(s, d)] for d in range(table.shape[1])] for s in range(len(table))]
+    return np.minimum(table.min(axis=1), np.min(smaller, axis=1))
+
+
 # --- 1. Sets and the sketch ---
 def _sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """A row of each document (doc_id, n, digest, code, bits), and SKETCH_CHUNK counters of each task's sketch in rows of their own."""
@@ -199,13 +217,17 @@ def _rarity(sketches: DataFrame) -> bytes:
 
 
 # --- 2. Clusters ---
+def rarest_count(n: int, percent: int = PERCENT) -> int:
+    return min(n, n - least_overlap(n, percent) + 1 + n // SPARE_SHARE)
+
+
 def rarest(hashes: np.ndarray, rarity: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The shingles of which at least one is shared with every set that links: the rarest by sketch, ties by hash."""
+    """The shingles of which fewest_shared() are shared with every set that links: the rarest by sketch, ties by hash."""
     n = len(hashes)
     if not n:
         return hashes
     level = rarity[(hashes % np.uint64(SKETCH)).astype(np.int64)]
-    return hashes[np.argsort(level, kind="stable")[: n - least_overlap(n, percent) + 1]]
+    return hashes[np.argsort(level, kind="stable")[: rarest_count(n, percent)]]
 
 
 def _postings(docs: DataFrame, text_col: str, words: int, percent: int, rarity, parts: int) -> DataFrame:
@@ -219,11 +241,8 @@ def _postings(docs: DataFrame, text_col: str, words: int, percent: int, rarity,
         def flush() -> pa.RecordBatch:
             key = np.concatenate(keys)
             code = np.repeat(np.array(codes, np.int64), [len(k) for k in keys])
-            part = (key >> np.uint64(20)) % np.uint64(parts)
-            order = np.argsort(part, kind="stable")
-            cuts = np.flatnonzero(np.diff(part[order], prepend=part[order][:1] + np.uint64(1)))
-            pieces = [order[a:b] for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array([int(part[p[0]]) for p in pieces], pa.int32()), pa.array([key[p].tobytes() for p in pieces], pa.binary()), pa.array([code[p].tobytes() for p in pieces], pa.binary())], names=["part", "keys", "codes"])
+            part = ((key >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
+            return pa.RecordBatch.from_arrays(_packed(part, key, code), names=["part", "keys", "codes"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -250,57 +269,129 @@ def _postings(docs: DataFrame, text_col: str, words: int, percent: int, rarity,
     return docs.select(F.col(text_col)).mapInArrow(emit, "part int, keys binary, codes binary")
 
 
-def _shared_keys(part: pa.Table, gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(a, b, shared): pairs of codes with the number of keys that they share, for keys of at most PAIRED_SETS sets;
-    for other keys, 0 and an edge of each set to the smallest one that it is together with.
-    """
-    key = np.frombuffer(b"".join(part.column("keys").to_pylist()), np.uint64)
-    code = np.frombuffer(b"".join(part.column("codes").to_pylist()), np.int64)
-    size = code & (1 << SIZE_BITS) - 1
-    order = np.lexsort((code, size, key))
-    key, code, size = key[order], code[order], size[order]
+def _packed(part: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
+    """Pieces of the columns by the part of their rows: the part, and each column's values as bytes."""
+    order = np.argsort(part, kind="stable")
+    cuts = np.flatnonzero(np.diff(part[order], prepend=part[order][:1] - 1)).tolist()
+    pieces = [order[a:b] for a, b in zip(cuts, [*cuts, len(order)][1:], strict=True)]
+    return [pa.array([int(part[p[0]]) for p in pieces], pa.int32()), *(pa.array([c[p].tobytes() for p in pieces], pa.binary()) for c in columns)]
+
+
+def _unpacked(part: pa.Table, column: str, kind: type = np.int64) -> np.ndarray:
+    return np.frombuffer(b"".join(part.column(column).to_pylist()), kind)
+
+
+def _sorted_by_key(key: np.ndarray, code: np.ndarray, *others: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(key, code, others) in order of key, size and code, each code of a key once; then the number of codes of each row's key."""
+    order = np.lexsort((code, code & (1 << SIZE_BITS) - 1, key))
+    key, code = key[order], code[order]
     keep = np.concatenate([[True], (key[1:] != key[:-1]) | (code[1:] != code[:-1])])[: len(key)]
-    key, code, size = key[keep], code[keep], size[keep]
+    key, code = key[keep], code[keep]
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
     sets = np.diff(np.append(starts, len(key)))
-    few = np.repeat(sets <= PAIRED_SETS, sets)
-    many = np.flatnonzero(~few[1:] & (key[1:] == key[:-1]) & (size[1:] - size[:-1] <= gap))
-    codes, places = np.unique(np.concatenate([code[many], code[many + 1]]), return_inverse=True)
-    root = roots(len(codes), places[: len(many)], places[len(many) :])
-    own = np.flatnonzero(root != np.arange(len(codes)))
-    a, b = [codes[own]], [codes[root[own]]]
+    return key, code, *(c[order][keep] for c in others), np.repeat(sets, sets)
+
+
+def _shared_keys(part: pa.Table, gap: int) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """(a, b, shared): pairs of codes with the number of keys that they share, for keys of at most PAIRED_SETS sets;
+    (key, code, sets) of the other keys, which are hot.
+    """
+    key, code, sets = _sorted_by_key(_unpacked(part, "keys", np.uint64), _unpacked(part, "codes"))
+    size = code & (1 << SIZE_BITS) - 1
+    few = sets <= PAIRED_SETS
+    hot = key[~few].view(np.int64), code[~few], sets[~few]
+    x = y = np.zeros(0, np.int64)
     pairs = []
     for apart in range(1, min(PAIRED_SETS, len(key))):
         at = np.flatnonzero(few[apart:] & (key[apart:] == key[:-apart]) & (size[apart:] - size[:-apart] <= gap))
         pairs.append((np.minimum(code[at], code[at + apart]), np.maximum(code[at], code[at + apart])))
-    shared = [np.zeros(len(own), np.int64)]
     if pairs:
         x, y = (np.concatenate(side) for side in zip(*pairs, strict=True))
-        order = np.lexsort((y, x))
-        x, y = x[order], y[order]
-        first = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])[: len(x)])
-        a.append(x[first])
-        b.append(y[first])
-        shared.append(np.diff(np.append(first, len(x))))
-    return np.concatenate(a), np.concatenate(b), np.concatenate(shared)
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    first = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])[: len(x)])
+    return (x[first], y[first], np.diff(np.append(first, len(x)))), hot
+
+
+def _hot_ranks(key: np.ndarray, code: np.ndarray, sets: np.ndarray, least: np.ndarray) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """(code, n) of all codes with hot keys; (key, code, above) of each hot key with the number of a code's keys that are hotter.
+
+    All sets order keys alike, by the sets that have them. Of two sets that share hot keys only, each has all the others of them above the last one,
+    so a key with fewer above than any set that links must share besides (least, by size class) is left out.
+    """
+    order = np.lexsort((key, -sets, code))
+    key, code = key[order], code[order]
+    starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])[: len(code)])
+    n = np.diff(np.append(starts, len(code)))
+    above = np.arange(len(code)) - np.repeat(starts, n)
+    joins = above + 1 >= least[code & (1 << SIZE_BITS) - 1]
+    return (code[starts], n), (key[joins], code[joins], above[joins])
+
+
+def _hot_links(key: np.ndarray, code: np.ndarray, above: np.ndarray, fewest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b): edges that connect the codes that may link by a hot key with the same shared keys above; fewest as fewest_table() has it.
+
+    Keys of more than COMPARED_SETS sets connect all that fit in size.
+    """
+    key, code, above, sets = _sorted_by_key(key, code, above)
+    size, gap = code & (1 << SIZE_BITS) - 1, fewest.shape[1] - 1
+    compared = sets <= COMPARED_SETS
+    many = np.flatnonzero(~compared[1:] & (key[1:] == key[:-1]) & (size[1:] - size[:-1] <= gap))
+    left, right = [code[many]], [code[many + 1]]
+    for apart in range(1, int(sets[compared].max(initial=1))):
+        at = np.flatnonzero(compared[apart:] & (key[apart:] == key[:-apart]) & (size[apart:] - size[:-apart] <= gap))
+        at = at[np.minimum(above[at], above[at + apart]) + 1 >= fewest[size[at], size[at + apart] - size[at]]]
+        left.append(code[at])
+        right.append(code[at + apart])
+    left, right = np.concatenate(left), np.concatenate(right)
+    codes, places = np.unique(np.concatenate([left, right]), return_inverse=True)
+    root = roots(len(codes), places[: len(left)], places[len(left) :])
+    own = np.flatnonzero(root != np.arange(len(codes)))
+    return codes[own], codes[root[own]]
 
 
 def _clusters(docs: DataFrame, text_col: str, words: int, percent: int, rarity) -> DataFrame:
     """(code, cluster) of the sets that may link to a set of another code."""
-    gap = _size_gap(percent)
-    kind = "a long, b long, shared long"
+    gap, table, least, parts = _size_gap(percent), fewest_table(percent), least_shared(percent), task_count(docs.sparkSession)
+    pair, hot = ["a", "b", "shared"], ["part", "keys", "codes", "places"]
+    kinds = [pa.int64()] * 3 + [pa.int32()] + [pa.binary()] * 3
+    schema = "a long, b long, shared long, part int, keys binary, codes binary, places binary"
+
+    def both(rows: list, packed: list) -> pa.Table:
+        """Rows of either kind, with nulls in the columns of the other one."""
+        n, m = len(rows[0]), len(packed[0])
+        columns = [pa.concat_arrays([pa.array(c, t), pa.nulls(m, t)]) for c, t in zip(rows, kinds[:3], strict=True)]
+        return pa.table([*columns, *(pa.concat_arrays([pa.nulls(n, t), c]) for c, t in zip(packed, kinds[3:], strict=True))], names=[*pair, *hot])
+
+    def part_of(values: np.ndarray) -> np.ndarray:
+        return ((values.view(np.uint64) >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
 
     def share(part: pa.Table) -> pa.Table:
-        return pa.table(dict(zip(("a", "b", "shared"), map(pa.array, _shared_keys(part, gap)), strict=True)))
+        pairs, (key, code, sets) = _shared_keys(part, gap)
+        return both(list(pairs), _packed(part_of(code), key, code, sets))
+
+    def rank(part: pa.Table) -> pa.Table:
+        (code, n), (key, own, above) = _hot_ranks(*(_unpacked(part, c) for c in hot[1:]), least)
+        return both([code, n, n], _packed(part_of(key), key, own, above))
+
+    def join(part: pa.Table) -> pa.Table:
+        return pa.table(dict(zip(("a", "b"), map(pa.array, _hot_links(*(_unpacked(part, c) for c in hot[1:]), table)), strict=True)))
 
     @F.pandas_udf("long")
     def fewest(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(fewest_shared(a.to_numpy(), b.to_numpy(), percent))
 
-    found = _postings(docs, text_col, words, percent, rarity, task_count(docs.sparkSession)).groupBy("part").applyInArrow(share, kind)
-    counted = found.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("shared").alias("least"))
-    links = counted.where((F.col("least") == 0) | (F.col("shared") >= fewest("a", "b"))).select("a", "b")
-    return connected_components(links).select(F.col("node").alias("code"), F.col("component").alias("cluster"))
+    postings = _postings(docs, text_col, words, percent, rarity, parts)
+    found = cut_lineage(postings.groupBy("part").applyInArrow(share, schema), "shared_keys")
+    ranked = cut_lineage(found.where("part IS NOT NULL").select(*hot).groupBy("part").applyInArrow(rank, schema), "hot_keys")
+    by_hot = ranked.where("part IS NOT NULL").select(*hot).groupBy("part").applyInArrow(join, "a long, b long")
+    counted = found.where("part IS NULL").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+    # A pair may share as many hot keys besides as either set has.
+    for side in ("a", "b"):
+        counted = counted.join(ranked.where("part IS NULL").selectExpr(f"a AS {side}", f"b AS hot_{side}"), side, "left")
+    may_share = F.col("shared") + F.least(F.coalesce("hot_a", F.lit(0)), F.coalesce("hot_b", F.lit(0)))
+    links = counted.where(may_share >= fewest("a", "b")).select("a", "b")
+    return connected_components(links.unionByName(by_hot)).select(F.col("node").alias("code"), F.col("component").alias("cluster"))
 
 
 # --- 3. Signature trees ---

@@ -1,10 +1,12 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sievetally.llm import common, jaccard_tree
 from sievetally.llm.jaccard_tree import folded, join_block, keep_one, least_overlap, linked, rarest, shingles, signature, tree_pairs
+from sievetally.llm.near_vectors import roots
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -129,6 +131,46 @@ def test_traversal_prunes():
     assert join_block(sets + [sets[0]], np.arange(301), None) == [(0, 300)]
 
 
+def hot_groups(sets, percent=75):
+    """Clusters of sets of shingles by code, as _clusters() makes them, from all rarest shingles in one part."""
+    rarity = np.zeros(jaccard_tree.SKETCH, np.uint8)
+    code = np.array([jaccard_tree._describe(s)[1] for s in sets])
+    keys = [rarest(s, rarity, percent) for s in sets]
+    part = pa.table({"keys": [k.tobytes() for k in keys], "codes": [np.full(len(k), c).tobytes() for k, c in zip(keys, code, strict=True)]})
+    table, gap = jaccard_tree.fewest_table(percent), jaccard_tree._size_gap(percent)
+    (a, b, shared), (key, own, count) = jaccard_tree._shared_keys(part, gap)
+    (hot, n), joins = jaccard_tree._hot_ranks(key, own, count, jaccard_tree.least_shared(percent))
+    known = dict(zip(hot.tolist(), n.tolist(), strict=True))
+    besides = np.array([min(known.get(x, 0), known.get(y, 0)) for x, y in zip(a.tolist(), b.tolist(), strict=True)], np.int64)
+    kept = shared + besides >= jaccard_tree.fewest_shared(a, b, percent)
+    x, y = jaccard_tree._hot_links(*joins, table)
+    place = {c: k for k, c in enumerate(code.tolist())}
+    at = [np.array([place[c] for c in np.concatenate(side).tolist()], np.int64) for side in ((a[kept], x), (b[kept], y))]
+    return roots(len(sets), *at)
+
+
+def test_few_hot_shingles_do_not_gather_texts_that_share_no_more(spark):
+    """Where the sketch tells no shingles apart, as over large corpora, lines that many texts have are among their rarest; all these texts were one cluster."""
+    rng = np.random.default_rng(1)
+    lines = [" ".join(f"l{i}x{k}" for k in range(5)) for i in range(60)]
+    texts = [" ".join(f"d{i}x{k}" for k in range(400)) + " " + " ".join(lines[k] for k in rng.choice(60, 10, replace=False)) for i in range(240)]
+    texts += [t.replace("x7 ", "x7y ") for t in texts[:20]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clusters = jaccard_tree._clusters(docs, "text", 5, 75, spark.sparkContext.broadcast(bytes(jaccard_tree.SKETCH)))
+    assert sorted(r["count"] for r in clusters.groupBy("cluster").count().collect()) == [2] * 20
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(0, 10**6), st.sampled_from([1, 2, 16]), st.sampled_from([2, 6, 512]))
+def test_links_by_hot_shingles_are_not_lost(seed, paired_sets, compared_sets):
+    sets = list({s.tobytes(): s for s in (shingles(t) for _, t in corpus(seed, 90)) if len(s)}.values())
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(jaccard_tree, "PAIRED_SETS", paired_sets)
+        patch.setattr(jaccard_tree, "COMPARED_SETS", compared_sets)
+        groups = hot_groups(sets)
+    assert all(groups[i] == groups[j] for i in range(len(sets)) for j in range(i) if linked(sets[i], sets[j]))
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize(("block_sets", "paired_sets"), [(512, 16), (4, 16), (512, 1), (4, 3)])
 def test_agrees_with_brute_force(spark, monkeypatch, seed, block_sets, paired_sets):
